@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cellmend.functions import fixed_values as fv
 from cellmend.functions.clean import CLEANERS
@@ -57,14 +57,34 @@ def cleaner_for(name: str, rules: Iterable[Rule] = ()) -> Callable[[Column], Col
     return CLEANERS.get(kind) if kind else None
 
 
+_TYPED = {
+    ("currency", T.NumericType): lambda c: c.cast("double"),
+    ("percentage", T.NumericType): lambda c: F.when(c.between(0, 100), c.cast("double")),
+    ("date", T.DateType): lambda c: F.date_format(c, "yyyy-MM-dd"),
+    ("date", T.TimestampType): lambda c: F.date_format(c, "yyyy-MM-dd"),
+    ("date", T.TimestampNTZType): lambda c: F.date_format(c, "yyyy-MM-dd"),
+}
+
+
+def _cleaner(field: T.StructField, rules: list[Rule]) -> Callable[[Column], Column] | None:
+    """The cleaner of a column; a number or date that already has its type
+    is not read back from text."""
+    if not any(rule.fragment in field.name.lower() for rule in rules):
+        kind = semantic_type_of(field.name)
+        for (wanted, data_type), convert in _TYPED.items():
+            if kind == wanted and isinstance(field.dataType, data_type):
+                return convert
+    return cleaner_for(field.name, rules)
+
+
 def apply_cleaners(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
     """Clean every column that has a semantic type, in one projection."""
     rules = list(rules)
     out = []
-    for name in df.columns:
-        cleaner = cleaner_for(name, rules)
-        column = F.col(quoted(name))
-        out.append(cleaner(column).alias(name) if cleaner else column)
+    for field in df.schema.fields:
+        cleaner = _cleaner(field, rules)
+        column = F.col(quoted(field.name))
+        out.append(cleaner(column).alias(field.name) if cleaner else column)
     return df.select(*out)
 
 
@@ -75,8 +95,8 @@ def clean_dry_run(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
     """
     rules = list(rules)
     counters, names = [], []
-    for name in df.columns:
-        cleaner = cleaner_for(name, rules)
+    for field in df.schema.fields:
+        name, cleaner = field.name, _cleaner(field, rules)
         if cleaner is None:
             continue
         before = F.col(quoted(name)).cast("string")
@@ -87,6 +107,8 @@ def clean_dry_run(df: DataFrame, rules: Iterable[Rule] = ()) -> DataFrame:
             F.count_if(changed & after.isNotNull()).alias(f"changed_{len(names)}"),
             F.count_if(changed & after.isNull()).alias(f"nulled_{len(names)}"),
         ]
+    if not names:
+        raise ValueError("no column of the table has a cleaner")
     totals = df.agg(F.count(F.lit(1)).alias("rows"), *counters)
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("column_name"), F.col("rows"),

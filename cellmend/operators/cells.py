@@ -78,11 +78,21 @@ def _keys(df: DataFrame, name: str, data_type: T.DataType) -> dict[str, Column]:
     return keys
 
 
+def text_cells(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """``(*by, column_name, value)``: every cell as text, one row each."""
+    by = list(by)
+    return df.select(*[F.col(quoted(b)) for b in by], F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"),
+                 as_text(F.col(quoted(f.name)), f.dataType).alias("value"))
+        for f in df.schema.fields if f.name not in by
+    ])))
+
+
 KEY_FIELDS = ["key_int", "key_float", "key_text", "long_type"]
 
 
 def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
-    """``(*by, col_idx, kind, key_*, n)``: how often each column holds a value.
+    """``(*by, col_idx, key_*, n, kind)``: how often each column holds a value.
 
     One shuffle, of distinct values, after a partial aggregate in the map
     tasks; a value that fills a third of the table costs one row per task.
@@ -93,14 +103,17 @@ def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None =
     cells = F.inline(F.array(*[
         F.struct(
             F.lit(i).alias("col_idx"),
-            F.lit(value_kind(types[name])).alias("kind"),
             *[key.alias(field) for field, key in _keys(df, name, types[name]).items()],
         )
         for i, name in enumerate(columns)
     ]))
     counted = df.select(*[F.col(quoted(b)) for b in by], cells)
-    return counted.groupBy(*by, "col_idx", "kind", *KEY_FIELDS).agg(
-        F.count(F.lit(1)).alias("n"))
+    kinds = F.array(*[F.lit(value_kind(types[name])) for name in columns])
+    return (
+        counted.groupBy(*by, "col_idx", *KEY_FIELDS)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("kind", F.element_at(kinds, F.col("col_idx") + 1))
+    )
 
 
 def with_cell_type(counts: DataFrame) -> DataFrame:

@@ -2,5 +2,5 @@
 
 from cellmend.plans.catalog import CATALOG, oracles, queries  # noqa: F401
 from cellmend.plans import (  # noqa: F401  (importing registers the queries)
-    integrity_queries,
+    integrity_queries, cell_queries, cleaning_queries,
 )
