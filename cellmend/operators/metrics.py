@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cellmend.functions.classify import is_nullish
 from cellmend.functions.normalize import quoted
@@ -35,12 +35,12 @@ def entropy_delta(total: Column, spread: Column, distinct: Column) -> Column:
     return F.when(total >= 2, F.abs(entropy_bits(total, spread) / top - 1) * 100)
 
 
-def column_stats(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts per cell type, distinct values and entropy input per column."""
-    typed = with_cell_type(counts)
+def type_counters() -> list[Column]:
+    """Aggregates over classified value counts: cells per type, distinct
+    values and the entropy input."""
     real = F.col("cell_type") != "null"
     of_type = lambda t: F.sum(F.when(F.col("cell_type") == t, F.col("n")).otherwise(0))
-    return typed.groupBy(*keys).agg(
+    return [
         F.sum("n").alias("n_cells"),
         of_type("null").alias("n_null"),
         of_type("int").alias("n_int"),
@@ -48,7 +48,12 @@ def column_stats(counts: DataFrame, keys: list[str]) -> DataFrame:
         of_type("string").alias("n_string"),
         F.count_if(real).alias("distinct_values"),
         F.coalesce(F.sum(F.when(real, n_log_n(F.col("n")))), F.lit(0.0)).alias("n_log_n"),
-    )
+    ]
+
+
+def column_stats(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per cell type, distinct values and entropy input per column."""
+    return with_cell_type(counts).groupBy(*keys).agg(*type_counters())
 
 
 def finish_columns(stats: DataFrame) -> DataFrame:
