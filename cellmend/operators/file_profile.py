@@ -28,15 +28,33 @@ def _text_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+_TYPES = ("null", "int", "float", "string")
+_MOST_FIELDS = 1 << 20
+
+
 def _per_column(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Column statistics plus the first cell and, for widths, the modal ones."""
+    """Column statistics plus the first cell and, for widths, the modal ones.
+
+    Count and width share one integer, and cell types are codes, so that all
+    buffers are fixed-size and the aggregate stays a hash aggregate.
+    """
     typed = with_cell_type(counts)
-    width = F.col("key_text").try_cast("int")
+    width = F.col("key_text").try_cast("bigint")
+    code = F.lit(0)
+    for i, name in enumerate(_TYPES):
+        code = F.when(F.col("cell_type") == name, i).otherwise(code)
+    is_width = F.col("is_width")
+    packed = lambda w: F.max(F.when(is_width, F.col("n") * _MOST_FIELDS + w))
     return typed.groupBy(*keys).agg(
-        F.min_by(F.struct("place", "n", "cell_type", "key_text"), "place").alias("first"),
-        F.max(F.struct("n", width.alias("w"))).alias("widest_top"),
-        F.max(F.struct("n", (-width).alias("w"))).alias("narrowest_top"),
-        *type_counters())
+        F.min("place").alias("first_place"),
+        F.min_by("n", "place").alias("first_n"),
+        F.min_by(code, F.col("place")).alias("first_type"),
+        packed(width).alias("widest_top"),
+        packed(_MOST_FIELDS - 1 - width).alias("narrowest_top"),
+        *type_counters()
+    ).withColumn("top_n", F.floor(F.col("widest_top") / _MOST_FIELDS)).withColumn(
+        "top_is_tie", F.col("widest_top") % _MOST_FIELDS
+        != _MOST_FIELDS - 1 - F.col("narrowest_top") % _MOST_FIELDS)
 
 
 def _without_header(stats: DataFrame, header: Column) -> DataFrame:
@@ -45,20 +63,19 @@ def _without_header(stats: DataFrame, header: Column) -> DataFrame:
     The header is known only once the file's first record is, so it is counted
     like any record and subtracted afterwards; that avoids a second scan.
     """
-    n, kind = F.col("first.n"), F.col("first.cell_type")
+    n = F.col("first_n")
     gone = header.cast("int")
-    drop = lambda name, label: (F.col(name) - F.when(kind == label, gone).otherwise(0)).alias(name)
-    real = (kind != "null") & header
+    real = (F.col("first_type") != _TYPES.index("null")) & header
     less = n_log_n(n) - F.when(n > 1, n_log_n(n - 1)).otherwise(0.0)
     changed = {
         "n_cells": F.col("n_cells") - gone,
         "distinct_values": F.col("distinct_values") - F.when(real & (n == 1), 1).otherwise(0),
         "n_log_n": F.col("n_log_n") - F.when(real, less).otherwise(0.0),
     }
-    labels = {"n_null": "null", "n_int": "int", "n_float": "float", "n_string": "string"}
-    return stats.select(*[
-        changed[c].alias(c) if c in changed else drop(c, labels[c]) if c in labels else F.col(c)
-        for c in stats.columns])
+    for i, name in enumerate(_TYPES):
+        changed[f"n_{name}"] = F.col(f"n_{name}") - F.when(
+            F.col("first_type") == i, gone).otherwise(0)
+    return stats.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in stats.columns])
 
 
 def profile_records(records: DataFrame, key: str = "file_path",
@@ -79,18 +96,18 @@ def profile_records(records: DataFrame, key: str = "file_path",
     cells = records.select(
         key, flag.alias("headed"), place.alias("place"),
         F.inline(F.concat(width_cell, field_cells)))
-    stats = _per_column(_text_counts(cells, [key, "headed", "col_idx"]),
-                        [key, "headed", "col_idx"])
+    keys = [key, "headed", "col_idx"]
+    is_width = F.col("col_idx") == WIDTH
+    stats = _per_column(_text_counts(cells, keys).withColumn("is_width", is_width), keys)
 
     of_file = Window.partitionBy(key)
-    is_width = F.col("col_idx") == WIDTH
-    first_record = F.min(F.when(~is_width, F.col("first.place"))).over(of_file)
+    first_record = F.min(F.when(~is_width, F.col("first_place"))).over(of_file)
     placed = stats.withColumn("first_record", first_record)
     # Columns beyond the first record's width do not belong to the table.
-    known = placed.filter(is_width | (F.col("first.place") == F.col("first_record")))
-    top, tie = F.col("widest_top"), F.col("widest_top.w") != -F.col("narrowest_top.w")
-    head_is_top = F.col("headed") & (F.col("first.n") == top["n"]) & ~tie
-    modal = top["n"] - head_is_top.cast("int")
+    known = placed.filter(is_width | (F.col("first_place") == F.col("first_record")))
+    head_is_top = (F.col("headed") & (F.col("first_n") == F.col("top_n"))
+                   & ~F.col("top_is_tie"))
+    modal = F.col("top_n") - head_is_top.cast("int")
     data = _without_header(known.withColumn("modal_rows", modal), F.col("headed"))
 
     rows = F.max(F.when(F.col("col_idx") == 0, F.col("n_cells"))).over(of_file)
@@ -120,14 +137,14 @@ def profile_json(cells: DataFrame, key: str = "file_path") -> DataFrame:
     """
     keys = [key, "column_name"]
     counts = _text_counts(cells.withColumn("place", F.lit(None).cast("bigint")), keys)
-    stats = _per_column(counts, keys)
     is_width = F.col("column_name").isNull()
+    stats = _per_column(counts.withColumn("is_width", is_width), keys)
     rows = F.max(F.when(is_width, F.col("n_cells"))).over(Window.partitionBy(key))
     padded = (
         stats.withColumn("rows", rows)
         .withColumn("n_null", F.col("n_null") + F.col("rows") - F.col("n_cells"))
         .withColumn("n_cells", F.col("rows"))
-        .withColumn("modal_rows", F.col("widest_top.n")))
+        .withColumn("modal_rows", F.col("top_n")))
     done = finish_columns(padded)
     field = lambda name: F.sum(F.when(~is_width, F.col(name)))
     width = lambda name: F.max(F.when(is_width, F.col(name)))
