@@ -13,7 +13,8 @@ _EVENTS = {
                 "WHEN user_id % 13 = 0 THEN 'n/a' ELSE CAST(user_id AS STRING) END",
     "kind": "CASE WHEN event_id % 9 = 0 THEN '' ELSE event_type END",
 }
-_SELECT = "CAST(ts AS DATE) AS day, " + ", ".join(f"{sql} AS {c}" for c, sql in _EVENTS.items())
+_DAY = "CAST(CAST(ts AS DATE) AS STRING) AS day"
+_SELECT = f"{_DAY}, " + ", ".join(f"{sql} AS {c}" for c, sql in _EVENTS.items())
 _CELLS = (f"d AS (SELECT {_SELECT} FROM events), c AS (" + " UNION ALL ".join(
     f"SELECT day, '{c}' AS column_name, lower(trim({c})) AS v, {type_sql(c)} AS t FROM d"
     for c in _EVENTS) + ")")
@@ -21,7 +22,7 @@ _CELLS = (f"d AS (SELECT {_SELECT} FROM events), c AS (" + " UNION ALL ".join(
 
 def _daily(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(
-        "CAST(ts AS DATE) AS day", *[f"{sql} AS {c}" for c, sql in _EVENTS.items()])
+        _DAY, *[f"{sql} AS {c}" for c, sql in _EVENTS.items()])
 
 
 @query("type_ratio_drift", f"""

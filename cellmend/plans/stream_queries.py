@@ -51,7 +51,8 @@ _CELLS = " UNION ALL ".join(
                  sum(n * log2(n)) FILTER (WHERE t <> 'null') AS s
           FROM n GROUP BY ALL),
     late AS (SELECT max(ts) - INTERVAL 10 MINUTE AS watermark FROM events)
-    SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, column_name,
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, column_name,
            cells::BIGINT AS cells, round(100.0 * nulls / cells, 3)::DOUBLE AS null_pct,
            coalesce(round(100.0 * (nf - modal) / nullif(nf, 0), 3), 0)::DOUBLE
              AS type_deviation_pct,
@@ -66,7 +67,9 @@ def stream_integrity(spark, sf_dir):
         *[F.expr(sql).alias(c) for c, sql in _COLUMNS.items()])
     counts = S.windowed_counts(events, "ts", list(_COLUMNS))
     _finish(S.write_windows(counts, f"{out}/data", f"{out}/checkpoint"))
-    return S.finish_windows(spark.read.parquet(f"{out}/data"), list(_COLUMNS))
+    done = S.finish_windows(spark.read.parquet(f"{out}/data"), list(_COLUMNS))
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return done.select(shown("window_start"), shown("window_end"), *done.columns[2:])
 
 
 @query("stream_upsert", """

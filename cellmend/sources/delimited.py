@@ -44,7 +44,8 @@ def stitch_records(lines: DataFrame, sep: Column | str = ",", by: str = "file_pa
     Whether a line ends inside quotes depends on how it starts, so each line
     is a function of one bit: keep, flip, or set. Those compose, hence a
     window per split settles the lines, one row per split carries the state
-    across splits, and no task ever sees a whole file.
+    across splits, and no task ever sees a whole file. A quote that is never
+    closed runs to the end of the file (without its last newline).
     """
     line = F.col("line")
     end_if_closed = ends_open(line, sep).cast("int")

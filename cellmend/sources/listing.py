@@ -17,7 +17,7 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root).select(
-        plain_path(F.col("path")).alias("path"), "length",
+        plain_path(F.col("_metadata.file_path")).alias("path"), "length",
         F.col("modificationTime").alias("modified"))
     return files.select(
         "path", filename_of(F.col("path")).alias("filename"),

@@ -41,10 +41,11 @@ def connect(sf_dir):
     return con
 
 
-def difference(spark, con, sf_dir, name):
+def difference(spark, con, sf_dir, name, inspect=lambda df: None):
     """None when both sides agree, else what differs; and the Spark row count."""
     entry = CATALOG[name]
     df = entry.run(spark, sf_dir)
+    inspect(df)
     got_names, got = _rows(df.columns, [tuple(r) for r in df.collect()])
     if entry.oracle is None:
         return (None if got else "no rows"), len(got)
