@@ -40,42 +40,36 @@ def as_text(col: Column, data_type: T.DataType) -> Column:
     return col.cast("string")
 
 
+# A long text can only be a number if nothing else is in it, and only be a
+# "no value" if at most four characters are left without commas and blanks.
+_MAYBE_NUMBER = r"^[-0-9., ]*+$"
+_MAYBE_NULL = r"^[, ]*+(?:[^, ][, ]*+){0,4}$"
+
+
 def text_key(folded: Column) -> Column:
+    """What folded texts are grouped by: themselves, or a digest when long."""
     return F.when(F.length(folded) >= DIGEST_LENGTH, F.sha2(folded, 256)).otherwise(folded)
 
 
-def long_text_type(text: Column) -> Column:
+def long_text_type(folded: Column) -> Column:
     """Cell type of a text whose key is a digest; null for short texts."""
-    return F.when(F.length(folded_text(text)) >= DIGEST_LENGTH, infer_cell_type(text))
+    special = folded.rlike(_MAYBE_NULL) | folded.rlike(_MAYBE_NUMBER)
+    return F.when(F.length(folded) >= DIGEST_LENGTH,
+                  F.when(special, infer_cell_type(folded)).otherwise("string"))
 
 
-def _keys(df: DataFrame, name: str, data_type: T.DataType) -> dict[str, Column]:
-    """The cell's value in the one of three key fields that fits its type."""
+def _typed_key(name: str, data_type: T.DataType) -> tuple[str, Column]:
+    """The key field of a column that is no text, and the cell in it."""
     col = F.col(quoted(name))
-    kind = value_kind(data_type)
-    keys = {
-        "key_int": F.lit(None).cast("bigint"),
-        "key_float": F.lit(None).cast("double"),
-        "key_text": F.lit(None).cast("string"),
-        "long_type": F.lit(None).cast("string"),
-    }
-    if kind == "int":
-        keys["key_int"] = col.cast("bigint")
-    elif kind == "float":
-        keys["key_float"] = col.cast("double")
-    elif isinstance(data_type, T.BooleanType):
-        keys["key_int"] = col.cast("bigint")
-    elif isinstance(data_type, T.DateType):
-        keys["key_int"] = F.unix_date(col).cast("bigint")
-    elif isinstance(data_type, T.TimestampType):
-        keys["key_int"] = F.unix_micros(col)
-    elif isinstance(data_type, T.TimestampNTZType):
-        keys["key_int"] = F.unix_micros(F.to_timestamp_ltz(col))
-    else:
-        text = as_text(col, data_type)
-        keys["key_text"] = text_key(folded_text(text))
-        keys["long_type"] = long_text_type(text)
-    return keys
+    if isinstance(data_type, _FRACTIONAL):
+        return "key_float", col.cast("double")
+    if isinstance(data_type, T.DateType):
+        return "key_int", F.unix_date(col).cast("bigint")
+    if isinstance(data_type, T.TimestampType):
+        return "key_int", F.unix_micros(col)
+    if isinstance(data_type, T.TimestampNTZType):
+        return "key_int", F.unix_micros(F.to_timestamp_ltz(col))
+    return "key_int", col.cast("bigint")
 
 
 def text_cells(df: DataFrame, by: list[str] = ()) -> DataFrame:
@@ -89,6 +83,7 @@ def text_cells(df: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 KEY_FIELDS = ["key_int", "key_float", "key_text", "long_type"]
+_NO_KEY = {"key_int": "bigint", "key_float": "double", "key_text": "string", "long_type": "string"}
 
 
 def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
@@ -100,19 +95,33 @@ def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None =
     by = list(by)
     columns = columns or [c for c in df.columns if c not in by]
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = F.inline(F.array(*[
-        F.struct(
-            F.lit(i).alias("col_idx"),
-            *[key.alias(field) for field, key in _keys(df, name, types[name]).items()],
-        )
-        for i, name in enumerate(columns)
-    ]))
-    counted = df.select(*[F.col(quoted(b)) for b in by], cells)
-    kinds = F.array(*[F.lit(value_kind(types[name])) for name in columns])
+    kinds = [value_kind(types[c]) for c in columns]
+    kept = [F.col(quoted(b)) for b in by]
+    # Texts are folded in a projection of their own: the key and the type both
+    # need the folded text, and long ones are worth folding only once.
+    folded = df.select(*kept, *[
+        folded_text(as_text(F.col(quoted(c)), types[c])).alias(f"_t{i}") if kind == "text"
+        else _typed_key(c, types[c])[1].alias(f"_t{i}")
+        for i, (c, kind) in enumerate(zip(columns, kinds))])
+    keyed = folded.select(*kept, *[
+        column for i, kind in enumerate(kinds) for column in (
+            [text_key(F.col(f"_t{i}")).alias(f"_k{i}"), long_text_type(F.col(f"_t{i}")).alias(f"_l{i}")]
+            if kind == "text" else [F.col(f"_t{i}").alias(f"_k{i}")])])
+
+    def cell(i: int) -> Column:
+        fields = {f: F.lit(None).cast(t) for f, t in _NO_KEY.items()}
+        if kinds[i] == "text":
+            fields["key_text"], fields["long_type"] = F.col(f"_k{i}"), F.col(f"_l{i}")
+        else:
+            fields[_typed_key(columns[i], types[columns[i]])[0]] = F.col(f"_k{i}")
+        return F.struct(F.lit(i).alias("col_idx"), *[c.alias(f) for f, c in fields.items()])
+
+    cells = keyed.select(*kept, F.inline(F.array(*[cell(i) for i in range(len(columns))])))
+    labels = F.array(*[F.lit(kind) for kind in kinds])
     return (
-        counted.groupBy(*by, "col_idx", *KEY_FIELDS)
+        cells.groupBy(*by, "col_idx", *KEY_FIELDS)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("kind", F.element_at(kinds, F.col("col_idx") + 1))
+        .withColumn("kind", F.element_at(labels, F.col("col_idx") + 1))
     )
 
 

@@ -17,10 +17,11 @@ def _text_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
     The width cells take part as one more column, so field deviation costs no
     pass of its own.
     """
-    value = F.col("value")
+    folded = F.col("_folded")
     return (
-        cells.select(*keys, "place", text_key(folded_text(value)).alias("key_text"),
-                     long_text_type(value).alias("long_type"))
+        cells.select(*keys, "place", folded_text(F.col("value")).alias("_folded"))
+        .select(*keys, "place", text_key(folded).alias("key_text"),
+                long_text_type(folded).alias("long_type"))
         .groupBy(*keys, "key_text", "long_type")
         .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
         .select("*", F.lit(None).cast("bigint").alias("key_int"),

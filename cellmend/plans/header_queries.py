@@ -168,14 +168,13 @@ def header_token_score(spark, sf_dir):
 
 @query("row_metrics", f"""
     WITH {_SCORES_SQL}
-    SELECT file_id, col_idx, round(d_len, 6)::DOUBLE AS avg_length,
-           round(d_dig, 6)::DOUBLE AS avg_digit_ratio, round(d_upp, 6)::DOUBLE AS avg_upper_ratio
+    SELECT file_id, col_idx, round(d_len, 6)::DOUBLE AS data_length,
+           round(d_dig, 6)::DOUBLE AS data_digit_ratio, round(d_upp, 6)::DOUBLE AS data_upper_ratio
     FROM f""")
 def row_metrics(spark, sf_dir):
     return H.header_columns(_sample(spark, sf_dir), "file_id").select(
         "file_id", "col_idx",
-        *[F.round(f"data_metrics.{m}", 6).alias(m)
-          for m in ("avg_length", "avg_digit_ratio", "avg_upper_ratio")])
+        *[F.round(m, 6).alias(m) for m in ("data_length", "data_digit_ratio", "data_upper_ratio")])
 
 
 @query("header_score", f"""

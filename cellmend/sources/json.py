@@ -86,25 +86,21 @@ def flatten_cells(records: DataFrame, key: str = "file_path", max_depth: int = 8
     width = F.struct(F.lit(None).cast("string").alias("name"),
                      F.parse_json(F.size("keys").cast("string")).alias("node"))
 
-    def is_object(node: Column) -> Column:
-        return F.schema_of_variant(node).startswith("OBJECT")
-
     def entries(node: Column, prefix: Column) -> Column:
-        return F.transform(
-            F.map_entries(node.cast(T.MapType(T.StringType(), T.VariantType()))),
-            lambda e: F.struct(F.concat(prefix, e["key"]).alias("name"), e["value"].alias("node")))
+        """The members of an object; null for any other node."""
+        members = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+        return F.transform(members, lambda e: F.struct(
+            F.concat(prefix, e["key"]).alias("name"), e["value"].alias("node")))
 
     top = F.concat(F.array(width), entries(F.col("node"), F.lit("")))
     level = level.select(key, F.inline(top))
     for _ in range(max_depth - 1):
         here = F.array(F.struct(F.col("name"), F.col("node")))
-        level = level.select(key, F.inline(
-            F.when(F.col("name").isNotNull() & is_object(F.col("node")),
-                   entries(F.col("node"), F.concat("name", F.lit(".")))).otherwise(here)))
-    scalar = F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)")
+        inner = F.when(F.col("name").isNotNull(),
+                       entries(F.col("node"), F.concat("name", F.lit("."))))
+        level = level.select(key, F.inline(F.coalesce(inner, here)))
     return level.select(
-        key, F.col("name").alias("column_name"),
-        F.when(scalar, F.to_json("node")).otherwise(F.col("node").cast("string")).alias("value"))
+        key, F.col("name").alias("column_name"), F.col("node").cast("string").alias("value"))
 
 
 def read_json_cells(spark: SparkSession, paths: str | list[str],
