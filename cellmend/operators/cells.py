@@ -58,20 +58,6 @@ def long_text_type(folded: Column) -> Column:
                   F.when(special, infer_cell_type(folded)).otherwise("string"))
 
 
-def _typed_key(name: str, data_type: T.DataType) -> tuple[str, Column]:
-    """The key field of a column that is no text, and the cell in it."""
-    col = F.col(quoted(name))
-    if isinstance(data_type, _FRACTIONAL):
-        return "key_float", col.cast("double")
-    if isinstance(data_type, T.DateType):
-        return "key_int", F.unix_date(col).cast("bigint")
-    if isinstance(data_type, T.TimestampType):
-        return "key_int", F.unix_micros(col)
-    if isinstance(data_type, T.TimestampNTZType):
-        return "key_int", F.unix_micros(F.to_timestamp_ltz(col))
-    return "key_int", col.cast("bigint")
-
-
 def text_cells(df: DataFrame, by: list[str] = ()) -> DataFrame:
     """``(*by, column_name, value)``: every cell as text, one row each."""
     by = list(by)
@@ -83,46 +69,68 @@ def text_cells(df: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 KEY_FIELDS = ["key_int", "key_float", "key_text", "long_type"]
-_NO_KEY = {"key_int": "bigint", "key_float": "double", "key_text": "string", "long_type": "string"}
 
+_MICROS_NTZ = (
+    "(unix_date(CAST({c} AS DATE)) * 24L + hour({c})) * 3600000000L + minute({c}) * 60000000L"
+    " + CAST(extract(SECOND FROM {c}) * 1000000 AS BIGINT)")
+
+
+def _cell_sql(i: int, name: str, data_type: T.DataType) -> str:
+    """One cell as a struct of its column number and its value, which stands
+    in the field that fits its type."""
+    c = quoted(name)
+    fields = {"key_int": "CAST(NULL AS BIGINT)", "key_float": "CAST(NULL AS DOUBLE)",
+              "text": "CAST(NULL AS STRING)"}
+    if isinstance(data_type, _FRACTIONAL):
+        fields["key_float"] = f"CAST({c} AS DOUBLE)"
+    elif isinstance(data_type, T.DateType):
+        fields["key_int"] = f"CAST(unix_date({c}) AS BIGINT)"
+    elif isinstance(data_type, T.TimestampType):
+        fields["key_int"] = f"unix_micros({c})"
+    elif isinstance(data_type, T.TimestampNTZType):
+        fields["key_int"] = _MICROS_NTZ.format(c=c)
+    elif value_kind(data_type) != "text":
+        fields["key_int"] = f"CAST({c} AS BIGINT)"
+    elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        fields["text"] = f"coalesce(to_json({c}), '')"
+    else:
+        fields["text"] = f"coalesce(CAST({c} AS STRING), '')"
+    return f"named_struct('col_idx', {i}, " + ", ".join(
+        f"'{field}', {value}" for field, value in fields.items()) + ")"
+
+
+def value_cells(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
+    """``(*by, col_idx, key_int, key_float, text)``: one row per cell."""
+    by = list(by)
+    columns = columns or [c for c in df.columns if c not in by]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells = ", ".join(_cell_sql(i, c, types[c]) for i, c in enumerate(columns))
+    return df.select(*[F.col(quoted(b)) for b in by], F.expr(f"inline(array({cells}))"))
 
-def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
-    """``(*by, col_idx, key_*, n, kind)``: how often each column holds a value.
+
+def count_values(cells: DataFrame) -> DataFrame:
+    """``(..., key_*, n)``: how often each value occurs among the cells.
 
     One shuffle, of distinct values, after a partial aggregate in the map
     tasks; a value that fills a third of the table costs one row per task.
     """
-    by = list(by)
+    kept = [c for c in cells.columns if c != "text"]
+    folded = F.col("_folded")
+    # The text is folded in a projection of its own, so once per cell.
+    keyed = (
+        cells.select(*kept, F.when(F.col("text").isNotNull(), folded_text(F.col("text")))
+                     .alias("_folded"))
+        .select(*kept, text_key(folded).alias("key_text"), long_text_type(folded).alias("long_type")))
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
+    """``(*by, col_idx, key_*, n, kind)`` for the columns of one table."""
     columns = columns or [c for c in df.columns if c not in by]
     types = {f.name: f.dataType for f in df.schema.fields}
-    kinds = [value_kind(types[c]) for c in columns]
-    kept = [F.col(quoted(b)) for b in by]
-    # Texts are folded in a projection of their own: the key and the type both
-    # need the folded text, and long ones are worth folding only once.
-    folded = df.select(*kept, *[
-        folded_text(as_text(F.col(quoted(c)), types[c])).alias(f"_t{i}") if kind == "text"
-        else _typed_key(c, types[c])[1].alias(f"_t{i}")
-        for i, (c, kind) in enumerate(zip(columns, kinds))])
-    keyed = folded.select(*kept, *[
-        column for i, kind in enumerate(kinds) for column in (
-            [text_key(F.col(f"_t{i}")).alias(f"_k{i}"), long_text_type(F.col(f"_t{i}")).alias(f"_l{i}")]
-            if kind == "text" else [F.col(f"_t{i}").alias(f"_k{i}")])])
-
-    def cell(i: int) -> Column:
-        fields = {f: F.lit(None).cast(t) for f, t in _NO_KEY.items()}
-        if kinds[i] == "text":
-            fields["key_text"], fields["long_type"] = F.col(f"_k{i}"), F.col(f"_l{i}")
-        else:
-            fields[_typed_key(columns[i], types[columns[i]])[0]] = F.col(f"_k{i}")
-        return F.struct(F.lit(i).alias("col_idx"), *[c.alias(f) for f, c in fields.items()])
-
-    cells = keyed.select(*kept, F.inline(F.array(*[cell(i) for i in range(len(columns))])))
-    labels = F.array(*[F.lit(kind) for kind in kinds])
-    return (
-        cells.groupBy(*by, "col_idx", *KEY_FIELDS)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("kind", F.element_at(labels, F.col("col_idx") + 1))
-    )
+    labels = F.array(*[F.lit(value_kind(types[c])) for c in columns])
+    return count_values(value_cells(df, by, columns)).withColumn(
+        "kind", F.element_at(labels, F.col("col_idx") + 1))
 
 
 def with_cell_type(counts: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cellmend.functions.classify import is_nullish
 from cellmend.functions.normalize import quoted
-from cellmend.operators.cells import value_counts, with_cell_type
+from cellmend.operators.cells import (
+    count_values, value_cells, value_counts, value_kind, with_cell_type)
 
 METRICS = ["null_pct", "field_deviation_pct", "type_deviation_pct", "entropy_delta_pct"]
 METRIC_FIELDS = METRICS + ["total_rows", "total_cells"]
@@ -80,18 +81,18 @@ def table_metrics(columns: DataFrame, keys: list[str], rows: Column) -> DataFram
 
 def _all_columns(tables: dict[str, DataFrame]) -> tuple[DataFrame, Column]:
     """Finished column statistics of all tables in one job, and the column
-    that names them."""
-    counted = [
-        value_counts(df).withColumn("table_idx", F.lit(i))
-        for i, df in enumerate(tables.values())
-    ]
-    stats = column_stats(reduce(DataFrame.unionByName, counted), ["table_idx", "col_idx"])
-    names = F.array(*[
-        F.struct(F.lit(t).alias("table_name"),
-                 F.array(*[F.lit(c) for c in df.columns]).alias("columns"))
-        for t, df in tables.items()
-    ])
-    return finish_columns(stats), F.element_at(names, F.col("table_idx") + 1)
+    that describes them. The cells of all tables share one shuffle."""
+    cells = reduce(DataFrame.unionByName, [
+        value_cells(df).withColumn("table_idx", F.lit(i)) for i, df in enumerate(tables.values())])
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("table_name"),
+                 F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
+                 F.array(*[F.lit(value_kind(f.dataType)) for f in df.schema.fields]).alias("kinds"))
+        for name, df in tables.items()])
+    entry = F.element_at(entries, F.col("table_idx") + 1)
+    counts = count_values(cells).withColumn(
+        "kind", F.element_at(entry["kinds"], F.col("col_idx") + 1))
+    return finish_columns(column_stats(counts, ["table_idx", "col_idx"])), entry
 
 
 def profile_columns(tables: dict[str, DataFrame]) -> DataFrame:
