@@ -10,6 +10,7 @@ from cellmend.sources.text import read_lines
 
 UNSUPPORTED = "Unsupported JSON root type"
 MALFORMED = "Malformed JSON"
+MAX_DEPTH = 8  # what nests deeper stays JSON text
 
 
 def _documents(lines: DataFrame) -> DataFrame:
@@ -72,37 +73,39 @@ def json_records(lines: DataFrame) -> DataFrame:
         document_records(known.filter("NOT by_line")))
 
 
-def flatten_cells(records: DataFrame, key: str = "file_path", max_depth: int = 8) -> DataFrame:
+def flatten_cells(records: DataFrame, key: str = "file_path", max_depth: int = MAX_DEPTH) -> DataFrame:
     """``(key, column_name, value)`` per leaf, plus one row per record with a
     null name and the number of its top-level keys.
 
     Objects become dotted names; arrays stay JSON text, and so does what is
     nested deeper than ``max_depth``.
     """
-    variant = F.parse_json(F.col("record"))
-    level = records.filter(F.col("record").isNotNull()).select(
-        key, F.json_object_keys("record").alias("keys"), F.lit("").alias("name"),
-        variant.alias("node"))
-    width = F.struct(F.lit(None).cast("string").alias("name"),
-                     F.parse_json(F.size("keys").cast("string")).alias("node"))
-
-    def entries(node: Column, prefix: Column) -> Column:
-        """The members of an object; null for any other node."""
-        members = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
-        return F.transform(members, lambda e: F.struct(
-            F.concat(prefix, e["key"]).alias("name"), e["value"].alias("node")))
-
-    top = F.concat(F.array(width), entries(F.col("node"), F.lit("")))
-    level = level.select(key, F.inline(top))
+    def members(prefix: str) -> Column:
+        """The members of an object, in SQL; null for any other node."""
+        return F.expr(
+            "transform(map_entries(try_variant_get(node, '$', 'map<string,variant>')), e -> "
+            f"named_struct('name', concat({prefix}, e.key), 'node', e.value))")
+
+    here = F.array(F.struct("name", "node"))
+    width = F.array(F.struct(F.lit(None).cast("string").alias("name"),
+                             F.parse_json(F.size("keys").cast("string")).alias("node")))
+    level = (
+        records.filter(F.col("record").isNotNull())
+        .select(key, F.json_object_keys("record").alias("keys"),
+                F.parse_json(F.col("record")).alias("node"))
+        .select(key, F.inline(F.concat(width, members("''")))))
     for _ in range(max_depth - 1):
-        here = F.array(F.struct(F.col("name"), F.col("node")))
-        inner = F.when(F.col("name").isNotNull(),
-                       entries(F.col("node"), F.concat("name", F.lit("."))))
-        level = level.select(key, F.inline(F.coalesce(inner, here)))
+        opened = F.when(F.col("name").isNotNull(), members("name, '.'"))
+        level = level.select(key, F.inline(F.coalesce(opened, here)))
     return level.select(
         key, F.col("name").alias("column_name"), F.col("node").cast("string").alias("value"))
 
 
+def brace_bound(line: Column) -> Column:
+    """Number of opening braces: no object in the line nests deeper."""
+    return F.length(line) - F.length(F.replace(line, F.lit("{"), F.lit("")))
+
+
 def read_json_cells(spark: SparkSession, paths: str | list[str],
                     glob: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Cells of all JSON files, and the files that could not be read."""
