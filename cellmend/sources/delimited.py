@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cellmend.functions import fixed_values as fv
+from cellmend.operators.sizing import broadcast_if_small, settled
 from cellmend.sources.text import ends_open, fields_of, read_lines, tokenise
 
 
@@ -113,13 +114,13 @@ def records(lines: DataFrame, sep: Column | str = ",", multiline: bool | str = "
     """Lines as records with ``fields`` and ``width``.
 
     ``multiline=False`` takes each line as a record and never shuffles.
-    ``'auto'`` first looks, in one narrow pass, for files in which some line
-    ends inside quotes, and stitches only those.
+    ``'auto'`` first looks, in one pass with a row per file, for files in which
+    some line ends inside quotes, and stitches only those.
     """
     if multiline == "auto":
-        broken = (lines.groupBy(by)
-                  .agg(F.bool_or(ends_open(F.col("line"), sep)).alias("broken"))
-                  .filter("broken").select(by))
+        broken = broadcast_if_small(settled(
+            lines.groupBy(by).agg(F.bool_or(ends_open(F.col("line"), sep)).alias("broken"))
+            .filter("broken").select(by)))
         whole = lines.join(broken, by, "left_anti")
         lines = whole.unionByName(stitch_records(lines.join(broken, by, "left_semi"), sep, by))
     elif multiline:
@@ -136,7 +137,8 @@ def read_delimited_records(spark: SparkSession, paths: str | list[str], sep: str
     lines = read_lines(spark, paths, glob)
     if sep is not None:
         return records(lines, sep, multiline)
-    detected = lines.join(detect_delimiter(lines), "file_path")
+    seps = settled(detect_delimiter(lines.filter(F.col("block") == 0)))
+    detected = lines.join(broadcast_if_small(seps), "file_path")
     return records(detected, F.col("sep"), multiline)
 
 

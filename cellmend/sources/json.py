@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cellmend.functions.normalize import quoted
+from cellmend.operators.sizing import broadcast_if_small, settled
 from cellmend.sources.text import read_lines
 
 UNSUPPORTED = "Unsupported JSON root type"
@@ -68,7 +69,7 @@ def json_records(lines: DataFrame) -> DataFrame:
     whether it is line-delimited or a document."""
     kinds = lines.groupBy("file_path").agg(
         F.bool_and(is_object_line(F.col("line"))).alias("by_line"))
-    known = lines.join(kinds, "file_path")
+    known = lines.join(broadcast_if_small(settled(kinds)), "file_path")
     return line_records(known.filter("by_line")).unionByName(
         document_records(known.filter("NOT by_line")))
 
