@@ -48,3 +48,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     from cellmend.llm.ngram_join import ngram_jaccard_components
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op3_embedding_near_dedup", """
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+r AS (
+  WITH RECURSIVE walk(a, b) AS (SELECT a, b FROM p UNION SELECT walk.a, p.b FROM walk JOIN p ON walk.b = p.a)
+  SELECT a, min(b) AS m FROM walk GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM v LEFT JOIN r ON vec_id = r.a LEFT JOIN n ON vec_id = n.a
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors."""
+    from cellmend.llm.vector_join import cosine_links
+    return cosine_links(table(spark, sf_dir, "embeddings"))
