@@ -6,12 +6,13 @@ documents from above. The bound is used at three levels of one index:
 
 1. The root. In the leading groups (a document's lowest shingle hashes) a
    document has to meet other documents often enough, or no partner exists.
-2. The branches. What is left is routed by its leading shingles: documents
-   whose counts have no common leading group cannot reach the overlap.
-3. The leaves. In each branch a packed R-tree over 128 group counts and the
-   size is joined with itself, pruned by the summed minima of its boxes.
+2. The branches. What is left is routed by its leading shingles. In each
+   branch a packed R-tree over 128 group counts and the size is joined with
+   itself, pruned by the summed minima of its boxes.
+3. The pairs. A pair has to survive in as many branches as two linked documents
+   share leading groups, which is the bound of level 1 for the two alone.
 
-Pairs that survive are verified on their whole shingle sets.
+Pairs that survive all three are verified on their whole shingle sets.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cellmend.llm import text_arrays as ta
 from cellmend.llm.common import buckets, by_bucket, components, map_arrow, pack, settled, unpack
@@ -31,6 +32,8 @@ GROUPS = 128
 BRANCH_ROWS = 4096
 FANOUT = 16
 _FLUSH_TOKENS = 1 << 20
+_BOX_PAIRS = 1 << 10
+_UNBOUNDED = 65535  # a group count of so much or more bounds nothing
 
 
 def least_partner(n):
@@ -52,12 +55,6 @@ def leading(n):
     return np.minimum(n, n - least_partner(n) + extra(n) + 1)
 
 
-def routed(n):
-    """Lowest shingle hashes by which a document is routed: two linked
-    documents share at least one of them."""
-    return n - least_partner(n) + 1
-
-
 def _prefix(at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, owners) of the first ``lengths[i]`` elements from ``at[i]``."""
     owners = np.repeat(np.arange(len(lengths)), lengths)
@@ -179,7 +176,7 @@ def _lead_rows(batches):
     for batch in batches:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("tokens")]
         ids, n = batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()
-        take = routed(n)
+        take = leading(n)
         yield {"token": np.concatenate([s[:k] for s, k in zip(sets, take)] or [np.zeros(0, np.uint64)])
                .view(np.int64), "doc_id": np.repeat(ids, take), "n": np.repeat(n, take)}
 
@@ -187,7 +184,8 @@ def _lead_rows(batches):
 def _point_rows(batches):
     for batch in batches:
         points = [np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(57)).astype(np.int64),
-                              minlength=GROUPS).astype(np.int32) for x in batch.column("tokens")]
+                              minlength=GROUPS) for x in batch.column("tokens")]
+        points = [np.minimum(p, _UNBOUNDED).astype(np.uint16) for p in points]
         yield {"doc_id": batch.column("doc_id"), "point": [pack(p) for p in points]}
 
 
@@ -224,14 +222,21 @@ class Tree:
         right = other or self
         depth = max(len(self.levels), len(right.levels)) - 1
         of = lambda tree, d: tree.levels[min(d, len(tree.levels) - 1)]
-        a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        for d in range(depth, -1, -1):
-            if d < depth:
-                a, b = self._open(self, a, d), self._open(right, b, d)
-                a, b = self._product(a, b)
-                if other is None:
-                    a, b = a[a <= b], b[a <= b]
+        found, todo = [], [(depth, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        while todo:
+            d, a, b = todo.pop()
             a, b = self._prune(of(self, d), of(right, d), a, b)
+            if d == 0:
+                found.append((a, b))
+                continue
+            for i in range(0, len(a), _BOX_PAIRS):  # few boxes at a time: memory stays bounded
+                x, y = self._product(self._open(self, a[i:i + _BOX_PAIRS], d - 1),
+                                     self._open(right, b[i:i + _BOX_PAIRS], d - 1))
+                if other is None:
+                    x, y = x[x <= y], y[x <= y]
+                todo.append((d - 1, x, y))
+        a = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
+        b = np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])
         if other is None:
             a, b = a[a != b], b[a != b]
         return self.order[a], right.order[b]
@@ -268,7 +273,8 @@ def _branch_pairs(batch: pa.Table) -> pa.Table:
     """Pairs that survive in the branches of one bucket."""
     token, docs = batch["token"].to_numpy(), batch["doc_id"].to_numpy()
     sizes, comps = batch["n"].to_numpy(), batch["component"].to_numpy()
-    points = unpack(batch["point"], np.int32).reshape(-1, GROUPS)
+    points = unpack(batch["point"], np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    points[points == _UNBOUNDED] = 1 << 23
     chunk, left, right = (batch[c].to_numpy() for c in ("chunk", "part_a", "part_b"))
     order = np.lexsort((docs, chunk, right, left, token))
     key = np.stack([token[order], left[order], right[order]])
@@ -299,8 +305,10 @@ def _branch_pairs(batch: pa.Table) -> pa.Table:
         found_b.append(docs[b])
     a = np.concatenate([*found_a, np.zeros(0, np.int64)]).astype(np.int64)
     b = np.concatenate([*found_b, np.zeros(0, np.int64)]).astype(np.int64)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-    return pa.table({"a": pairs[0], "b": pairs[1]})
+    order = np.lexsort((np.maximum(a, b), np.minimum(a, b)))
+    a, b = np.minimum(a, b)[order], np.maximum(a, b)[order]
+    cut = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
+    return pa.table({"a": a[cut], "b": b[cut], "k": np.diff(np.r_[cut, len(a)])})
 
 
 def _verified(batches):
@@ -323,20 +331,58 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
     """Each document with the two branch leaders that it shares most branches
-    with: enough to join most groups, whatever their size, without their pairs."""
+    with, if enough: this joins most groups, whatever their size, without their
+    pairs. What it misses is found in the branches."""
     leaders = rows.groupBy("token").agg(
         F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "n")).alias("leader"),
         F.count(F.lit(1)).alias("k")).filter("k > 1").select(
         "token", F.col("leader.doc_id").alias("leader"), F.col("leader.n").alias("leader_n"))
     met = (rows.join(leaders, "token")
            .filter("doc_id <> leader AND 4 * n >= 3 * leader_n AND 4 * leader_n >= 3 * n")
-           .groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("k")))
+           .groupBy("doc_id", "leader", "n", "leader_n").agg(F.count(F.lit(1)).alias("k"))
+           .filter(F.col("k") > F.floor(F.least("n", "leader_n") / 10)))
     best = F.slice(F.sort_array(F.collect_list(F.struct("k", "leader")), False), 1, 2)
     return met.groupBy("doc_id").agg(best.alias("best")).select(
         "doc_id", F.explode("best.leader").alias("leader")).select(
         F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
 
 
+def _branch_candidates(rows: DataFrame, sets: DataFrame, comps: DataFrame, n_buckets: int) -> DataFrame:
+    """``(a, b, score)``: pairs of different components that survive in enough
+    branches. A branch that holds one component only is not searched."""
+    placed = settled(rows.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                     .withColumn("component", F.coalesce("component", "doc_id")))
+    mixed = placed.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("k")
+    ).filter("low <> high").select("token", F.ceil(F.col("k") / BRANCH_ROWS).alias("parts"))
+    points = map_arrow(sets.select("doc_id", "tokens"), _point_rows, "doc_id long, point binary")
+    dealt = (
+        placed.join(mixed, "token").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .withColumn("part_a", F.least("chunk", "other")).withColumn("part_b", F.greatest("chunk", "other"))
+        .join(points, "doc_id")
+        .withColumn("bucket", F.pmod(F.xxhash64("token", "part_a", "part_b"), F.lit(n_buckets))))
+    size = lambda name: sets.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"))
+    return (dealt.groupBy("bucket").applyInArrow(_branch_pairs, "a long, b long, k long")
+            .groupBy("a", "b").agg(F.sum("k").alias("k"))
+            .join(size("a"), "a").join(size("b"), "b")
+            .filter(F.col("k") > F.floor(F.least("n_a", "n_b") / 10))
+            .select("a", "b", (F.col("k") / (F.col("n_a") + F.col("n_b"))).alias("score")))
+
+
+def _likeliest(pairs: DataFrame, per_document: int = 2) -> DataFrame:
+    """The pairs that are among the most promising ones of either document."""
+    place = Window.partitionBy("end").orderBy(F.desc("score"), "a", "b")
+    return (pairs.withColumn("end", F.explode(F.array("a", "b")))
+            .withColumn("place", F.row_number().over(place))
+            .filter(F.col("place") <= per_document).select("a", "b").distinct())
+
+
+def _with_edges(comps: DataFrame, verified: DataFrame) -> DataFrame:
+    return comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(
+        verified.filter("linked").select("a", "b"))
+
+
 def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per document.
 
@@ -371,28 +417,19 @@ def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
     first_edges = tried.filter("linked").select("a", "b").union(same_id)
     comps = settled(components(first_edges))
 
-    # Branches that hold one component only need no further search.
-    placed = settled(rows.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                     .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("k")
-    ).filter("low <> high").select("token", F.ceil(F.col("k") / BRANCH_ROWS).alias("parts"))
-    points = map_arrow(sets.select("doc_id", "tokens"), _point_rows, "doc_id long, point binary")
-    chunk = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
-    dealt = (
-        placed.join(mixed, "token").withColumn("chunk", chunk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        .withColumn("part_a", F.least("chunk", "other")).withColumn("part_b", F.greatest("chunk", "other"))
-        .join(points, "doc_id")
-        .withColumn("bucket", F.pmod(F.xxhash64("token", "part_a", "part_b"), F.lit(n_buckets))))
-    pairs = dealt.groupBy("bucket").applyInArrow(_branch_pairs, "a long, b long").distinct()
-    later = verify(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets)
-    edges = settled(later.filter("linked").select("a", "b"))
-    joined = comps.withColumnRenamed("node", "a").withColumnRenamed("component", "b").union(edges)
-    final = components(joined)
+    pairs = settled(_branch_candidates(rows, sets, comps, n_buckets)
+                    .join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+    # The likeliest pairs first: what they join needs no more of its own pairs.
+    edges = settled(verify(_likeliest(pairs), sets))
+    comps = settled(components(_with_edges(comps, edges)))
+    of = lambda name: comps.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    apart = (pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti")
+             .join(of("a"), "a", "left").join(of("b"), "b", "left")
+             .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    comps = components(_with_edges(comps, verify(apart, sets)))
 
     placed_copies = known.filter("n > 0").join(copies.select("n", "sign", "rep"), ["n", "sign"])
-    named = (placed_copies.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    named = (placed_copies.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
     empty = known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     nameless = map_arrow(
