@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellmend.operators.sizing import settled
 
-__all__ = ["settled", "buckets", "map_arrow", "pack", "unpack", "by_bucket", "components", "crc_of_id"]
+__all__ = ["settled", "importable", "buckets", "map_arrow", "pack", "unpack", "by_bucket", "components", "crc_of_id"]
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it; on a
+    cluster it is installed, and the entry does nothing."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
 
 
 def buckets(spark: SparkSession) -> int:

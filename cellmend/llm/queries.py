@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cellmend.llm.common import importable
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -15,7 +17,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: run(importable(spark), sf_dir)
         if oracle:
             ORACLES[name] = oracle.strip()
         return run
@@ -67,3 +69,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all vectors."""
     from cellmend.llm.vector_join import cosine_links
     return cosine_links(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    import public_tokenizers
+    from cellmend.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    import public_tokenizers
+    from cellmend.llm.token_counts import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
