@@ -6,13 +6,14 @@ documents from above. The bound is used at three levels of one index:
 
 1. The root. In the leading groups (a document's lowest shingle hashes) a
    document has to meet other documents often enough, or no partner exists.
-2. The branches. What is left is routed by its leading shingles. In each
-   branch a packed R-tree over 128 group counts and the size is joined with
-   itself, pruned by the summed minima of its boxes.
-3. The pairs. A pair has to survive in as many branches as two linked documents
-   share leading groups, which is the bound of level 1 for the two alone.
-
-Pairs that survive all three are verified on their whole shingle sets.
+2. The branches. Two linked documents also share one of the rarer leading
+   groups of each. Those lead a document to the branches of the most central
+   documents that have them, so a group of copies has few branches, not one for
+   each of its shingles.
+3. The leaves. In each branch a packed R-tree over 512 group counts and the size
+   is joined with itself, pruned by the summed minima of its boxes.
+
+Pairs that survive are verified on their whole shingle sets.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ from cellmend.llm import text_arrays as ta
 from cellmend.llm.common import buckets, by_bucket, components, map_arrow, pack, settled, unpack
 
 #: Groups of the count vectors in the leaves.
-GROUPS = 128
+GROUPS = 512
 #: Rows of one leaf job; a larger branch is dealt out in blocks of about so many rows.
 BRANCH_ROWS = 4096
 FANOUT = 16
 _FLUSH_TOKENS = 1 << 20
 _BOX_PAIRS = 1 << 10
-_UNBOUNDED = 65535  # a group count of so much or more bounds nothing
+_UNBOUNDED = 65535  # a document with so great a group count is not bounded
 
 
 def least_partner(n):
@@ -183,10 +184,10 @@ def _lead_rows(batches):
 
 def _point_rows(batches):
     for batch in batches:
-        points = [np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(57)).astype(np.int64),
+        points = [np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(55)).astype(np.int64),
                               minlength=GROUPS) for x in batch.column("tokens")]
-        points = [np.minimum(p, _UNBOUNDED).astype(np.uint16) for p in points]
-        yield {"doc_id": batch.column("doc_id"), "point": [pack(p) for p in points]}
+        points = [np.full(GROUPS, _UNBOUNDED) if p.max() >= _UNBOUNDED else p for p in points]
+        yield {"doc_id": batch.column("doc_id"), "point": [pack(p.astype(np.uint16)) for p in points]}
 
 
 def _set_rows(batches):
@@ -262,53 +263,45 @@ class Tree:
         fits = (4 * left[2][a] >= 3 * low_b) & (4 * right[2][b] >= 3 * low_a) & ~one
         a, b = a[fits], b[fits]
         keep = np.zeros(len(a), bool)
-        for i in range(0, len(a), 1 << 14):
-            s = slice(i, i + (1 << 14))
-            bound = np.minimum(left[0][a[s]], right[0][b[s]]).sum(axis=1)
+        for i in range(0, len(a), 1 << 12):
+            s = slice(i, i + (1 << 12))
+            bound = np.minimum(left[0][a[s]], right[0][b[s]]).sum(axis=1, dtype=np.int64)
             keep[s] = reaches(bound, left[1][a[s]], right[1][b[s]])
         return a[keep], b[keep]
 
 
 def _branch_pairs(batch: pa.Table) -> pa.Table:
-    """Pairs that survive in the branches of one bucket."""
-    token, docs = batch["token"].to_numpy(), batch["doc_id"].to_numpy()
-    sizes, comps = batch["n"].to_numpy(), batch["component"].to_numpy()
-    points = unpack(batch["point"], np.uint16).reshape(-1, GROUPS).astype(np.int32)
-    points[points == _UNBOUNDED] = 1 << 23
-    chunk, left, right = (batch[c].to_numpy() for c in ("chunk", "part_a", "part_b"))
-    order = np.lexsort((docs, chunk, right, left, token))
-    key = np.stack([token[order], left[order], right[order]])
+    """Pairs that survive in the branches of one bucket, with their bound."""
+    docs, sizes, comps = (batch[c].to_numpy() for c in ("doc_id", "n", "component"))
+    hub, chunk, left, right = (batch[c].to_numpy() for c in ("hub", "chunk", "part_a", "part_b"))
+    points = unpack(batch["point"], np.uint16).reshape(-1, GROUPS)
+    order = np.lexsort((docs, right, left, hub))
+    key = np.stack([hub[order], left[order], right[order]])
     limits = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True])
-    found_a, found_b = [], []
-    pairs_of_two = np.flatnonzero(np.diff(limits) == 2)
-    i, j = order[limits[pairs_of_two]], order[limits[pairs_of_two] + 1]
-    for s in range(0, len(i), 1 << 14):
-        a, b = i[s:s + (1 << 14)], j[s:s + (1 << 14)]
-        ok = (comps[a] != comps[b]) & reaches(np.minimum(points[a], points[b]).sum(axis=1), sizes[a], sizes[b])
-        # Blocks that meet to be compared with each other give no pairs of their own.
-        ok &= (left[a] == right[a]) | (chunk[a] != chunk[b])
-        found_a.append(docs[a[ok]])
-        found_b.append(docs[b[ok]])
-    for g in np.flatnonzero(np.diff(limits) > 2):
-        rows = order[limits[g]:limits[g + 1]]
+    none = np.zeros(0, np.int64)
+    found_a, found_b, score = [none], [none], [np.zeros(0)]
+    for i, j in zip(limits[:-1], limits[1:]):
+        rows = order[i:j]
         tree = lambda r: Tree(points[r], sizes[r], comps[r])
         if left[rows[0]] == right[rows[0]]:
-            a, b = tree(rows).join()
+            a, b = tree(rows).join() if j - i > 1 else (none, none)
             a, b = rows[a], rows[b]
         else:
             one, two = rows[chunk[rows] == left[rows]], rows[chunk[rows] == right[rows]]
-            if not len(one) or not len(two):
-                continue
-            a, b = tree(one).join(tree(two))
+            a, b = tree(one).join(tree(two)) if len(one) and len(two) else (none, none)
             a, b = one[a], two[b]
+        for s in range(0, len(a), 1 << 12):
+            x, y = a[s:s + (1 << 12)], b[s:s + (1 << 12)]
+            bound = np.minimum(points[x], points[y]).sum(axis=1, dtype=np.int64)
+            score.append(bound / (sizes[x] + sizes[y]))
         found_a.append(docs[a])
         found_b.append(docs[b])
-    a = np.concatenate([*found_a, np.zeros(0, np.int64)]).astype(np.int64)
-    b = np.concatenate([*found_b, np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.lexsort((np.maximum(a, b), np.minimum(a, b)))
-    a, b = np.minimum(a, b)[order], np.maximum(a, b)[order]
-    cut = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
-    return pa.table({"a": a[cut], "b": b[cut], "k": np.diff(np.r_[cut, len(a)])})
+    a, b, score = (np.concatenate(x) for x in (found_a, found_b, score))
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return pa.table({"a": a[fresh], "b": b[fresh], "score": score[order][fresh]})
 
 
 def _verified(batches):
@@ -329,45 +322,56 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                      "a long, b long, linked boolean")
 
 
-def _first_pairs(rows: DataFrame) -> DataFrame:
-    """Each document with the two branch leaders that it shares most branches
-    with, if enough: this joins most groups, whatever their size, without their
-    pairs. What it misses is found in the branches."""
-    leaders = rows.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "n")).alias("leader"),
-        F.count(F.lit(1)).alias("k")).filter("k > 1").select(
-        "token", F.col("leader.doc_id").alias("leader"), F.col("leader.n").alias("leader_n"))
-    met = (rows.join(leaders, "token")
-           .filter("doc_id <> leader AND 4 * n >= 3 * leader_n AND 4 * leader_n >= 3 * n")
-           .groupBy("doc_id", "leader", "n", "leader_n").agg(F.count(F.lit(1)).alias("k"))
-           .filter(F.col("k") > F.floor(F.least("n", "leader_n") / 10)))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("k", "leader")), False), 1, 2)
-    return met.groupBy("doc_id").agg(best.alias("best")).select(
-        "doc_id", F.explode("best.leader").alias("leader")).select(
-        F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
-
-
-def _branch_candidates(rows: DataFrame, sets: DataFrame, comps: DataFrame, n_buckets: int) -> DataFrame:
-    """``(a, b, score)``: pairs of different components that survive in enough
-    branches. A branch that holds one component only is not searched."""
-    placed = settled(rows.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+def _branches(rows: DataFrame) -> DataFrame:
+    """``(hub, doc_id, n, k)``: the branches that each document is led to, and
+    by how many of its shingles.
+
+    Of its leading shingles, a document's most frequent ones, as many as it must
+    share with a partner beyond the first, need not lead anywhere. Each other
+    leads to the hub of the documents that have it: the one whose shingles are
+    most common among all, hence near the middle of a group of copies.
+    """
+    crowd = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    own = Window.partitionBy("doc_id")
+    led = (rows.join(crowd, "token")
+           .withColumn("place", F.row_number().over(own.orderBy(F.desc("k"), "token")))
+           .withColumn("central", F.sum("k").over(own) / F.col("n"))
+           .filter(F.col("place") > F.floor(F.col("n") / 10))
+           .select("token", "doc_id", "n", "central"))
+    led = settled(led)
+    hubs = led.groupBy("token").agg(
+        F.max(F.struct("central", F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("hub"))).alias("top"),
+        F.count(F.lit(1)).alias("k")).filter("k > 1").select("token", "top.hub")
+    return led.join(hubs, "token").groupBy("hub", "doc_id", "n").agg(F.count(F.lit(1)).alias("k"))
+
+
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Each document with the two hubs that most of its shingles lead to, if
+    enough do: this joins most groups, whatever their size, without their pairs.
+    What it misses is found in the branches."""
+    place = Window.partitionBy("doc_id").orderBy(F.desc("k"), "hub")
+    return (members.filter((F.col("hub") != F.col("doc_id")) & (F.col("k") > F.floor(F.col("n") / 20)))
+            .withColumn("place", F.row_number().over(place)).filter("place <= 2")
+            .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct())
+
+
+def _branch_candidates(members: DataFrame, sets: DataFrame, comps: DataFrame, n_buckets: int) -> DataFrame:
+    """``(a, b, score)``: pairs of different components that survive in a branch.
+    A branch that holds one component only is not searched."""
+    placed = settled(members.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                      .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("k")
-    ).filter("low <> high").select("token", F.ceil(F.col("k") / BRANCH_ROWS).alias("parts"))
+    mixed = placed.groupBy("hub").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
+    ).filter("low <> high").select("hub", F.ceil(F.col("rows") / BRANCH_ROWS).alias("parts"))
     points = map_arrow(sets.select("doc_id", "tokens"), _point_rows, "doc_id long, point binary")
     dealt = (
-        placed.join(mixed, "token").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+        placed.join(mixed, "hub").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .withColumn("part_a", F.least("chunk", "other")).withColumn("part_b", F.greatest("chunk", "other"))
         .join(points, "doc_id")
-        .withColumn("bucket", F.pmod(F.xxhash64("token", "part_a", "part_b"), F.lit(n_buckets))))
-    size = lambda name: sets.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"))
-    return (dealt.groupBy("bucket").applyInArrow(_branch_pairs, "a long, b long, k long")
-            .groupBy("a", "b").agg(F.sum("k").alias("k"))
-            .join(size("a"), "a").join(size("b"), "b")
-            .filter(F.col("k") > F.floor(F.least("n_a", "n_b") / 10))
-            .select("a", "b", (F.col("k") / (F.col("n_a") + F.col("n_b"))).alias("score")))
+        .withColumn("bucket", F.pmod(F.xxhash64("hub", "part_a", "part_b"), F.lit(n_buckets))))
+    return (dealt.groupBy("bucket").applyInArrow(_branch_pairs, "a long, b long, score double")
+            .groupBy("a", "b").agg(F.max("score").alias("score")))
 
 
 def _likeliest(pairs: DataFrame, per_document: int = 2) -> DataFrame:
@@ -408,16 +412,15 @@ def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
     sets = settled(map_arrow(texts, _set_rows, "doc_id long, n long, sign long, tokens binary")
                    .join(survivors, ["doc_id", "n", "sign"], "left_semi").dropDuplicates(["doc_id", "n", "sign"]))
     rows = map_arrow(sets.select("doc_id", "n", "tokens"), _lead_rows, "token long, doc_id long, n long")
-    crowded = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    rows = settled(rows.join(crowded, "token", "left_semi"))
+    members = settled(_branches(rows))
 
-    tried = settled(verify(_first_pairs(rows), sets))
+    tried = settled(verify(_first_pairs(members), sets))
     same_id = known.filter("sets > 1 AND n > 0").join(copies, ["n", "sign"]).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     first_edges = tried.filter("linked").select("a", "b").union(same_id)
     comps = settled(components(first_edges))
 
-    pairs = settled(_branch_candidates(rows, sets, comps, n_buckets)
+    pairs = settled(_branch_candidates(members, sets, comps, n_buckets)
                     .join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     # The likeliest pairs first: what they join needs no more of its own pairs.
     edges = settled(verify(_likeliest(pairs), sets))

@@ -85,3 +85,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from cellmend.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_source_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document the mix takes."""
+    from cellmend.llm.mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents")).taken()

@@ -99,19 +99,31 @@ def text_runs(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray,
         row = end
 
 
+def _spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte spans of the words of a run of texts."""
+    space = _IS_SPACE[data]
+    edge = np.ones(len(data) + 1, bool)  # a word may begin or end here
+    np.not_equal(space[1:], space[:-1], out=edge[1:-1])
+    edge[at] = True
+    places = np.flatnonzero(edge)
+    inner = places[:-1]
+    real = ~space[inner] if len(data) else np.zeros(0, bool)
+    return inner[real], places[1:][real]
+
+
+def word_limits(column: pa.Array | pa.ChunkedArray):
+    """(rows, first word of each text, ((bytes, text offsets), word starts)), run by run."""
+    for rows, data, at in text_runs(column):
+        starts, _ = _spans(data, at)
+        yield rows, np.searchsorted(starts, at), ((data, at), starts)
+
+
 def words_of(column: pa.Array | pa.ChunkedArray, lower: bool) -> Iterator[Words]:
     """The words of all texts, run by run."""
     for rows, data, at in text_runs(column):
-        space = _IS_SPACE[data]
+        starts, ends = _spans(data, at)
         if lower:
             data = _LOWER[data]
-        edge = np.ones(len(data) + 1, bool)  # a word may begin or end here
-        np.not_equal(space[1:], space[:-1], out=edge[1:-1])
-        edge[at] = True
-        places = np.flatnonzero(edge)
-        inner = places[:-1]
-        real = ~space[inner] if len(data) else np.zeros(0, bool)
-        starts, ends = inner[real], places[1:][real]
         yield Words(rows, np.searchsorted(starts, at), span_hashes(data, starts, ends),
                     data, starts, ends, at)
 
