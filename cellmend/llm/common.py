@@ -36,9 +36,10 @@ def crc_of_id(doc_id: str = "doc_id") -> F.Column:
 
 
 def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]],
-              schema: str) -> DataFrame:
-    """``mapInArrow`` with steps that give dictionaries of arrays."""
-    names = [part.split()[0] for part in schema.split(",")]
+              schema: str, names: list[str] | None = None) -> DataFrame:
+    """``mapInArrow`` with steps that give dictionaries of arrays; ``names`` if
+    they cannot be read off a schema of plain columns."""
+    names = names or [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in step(batches):

@@ -92,3 +92,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each document the mix takes."""
     from cellmend.llm.mixing import mix_sources
     return mix_sources(table(spark, sf_dir, "documents")).taken()
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    from cellmend.llm.toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by the nearest labelled ones."""
+    from cellmend.llm.quality_votes import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Stands for the secret key that an owner passes to ``pseudonymise``.
+EXAMPLE_KEY = b"an example key, not a secret"
+
+
+@query("op1_pii_pseudonyms")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced by pseudonyms."""
+    from cellmend.llm.pii import pseudonymise
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), EXAMPLE_KEY)

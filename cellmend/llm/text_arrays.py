@@ -23,8 +23,8 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, *range(9, 14)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -123,7 +123,7 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool) -> Iterator[Words]
     for rows, data, at in text_runs(column):
         starts, ends = _spans(data, at)
         if lower:
-            data = _LOWER[data]
+            data = LOWER[data]
         yield Words(rows, np.searchsorted(starts, at), span_hashes(data, starts, ends),
                     data, starts, ends, at)
 
