@@ -117,3 +117,61 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their personal data replaced by pseudonyms."""
     from cellmend.llm.pii import pseudonymise
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), EXAMPLE_KEY)
+
+
+def _op2_oracle() -> str:
+    from cellmend.llm.quality_rules import STOP_WORDS
+    stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    space = r"[\x20\x09-\x0D]+"
+    return rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{space}'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    len(list_filter(regexp_split_to_array(translate(lower(text), '.,;:!?', '      '), '{space}'),
+      lambda x: x IN ({stops}))) AS n_stop
+  FROM t),
+g AS (
+  SELECT doc_id, unnest(range(1, len(words) - 3)) AS i,
+    unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS x
+  FROM w WHERE len(words) >= 5),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM g),
+c AS (
+  SELECT doc_id, sum(least(5, coalesce(after - i, 5))) AS n FROM (
+    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM d WHERE n > 1)
+  GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, n_stop, len(lines) AS n_lines,
+    CAST(length(regexp_replace(text, '{space}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
+v AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    coalesce(word_chars / nullif(n_words, 0) BETWEEN 2.5 AND 12.0, false) AS ok_mean_word_length,
+    coalesce(n_symbols / nullif(n_words, 0) <= 0.1, false) AS ok_symbol_ratio,
+    coalesce(n_stop / nullif(n_words, 0) >= 0.04, false) AS ok_stop_word_ratio,
+    coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.35, false) AS ok_duplicate_line_ratio,
+    coalesce(n_words / nullif(n_lines, 0) >= 1.5, false) AS ok_words_per_line
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND ok_mean_word_length AND ok_symbol_ratio AND ok_stop_word_ratio
+    AND ok_duplicate_line_ratio AND ok_words_per_line AS kept,
+  ok_mean_word_length, ok_symbol_ratio, ok_stop_word_ratio, ok_duplicate_line_ratio, ok_words_per_line
+FROM v
+"""
+
+
+@query("op2_quality_rules", _op2_oracle())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdicts of all documents."""
+    from cellmend.llm.quality_rules import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    from cellmend.llm.suffix_tree_lm import score_texts
+    return score_texts(table(spark, sf_dir, "documents"))
