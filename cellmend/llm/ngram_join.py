@@ -440,3 +440,17 @@ def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
         _set_rows, "doc_id long, n long, sign long, tokens binary").select(
         "doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return named.unionByName(empty).unionByName(nameless)
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: the one of smallest
+    ``doc_id``. Documents without shingles or ``doc_id`` stay; of rows that
+    repeat a ``doc_id`` one stays. All columns pass unchanged."""
+    found = ngram_jaccard_components(docs)
+    chosen = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    repeated = settled(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                       .filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"))
+    kept = docs.join(chosen, "doc_id", "left_semi")
+    return (kept.join(repeated, "doc_id", "left_anti")
+            .unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+            .unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns))
