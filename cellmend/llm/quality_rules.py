@@ -42,11 +42,11 @@ class Rule:
 
 
 RULES = (
-    Rule("mean_word_length", "word_chars / n_words", 2.5, 12.0),
-    Rule("symbol_ratio", "n_symbols / n_words", most=0.1),
-    Rule("stop_word_ratio", "n_stop_words / n_words", 0.04),
-    Rule("duplicate_line_ratio", "n_dup_lines / n_lines", most=0.35),
-    Rule("words_per_line", "n_words / n_lines", 1.5),
+    Rule("mean_word_length", "try_divide(word_chars, n_words)", 2.5, 12.0),
+    Rule("symbol_ratio", "try_divide(n_symbols, n_words)", most=0.1),
+    Rule("stop_word_ratio", "try_divide(n_stop_words, n_words)", 0.04),
+    Rule("duplicate_line_ratio", "try_divide(n_dup_lines, n_lines)", most=0.35),
+    Rule("words_per_line", "try_divide(n_words, n_lines)", 1.5),
 )
 
 

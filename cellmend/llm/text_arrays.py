@@ -130,9 +130,10 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool) -> Iterator[Words]
 
 def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of every n successive numbers (len - n + 1 of them)."""
-    out = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
+    size = max(0, len(hashes) - n + 1)
+    out = np.zeros(size, np.uint64)
     for k in range(n):
-        out = out * _STEP + hashes[k:len(hashes) - n + 1 + k]
+        out = out * _STEP + hashes[k:k + size]
     return mix(out)
 
 
