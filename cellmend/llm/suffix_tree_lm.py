@@ -35,7 +35,7 @@ DISCOUNT = 0.5
 LEAST_GAIN = 4.0
 END = np.uint64(0x5AFE0FE0D0FADA7A)
 _SHIFT = np.int64(1 << 21)
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 
 def tokens_of(column):

@@ -18,9 +18,11 @@ from cellmend.llm.common import crc_of_id, map_arrow, pack
 from cellmend.llm.text_arrays import LOWER, span_hashes, text_runs
 
 #: The training sample's bounds: confirmed toxic texts, unlabelled texts.
-MOST_POSITIVE = 4000
-MOST_UNLABELLED = 8000
+MOST_POSITIVE = 3000
+MOST_UNLABELLED = 6000
 FEATURES = 1024
+#: Features are hashed to so many bits: four bytes each in the sample.
+FEATURE_BITS = 22
 #: Least share of the toxic texts that a feature occurs in.
 LEAST_RATE = 0.01
 _PREFIXES = (4, 5, 6)
@@ -31,7 +33,7 @@ _LETTER[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
 
 
 def text_features(column: pa.Array):
-    """(rows, feature hashes, their texts): each run of letters and its first
+    """(rows, hashed features, their texts): each run of letters and its first
     letters, lower-cased, run of texts by run of texts."""
     for rows, data, at in text_runs(column):
         data = LOWER[data]
@@ -48,12 +50,13 @@ def text_features(column: pa.Array):
             long = ends - starts > n
             hashes.append(span_hashes(data, starts[long], starts[long] + n) + np.uint64(n))
             owners.append(owner[long])
-        yield rows, np.concatenate(hashes), np.concatenate(owners)
+        keys = (np.concatenate(hashes) >> np.uint64(64 - FEATURE_BITS)).astype(np.uint32)
+        yield rows, keys, np.concatenate(owners)
 
 
 @dataclass
 class Model:
-    keys: np.ndarray     # feature hashes in order
+    keys: np.ndarray     # hashed features in order
     weights: np.ndarray
     bias: float
 
@@ -112,7 +115,7 @@ def distinct_texts(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
-    """Train on each text's distinct feature hashes; the most telling
+    """Train on each text's distinct features, in order; the most telling
     ``FEATURES`` of them are kept."""
     keep = np.zeros(len(rows), bool)
     for side in (positive, ~positive):
@@ -120,23 +123,19 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
         keep[at] = distinct_texts([rows[i] for i in at])
     rows, positive = [r for r, k in zip(rows, keep) if k], positive[keep]
     if not len(rows) or not positive.any() or positive.all():
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    flat = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    keys, back = np.unique(flat, return_inverse=True)
-    in_p = np.bincount(back[positive[owner]], minlength=len(keys))
-    in_u = np.bincount(back[~positive[owner]], minlength=len(keys))
-    rate_p, rate_u = in_p / positive.sum(), (in_u + 1) / ((~positive).sum() + 1)
+        return Model(np.zeros(0, np.uint32), np.zeros(0), float(np.log(prior / (1 - prior))))
+    in_p, in_u = np.zeros(1 << FEATURE_BITS, np.int32), np.zeros(1 << FEATURE_BITS, np.int32)
+    for row, confirmed in zip(rows, positive):
+        (in_p if confirmed else in_u)[row] += 1  # a text's features are distinct
     # A telling feature is about as much more frequent here as the prior allows.
-    telling = (in_p >= max(4, LEAST_RATE * positive.sum())) & (rate_p / rate_u >= 0.4 / prior)
-    gain = np.where(telling, rate_p * np.log(np.maximum(rate_p / rate_u, 1e-9)), -np.inf)
+    often = np.flatnonzero(in_p >= max(4, LEAST_RATE * positive.sum()))
+    rate_p, rate_u = in_p[often] / positive.sum(), (in_u[often] + 1) / ((~positive).sum() + 1)
+    gain = np.where(rate_p / rate_u >= 0.4 / prior, rate_p * np.log(rate_p / rate_u), -np.inf)
     best = np.sort(np.argsort(-gain, kind="stable")[:FEATURES])
-    best = best[gain[best] > 0]
-    column = np.full(len(keys), -1)
-    column[best] = np.arange(len(best))
+    best = often[best[gain[best] > 0]]
     x = np.zeros((len(rows), len(best)), np.float32)
-    used = column[back] >= 0
-    x[owner[used], column[back][used]] = 1
+    for i, row in enumerate(rows):
+        x[i] = np.isin(best, row, assume_unique=True)
     w, b = np.zeros(len(best)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(best) + 1), np.zeros(len(best) + 1)
     for step in range(1, _STEPS + 1):
@@ -145,7 +144,7 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         change = _RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - change[:-1], b - change[-1]
-    return Model(keys[best], w, b)
+    return Model(best.astype(np.uint32), w, b)
 
 
 def _feature_rows(batches):
@@ -172,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> Model:
     sample = docs.select("doc_id", "text").join(F.broadcast(positive.union(unlabelled)), "doc_id")
     table = map_arrow(sample.select("doc_id", "positive", "text"), _feature_rows,
                       "positive boolean, features binary").toArrow()
-    rows = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["features"]]
+    rows = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["features"]]
     return fit(rows, table["positive"].to_numpy().astype(bool), prior)
 
 
