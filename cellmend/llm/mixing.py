@@ -183,7 +183,9 @@ def _sizes(batches):
 class Mix:
     """``documents``: doc_id, source, size, source_size, target, rank, start;
     ``slots``: shard, slot, rank, block, around, words;
-    ``blocks``: the documents' parts of each block."""
+    ``blocks``: the documents' parts of each block. Slots and blocks both grow
+    with the corpus and Spark cannot tell how many there will be, hence the hint
+    to sort both and never to broadcast one."""
     documents: DataFrame
     slots: DataFrame
     blocks: DataFrame
@@ -191,13 +193,13 @@ class Mix:
     def spans(self) -> DataFrame:
         """The mix itself: ``shard, slot, at, doc_id, first_word, n_words,
         around``; ``at`` is the place of the words within the slot."""
-        return (self.blocks.join(self.slots, ["rank", "block"])
+        return (self.blocks.hint("merge").join(self.slots.hint("merge"), ["rank", "block"])
                 .withColumn("n_words", F.least("to", "words") - F.col("at")).filter("n_words > 0")
                 .select("shard", "slot", "at", "doc_id", "source", "size", "first_word", "n_words", "around"))
 
     def taken(self) -> DataFrame:
         """``doc_id, size, source_size, target, taken`` for every row of the input."""
-        met = self.blocks.join(self.slots, ["rank", "block"], "left")
+        met = self.blocks.hint("merge").join(self.slots.hint("merge"), ["rank", "block"], "left")
         words = F.greatest(F.least("to", F.coalesce("words", F.lit(0))) - F.col("at"), F.lit(0))
         counted = met.groupBy("rank", "start", "doc_id").agg(
             F.sum(words).alias("taken"))
