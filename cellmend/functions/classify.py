@@ -85,8 +85,12 @@ def header_cell_type(col: Column) -> Column:
 
 
 def looks_like_data(cell: Column) -> Column:
-    """The cell holds an e-mail address or is a run of three or more digits."""
-    return cell.rlike(fv.EMAIL_ANYWHERE) | cell.rlike(fv.LONG_DIGITS)
+    """The cell holds an e-mail address or is a run of three or more digits.
+
+    One character before the sign tells as much as the whole local part, and
+    spares a search that starts anew at every character of a long cell.
+    """
+    return (cell.contains("@") & cell.rlike(fv.EMAIL_ANYWHERE)) | cell.rlike(fv.LONG_DIGITS)
 
 
 def has_data_patterns(row: Column) -> Column:

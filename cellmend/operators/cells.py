@@ -114,14 +114,19 @@ def count_values(cells: DataFrame) -> DataFrame:
     One shuffle, of distinct values, after a partial aggregate in the map
     tasks; a value that fills a third of the table costs one row per task.
     """
+    keyed = keyed_cells(cells)
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def keyed_cells(cells: DataFrame) -> DataFrame:
+    """Cells with their texts folded, and digests in the place of long ones."""
     kept = [c for c in cells.columns if c != "text"]
     folded = F.col("_folded")
     # The text is folded in a projection of its own, so once per cell.
-    keyed = (
+    return (
         cells.select(*kept, F.when(F.col("text").isNotNull(), folded_text(F.col("text")))
                      .alias("_folded"))
         .select(*kept, text_key(folded).alias("key_text"), long_text_type(folded).alias("long_type")))
-    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
@@ -133,6 +138,18 @@ def value_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None =
         "kind", F.element_at(labels, F.col("col_idx") + 1))
 
 
+def type_counts(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
+    """``(*by, col_idx, cell_type, n)``: cells are classified where they are
+    read, so only a few counts per column and task are shuffled."""
+    columns = columns or [c for c in df.columns if c not in by]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    labels = F.array(*[F.lit(value_kind(types[c])) for c in columns])
+    cells = keyed_cells(value_cells(df, by, columns)).withColumn(
+        "kind", F.element_at(labels, F.col("col_idx") + 1))
+    return with_cell_type(cells).groupBy(*[F.col(quoted(b)) for b in by], "col_idx", "cell_type").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def with_cell_type(counts: DataFrame) -> DataFrame:
     """Classify each distinct value: typed columns by type, text by its form."""
     missing = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellmend.functions.classify import is_nullish, matches_pattern
 from cellmend.functions.normalize import quoted
-from cellmend.operators.cells import KEY_FIELDS, value_counts, with_cell_type
+from cellmend.operators.cells import KEY_FIELDS, type_counts, value_counts, with_cell_type
 from cellmend.operators.metrics import entropy_bits, n_log_n, pct
 
 
@@ -23,7 +23,7 @@ def type_ratio_drift(df: DataFrame, batch: str, columns: list[str]) -> DataFrame
     its shares in the batches before; beyond 2 it is flagged. The window runs
     over (column, type, batch) shares, not over rows.
     """
-    counts = with_cell_type(value_counts(df, [batch], columns))
+    counts = type_counts(df, [batch], columns)
     shares = counts.groupBy(batch, "col_idx").agg(
         F.sum("n").alias("n"),
         *[F.sum(F.when(F.col("cell_type") == t, F.col("n")).otherwise(0)).alias(t)

@@ -30,14 +30,15 @@ def _text_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 
 _TYPES = ("null", "int", "float", "string")
-_MOST_FIELDS = 1 << 20
+_WIDTHS = 1 << 31  # more than the fields a record can have
 
 
 def _per_column(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Column statistics plus the first cell and, for widths, the modal ones.
 
-    Count and width share one integer, and cell types are codes, so that all
-    buffers are fixed-size and the aggregate stays a hash aggregate.
+    Count and width share one decimal with room for both, and cell types are
+    codes, so that all buffers are fixed-size and the aggregate stays a hash
+    aggregate.
     """
     typed = with_cell_type(counts)
     width = F.col("key_text").try_cast("bigint")
@@ -45,17 +46,19 @@ def _per_column(counts: DataFrame, keys: list[str]) -> DataFrame:
     for i, name in enumerate(_TYPES):
         code = F.when(F.col("cell_type") == name, i).otherwise(code)
     is_width = F.col("is_width")
-    packed = lambda w: F.max(F.when(is_width, F.col("n") * _MOST_FIELDS + w))
+    whole = lambda c, digits: c.cast(f"decimal({digits},0)")
+    base = whole(F.lit(_WIDTHS), 10)
+    packed = lambda w: F.max(F.when(is_width, whole(F.col("n"), 19) * base + whole(w, 11)))
     return typed.groupBy(*keys).agg(
         F.min("place").alias("first_place"),
         F.min_by("n", "place").alias("first_n"),
         F.min_by(code, F.col("place")).alias("first_type"),
         packed(width).alias("widest_top"),
-        packed(_MOST_FIELDS - 1 - width).alias("narrowest_top"),
+        packed(_WIDTHS - 1 - width).alias("narrowest_top"),
         *type_counters()
-    ).withColumn("top_n", F.floor(F.col("widest_top") / _MOST_FIELDS)).withColumn(
-        "top_is_tie", F.col("widest_top") % _MOST_FIELDS
-        != _MOST_FIELDS - 1 - F.col("narrowest_top") % _MOST_FIELDS)
+    ).withColumn("top_n", ((F.col("widest_top") - F.col("widest_top") % base) / base).cast("bigint")
+    ).withColumn("top_is_tie", (F.col("widest_top") % base).cast("bigint")
+                 != _WIDTHS - 1 - (F.col("narrowest_top") % base).cast("bigint"))
 
 
 def _without_header(stats: DataFrame, header: Column) -> DataFrame:

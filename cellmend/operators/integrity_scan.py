@@ -13,7 +13,7 @@ from cellmend.operators.metrics import METRIC_FIELDS
 from cellmend.operators.sizing import broadcast_if_small, settled
 from cellmend.sources.delimited import detect_delimiter, records
 from cellmend.sources.json import (
-    MAX_DEPTH, brace_bound, document_records, flatten_cells, is_object_line, line_records)
+    document_records, flatten_cells, is_object_line, line_records)
 from cellmend.sources.listing import scan_inventory
 from cellmend.sources.text import ends_open, read_lines
 
@@ -28,7 +28,6 @@ def file_facts(lines: DataFrame) -> DataFrame:
     is_json = F.col("reader") == "json"
     flags = lines.groupBy("file_path", "reader").agg(
         F.bool_and(~is_json | is_object_line(F.col("line"))).alias("by_line"),
-        F.max(F.when(is_json, brace_bound(F.col("line")))).alias("braces"),
         *[F.bool_or(~is_json & ends_open(F.col("line"), sep)).alias(f"broken_{i}")
           for i, sep in enumerate(fv.SEPARATORS)])
     # The test looks at a file's beginning only, hence at its first split.
@@ -39,7 +38,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
         broken = F.when(F.col("sep") == candidate, F.col(f"broken_{i}")).otherwise(broken)
     return settled(
         flags.join(seps, "file_path", "left").withColumn("sep", sep)
-        .select("file_path", "reader", "sep", broken.alias("broken"), "by_line", "braces"))
+        .select("file_path", "reader", "sep", broken.alias("broken"), "by_line"))
 
 
 def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFrame:
@@ -55,9 +54,8 @@ def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFram
         F.trim("file_path").alias("file_path"), "reader", "headed").dropDuplicates(["file_path"]))
     lines = read_lines(spark, root).join(broadcast_if_small(wanted), "file_path")
     facts = file_facts(lines)
-    occurring = facts.groupBy("reader", "broken", "by_line").agg(F.max("braces").alias("braces"))
-    kinds = {(r["reader"], r["broken"], r["by_line"]): r["braces"]
-             for r in occurring.collect()}  # 12 rows at most
+    kinds = {(r["reader"], r["broken"], r["by_line"])
+             for r in facts.select("reader", "broken", "by_line").distinct().collect()}  # 12 at most
     known = lines.drop("reader").join(broadcast_if_small(facts), "file_path")
 
     text_parts = []
@@ -67,14 +65,11 @@ def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFram
     if any(reader != "json" and broken for reader, broken, _ in kinds):
         text_parts.append(records(known.filter("reader <> 'json' AND broken"),
                                   F.col("sep"), multiline=True))
-    json_parts, depth = [], 1
-    for (reader, _, by_line), braces in kinds.items():
-        if reader == "json" and by_line:
-            json_parts.append(line_records(known.filter("reader = 'json' AND by_line")))
-            depth = max(depth, min(braces, MAX_DEPTH))
-        elif reader == "json":
-            json_parts.append(document_records(known.filter("reader = 'json' AND NOT by_line")))
-            depth = MAX_DEPTH
+    json_parts = []
+    if any(reader == "json" and by_line for reader, _, by_line in kinds):
+        json_parts.append(line_records(known.filter("reader = 'json' AND by_line")))
+    if any(reader == "json" and not by_line for reader, _, by_line in kinds):
+        json_parts.append(document_records(known.filter("reader = 'json' AND NOT by_line")))
 
     outcomes = []
     if text_parts:
@@ -83,15 +78,13 @@ def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFram
         outcomes.append(metrics.withColumn("problem", F.lit("")))
     if json_parts:
         found = reduce(DataFrame.unionByName, json_parts)
-        outcomes.append(profile_json(flatten_cells(found, max_depth=depth)).withColumn("problem", F.lit("")))
-        # An empty array is a table without rows; an unreadable file an error.
-        empty = (found.groupBy("file_path")
-                 .agg(F.max("error").alias("problem"), F.count("record").alias("n"))
-                 .filter("n = 0"))
-        zero = lambda m, kind: F.when(F.col("problem").isNull(), F.lit(0)).cast(kind).alias(m)
-        outcomes.append(empty.select(
-            "file_path", *[zero(m, "double") for m in METRIC_FIELDS[:4]],
-            *[zero(m, "bigint") for m in METRIC_FIELDS[4:]],
+        metrics = profile_json(flatten_cells(found))
+        # A file with a bad record is an error; an empty array a table without rows.
+        states = found.groupBy("file_path").agg(F.max("error").alias("problem"))
+        fine = F.col("problem").isNull()
+        outcomes.append(states.join(metrics, "file_path", "left").select(
+            "file_path", *[F.when(fine, F.coalesce(m, F.lit(0).cast(metrics.schema[m].dataType))).alias(m)
+                           for m in METRIC_FIELDS],
             F.coalesce("problem", F.lit("")).alias("problem")))
 
     by_path = routed.withColumn("_path", F.trim("file_path"))

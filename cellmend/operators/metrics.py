@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cellmend.functions.classify import is_nullish
 from cellmend.functions.normalize import quoted
 from cellmend.operators.cells import (
-    count_values, value_cells, value_counts, value_kind, with_cell_type)
+    count_values, type_counts, value_cells, value_counts, value_kind, with_cell_type)
 
 METRICS = ["null_pct", "field_deviation_pct", "type_deviation_pct", "entropy_delta_pct"]
 METRIC_FIELDS = METRICS + ["total_rows", "total_cells"]
@@ -149,8 +149,12 @@ def json_key_width(record: Column) -> Column:
 
 def type_deviation(df: DataFrame) -> DataFrame:
     """One row: share of filled cells off their column's most common type."""
-    columns = finish_columns(column_stats(value_counts(df), ["col_idx"]))
-    return columns.agg(pct(F.sum("n_off_type"), F.sum("n_filled")).alias("type_deviation_pct"))
+    filled = F.col("cell_type") != "null"
+    columns = type_counts(df).groupBy("col_idx").agg(
+        F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("n_filled"),
+        F.coalesce(F.max(F.when(filled, F.col("n"))), F.lit(0)).alias("n_modal"))
+    return columns.agg(pct(F.sum(F.col("n_filled") - F.col("n_modal")), F.sum("n_filled"))
+                       .alias("type_deviation_pct"))
 
 
 def entropy_delta_pct(df: DataFrame) -> DataFrame:

@@ -75,14 +75,44 @@ def add_lineage(df: DataFrame, source: Column | str) -> DataFrame:
 def clean_table(df: DataFrame, names: list[str] | None = None, keys: list[str] | None = None,
                 fill: str = "UNKNOWN", source: Column | str | None = None) -> DataFrame:
     """Rename, deduplicate, drop null keys, fill nulls, convert types, trim,
-    and add lineage when a source is given, in that order."""
+    and add lineage when a source is given, in that order.
+
+    Which columns are numeric does not depend on repeated rows, so that is
+    found before the deduplication and its shuffle runs once.
+    """
     if names is not None:
         df = apply_headers(df, names)
+    numeric = numeric_columns(fill_nulls(drop_null_keys(df, keys), fill))
     df = fill_nulls(drop_null_keys(dedup_exact(df), keys), fill)
-    df = trim_strings(convert_types(df))
+    df = trim_strings(convert_types(df, numeric))
     return add_lineage(df, source) if source is not None else df
 
 
+def clean_counters(df: DataFrame, by: list[str] = (), keys: list[str] | None = None) -> DataFrame:
+    """What :func:`clean_table` does to each table of ``by``: ``rows_in``,
+    ``duplicates``, ``null_keys``, ``nulls_filled``, ``rows_out``.
+
+    ``df`` holds the rows of many tables told apart by the columns ``by``. The
+    rows are counted by content with a map-side combine, once for all numbers.
+    """
+    columns = [c for c in df.columns if c not in by]
+    keys = keys or columns[:1]
+    texts = [c for c in _text_columns(df) if c in columns]
+    distinct = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = F.lit(True)
+    for key in keys:
+        keyed = keyed & F.col(quoted(key)).isNotNull()
+    gaps = F.lit(0)
+    for c in texts:
+        gaps = gaps + F.col(quoted(c)).isNull().cast("bigint")
+    return distinct.groupBy(*[F.col(quoted(c)) for c in by]).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
+        F.count_if(~keyed).alias("null_keys"),
+        F.coalesce(F.sum(F.when(keyed, gaps)), F.lit(0)).alias("nulls_filled"),
+        F.count_if(keyed).alias("rows_out"))
+
+
 def validate_stage(df: DataFrame, stage: str) -> DataFrame:
     """One row: stage, row and column counts, whether both are positive."""
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -137,11 +167,13 @@ def keyed_upsert(target: DataFrame, batch: DataFrame, key: str | None = None,
     """The target with the batch applied: the last row per key wins.
 
     The batch's last rows come from a partial aggregate, so a key that fills
-    the batch costs one row per task; running it twice changes nothing.
+    the batch costs one row per task; running it twice changes nothing. A null
+    key is a key like any other.
     """
     key = key or target.columns[0]
     last = latest(batch, [key], order_by)
-    kept = target.join(last.select(key), key, "left_anti")
+    touched = last.select(F.col(quoted(key)).alias("_touched"))
+    kept = target.join(touched, target[quoted(key)].eqNullSafe(touched["_touched"]), "left_anti")
     return kept.unionByName(last.select(*target.columns))
 
 

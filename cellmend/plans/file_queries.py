@@ -205,6 +205,39 @@ def json_flatten(spark, sf_dir):
     return J.flatten_cells(records).filter("column_name IS NOT NULL").drop("file_path")
 
 
+_LONG_NUMBER = "123456789012345678901234567890123456789012345"
+_DEEP = "'" + '{"a":' * 9 + "{\"v\":', CAST(event_id AS STRING), '" + "}" * 10 + "'"
+_ODD_JSON = (
+    "CASE event_id % 6 WHEN 0 THEN concat('{\"a\":1,\"a\":', CAST(event_id AS STRING), '}') "
+    "WHEN 1 THEN concat('{\"a\":', CAST(event_id AS STRING), '} junk') "
+    f"WHEN 2 THEN '{{\"n\":1e10,\"m\":123456789.0,\"k\":{_LONG_NUMBER}}}' "
+    f"WHEN 3 THEN concat({_DEEP}) "
+    "WHEN 4 THEN '{\"s\":\"{1}\",\"t\":[1,{\"u\":2}]}' ELSE props END")
+
+
+@query("json_bad_files", f"""
+    WITH c AS (
+      SELECT event_id % 6 AS file, unnest(CASE event_id % 6
+        WHEN 0 THEN [{{'n': 'error', 'v': 'Malformed JSON'}}]
+        WHEN 1 THEN [{{'n': 'error', 'v': 'Malformed JSON'}}]
+        WHEN 2 THEN [{{'n': 'n', 'v': '10000000000.0'}}, {{'n': 'm', 'v': '123456789.0'}},
+                     {{'n': 'k', 'v': '{_LONG_NUMBER}'}}]
+        WHEN 3 THEN [{{'n': 'a.a.a.a.a.a.a.a.a.v', 'v': CAST(event_id AS VARCHAR)}}]
+        WHEN 4 THEN [{{'n': 's', 'v': '{{1}}'}}, {{'n': 't', 'v': '[1,{{"u":2}}]'}}]
+        ELSE [{{'n': 'k', 'v': json_extract_string(props, '$.k')}}] END) AS u FROM events)
+    SELECT file, u.n AS column_name, u.v AS value, count(*)::BIGINT AS n FROM c GROUP BY ALL""")
+def json_bad_files(spark, sf_dir):
+    """Bad lines as errors; integers with all digits, floats as floats; ten levels."""
+    lines = table(spark, sf_dir, "events").selectExpr(
+        "event_id % 6 AS file_path", "0 AS block", "event_id AS line_no", f"{_ODD_JSON} AS line")
+    found = J.line_records(lines)
+    errors = found.filter("error IS NOT NULL").select(
+        "file_path", F.lit("error").alias("column_name"), F.col("error").alias("value"))
+    cells = J.flatten_cells(found).filter("column_name IS NOT NULL").unionByName(errors)
+    return cells.groupBy(F.col("file_path").alias("file"), "column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @query("json_profile", """
     SELECT event_type AS file_path, count(*)::BIGINT AS total_rows,
            (count(*) * 5)::BIGINT AS total_cells,

@@ -265,11 +265,11 @@ def suggest_headers(spark, sf_dir):
     r AS (SELECT file_id, row_id, string_agg(coalesce(value, ''), ' | ' ORDER BY col_idx) AS line
           FROM cells GROUP BY ALL)
     SELECT file_id, 4::INT AS width, concat(
-      'I have an unlabeled table with 4 columns and up to ', count(*), ' rows. ',
-      'Suggest concise header names for each column based on the sample values. ',
-      'If a column value looks like a name, email, phone, or location, use that meaning. ',
-      'Return exactly one JSON array of strings, one header name per column. ',
-      'Here are the sample rows:', chr(10), string_agg(line, chr(10) ORDER BY row_id)) AS prompt
+      'Below are sample records of a table whose columns have no names. ',
+      'Width: 4. Records shown: ', count(*), '. Fields are separated by '' | ''.', chr(10),
+      'Name every column by what its values mean, in lower_snake_case. ',
+      'Answer with a JSON array of texts and nothing else: one name per column, left to right.',
+      chr(10), string_agg(line, chr(10) ORDER BY row_id)) AS prompt
     FROM r GROUP BY file_id""")
 def prompt_rows(spark, sf_dir):
     return H.build_prompts(_rows(spark, sf_dir), "file_id")
@@ -277,7 +277,7 @@ def prompt_rows(spark, sf_dir):
 
 _RESPONSE = ("CASE c_custkey % 6 WHEN 0 THEN concat('[\"id\", \"', c_mktsegment, '\", \"x\", \"y\"]') "
              "WHEN 1 THEN concat('Sure: [\"', c_name, '\"] as asked.') WHEN 2 THEN 'no idea' "
-             "WHEN 3 THEN '[1, 2]' WHEN 4 THEN '[\"open' END")
+             "WHEN 3 THEN '[1, 2]' WHEN 4 THEN '[\"open' WHEN 5 THEN '{\"names\": [\"a\", \"b\"]}' END")
 
 
 @query("parse_suggestions", """

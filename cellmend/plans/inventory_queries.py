@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from cellmend.operators import inventory as I
-from cellmend.plans.catalog import query, table
+from cellmend.plans.catalog import TABLES, query, table
 from cellmend.sources.listing import scan_inventory
+from cellmend.sources.text import plain_path
 
 # One made path per part: names repeat, so some moves collide.
 _PATH = ("concat('/data/', p_brand, '/', replace(p_name, ' ', '_'), '_', "
@@ -32,9 +35,16 @@ def _files(spark, sf_dir):
         (F.length("path") * 7 + 100).cast("bigint").alias("length"))
 
 
-@query("inventory_scan")
+@query("inventory_scan", " UNION ALL ".join(
+    f"SELECT '{name}.parquet' AS filename, 'parquet' AS ext, count(*)::BIGINT AS rows FROM {name}"
+    for name in TABLES))
 def inventory_scan(spark, sf_dir):
-    return scan_inventory(spark, sf_dir, "*.parquet").drop("modified")
+    """The listing, joined to the rows that each listed file gives when read."""
+    read = reduce(DataFrame.unionByName, [
+        table(spark, sf_dir, name).select(plain_path(F.col("_metadata.file_path")).alias("path"))
+        for name in TABLES]).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    listed = scan_inventory(spark, sf_dir, "*.parquet").filter("length > 0")
+    return listed.join(read, "path").select("filename", "ext", "rows")
 
 
 @query("categorize_extensions", f"""

@@ -53,9 +53,12 @@ def trim_strings(spark, sf_dir):
     return T.trim_strings(_raw(spark, sf_dir))
 
 
-@query("add_lineage")
+@query("add_lineage", "SELECT *, 'orders.parquet' AS file, true AS dated FROM orders")
 def add_lineage(spark, sf_dir):
-    return T.add_lineage(table(spark, sf_dir, "orders"), F.col("_metadata.file_path"))
+    traced = T.add_lineage(table(spark, sf_dir, "orders"), F.col("_metadata.file_path"))
+    return (traced.withColumn("file", F.regexp_extract("_file_source", r"[^/]+\.parquet", 0))
+            .withColumn("dated", F.col("_cleaned_at").isNotNull())
+            .drop("_file_source", "_cleaned_at"))
 
 
 @query("clean_table", f"""
@@ -108,13 +111,50 @@ def keyed_upsert(spark, sf_dir):
     return T.keyed_upsert(target, batch, order_by=F.col("o_orderkey"))
 
 
-@query("execution_report", """
-    WITH runs AS (
-      SELECT l_returnflag AS file_type, l_suppkey % 3 = 0 AS has_header, count(*) AS rows_in,
-             count(DISTINCT l_partkey) AS rows_out,
-             count(*) - count(DISTINCT l_partkey) AS duplicates,
-             count(*) FILTER (WHERE l_tax = 0) AS nulls_filled
-      FROM lineitem GROUP BY l_returnflag, l_suppkey)
+@query("keyed_upsert_nulls", """
+    WITH t AS (SELECT nullif(c_custkey % 40, 7) AS k, max(c_acctbal) AS v FROM customer GROUP BY ALL),
+    b AS (SELECT nullif(o_custkey % 30, 7) AS k, o_totalprice AS v,
+                 row_number() OVER (PARTITION BY nullif(o_custkey % 30, 7) ORDER BY o_orderkey DESC) AS r
+          FROM orders)
+    SELECT k, v FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.k IS NOT DISTINCT FROM t.k)
+    UNION ALL SELECT k, v FROM b WHERE r = 1""")
+def keyed_upsert_nulls(spark, sf_dir):
+    target = table(spark, sf_dir, "customer").selectExpr(
+        "nullif(c_custkey % 40, 7) AS k", "c_acctbal").groupBy("k").agg(F.max("c_acctbal").alias("v"))
+    batch = table(spark, sf_dir, "orders").selectExpr(
+        "nullif(o_custkey % 30, 7) AS k", "o_totalprice AS v", "o_orderkey")
+    once = T.keyed_upsert(target, batch, order_by=F.col("o_orderkey"))
+    return T.keyed_upsert(once, batch, order_by=F.col("o_orderkey"))
+
+
+# Each customer group stands for a file; its rows are dirty orders.
+_FILE_ROWS = (f"o_orderpriority AS file_type, o_custkey % 40 AS file, {_RAW}")
+
+
+@query("clean_counters", f"""
+    WITH r AS (SELECT {_FILE_ROWS} FROM orders),
+    u AS (SELECT *, count(*) AS n FROM r GROUP BY ALL)
+    SELECT file, sum(n)::BIGINT AS rows_in, sum(n - 1)::BIGINT AS duplicates,
+           (count(*) FILTER (WHERE a IS NULL))::BIGINT AS null_keys,
+           coalesce(sum((b IS NULL)::INT + (c IS NULL)::INT + (d IS NULL)::INT)
+                    FILTER (WHERE a IS NOT NULL), 0)::BIGINT AS nulls_filled,
+           (count(*) FILTER (WHERE a IS NOT NULL))::BIGINT AS rows_out
+    FROM u GROUP BY file""")
+def clean_counters(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey % 40 AS file", "o_orderpriority AS file_type", *_RAW_COLUMNS)
+    return T.clean_counters(rows, ["file"], ["a"])
+
+
+@query("execution_report", f"""
+    WITH r AS (SELECT {_FILE_ROWS} FROM orders),
+    u AS (SELECT *, count(*) AS n FROM r GROUP BY ALL),
+    runs AS (
+      SELECT file_type, file % 3 = 0 AS has_header, sum(n) AS rows_in,
+             count(*) FILTER (WHERE a IS NOT NULL) AS rows_out, sum(n - 1) AS duplicates,
+             coalesce(sum((b IS NULL)::INT + (c IS NULL)::INT + (d IS NULL)::INT)
+                      FILTER (WHERE a IS NOT NULL), 0) AS nulls_filled
+      FROM u GROUP BY file_type, file)
     SELECT coalesce(file_type, 'TOTAL') AS file_type, count(*)::BIGINT AS files,
            (count(*) FILTER (WHERE has_header))::BIGINT AS with_header,
            (count(*) FILTER (WHERE NOT has_header))::BIGINT AS without_header,
@@ -122,13 +162,7 @@ def keyed_upsert(spark, sf_dir):
            sum(duplicates)::BIGINT AS duplicates, sum(nulls_filled)::BIGINT AS nulls_filled
     FROM runs GROUP BY ROLLUP (file_type)""")
 def execution_report(spark, sf_dir):
-    distinct = (table(spark, sf_dir, "lineitem")
-                .groupBy("l_returnflag", "l_suppkey", "l_partkey")
-                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_tax") == 0).alias("z")))
-    runs = distinct.groupBy("l_returnflag", "l_suppkey").agg(
-        F.sum("n").alias("rows_in"), F.count(F.lit(1)).alias("rows_out"),
-        F.sum("z").alias("nulls_filled"))
-    return I.execution_report(runs.select(
-        F.col("l_returnflag").alias("file_type"), (F.col("l_suppkey") % 3 == 0).alias("has_header"),
-        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("duplicates"),
-        "nulls_filled"))
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderpriority AS file_type", "o_custkey % 40 AS file", *_RAW_COLUMNS)
+    runs = T.clean_counters(rows, ["file_type", "file"], ["a"])
+    return I.execution_report(runs.withColumn("has_header", F.col("file") % 3 == 0))

@@ -11,7 +11,7 @@ from cellmend.sources.text import read_lines
 
 UNSUPPORTED = "Unsupported JSON root type"
 MALFORMED = "Malformed JSON"
-MAX_DEPTH = 8  # what nests deeper stays JSON text
+_LEVELS_A_PLAN = 6  # levels opened before the lineage is cut
 
 
 def _documents(lines: DataFrame) -> DataFrame:
@@ -26,17 +26,35 @@ def _text(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r"))
 
 
+def is_json(text: Column) -> Column:
+    """The text is exactly one JSON value.
+
+    The parser itself takes a value with something behind it. Put into an array
+    and into an object, such a text no longer is their only element. An object
+    with a key twice is no valid value here.
+    """
+    element = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+                                "$", "array<variant>")
+    member = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))),
+                               "$", "map<string,variant>")
+    return F.coalesce((F.size(element) == 1) & (F.size(member) == 1), F.lit(False))
+
+
 def is_object_line(line: Column) -> Column:
-    """The line is blank or one JSON object."""
+    """The line is blank or starts like a JSON object. Whether it is a valid one
+    is settled per record: a bad line is an error row of its own."""
     text = _text(line)
     return (text == "") | (text.startswith("{") & F.json_object_keys(text).isNotNull())
 
 
 def line_records(lines: DataFrame) -> DataFrame:
-    """Records of files with one object per line; such files stay split."""
-    return lines.filter(_text(F.col("line")) != "").select(
-        "file_path", _text(F.col("line")).alias("record"),
-        F.lit(None).cast("string").alias("error"))
+    """Records of files with one object per line; such files stay split. A line
+    that is not exactly one object is an error without a record."""
+    text = _text(F.col("line"))
+    valid = is_json(text)
+    return lines.filter(text != "").select(
+        "file_path", F.when(valid, text).alias("record"),
+        F.when(~valid, MALFORMED).alias("error"))
 
 
 def document_records(lines: DataFrame) -> DataFrame:
@@ -48,8 +66,11 @@ def document_records(lines: DataFrame) -> DataFrame:
     """
     root = F.trim(F.col("text"), F.lit(" \t\r\n"))
     is_array, is_dict = root.startswith("["), root.startswith("{")
-    valid = F.try_parse_json(root).isNotNull()
-    all_objects = F.forall("elements", lambda e: e.startswith("{"))
+    valid = is_json(root)
+    # An element's kind is read off the parsed value: a text may begin with a brace.
+    kinds = F.try_variant_get(F.try_parse_json(root), "$", "array<variant>")
+    all_objects = F.forall(kinds, lambda e: F.coalesce(
+        F.schema_of_variant(e).startswith("OBJECT"), F.lit(False)))
     wrapped = F.transform("elements", lambda e: F.to_json(F.struct(e.alias("value"))))
     return (
         _documents(lines)
@@ -74,37 +95,64 @@ def json_records(lines: DataFrame) -> DataFrame:
         document_records(known.filter("NOT by_line")))
 
 
-def flatten_cells(records: DataFrame, key: str = "file_path", max_depth: int = MAX_DEPTH) -> DataFrame:
+def nesting(record: Column) -> Column:
+    """How deep the objects of a JSON text nest, at the most: objects within
+    arrays count too. Texts are taken out first, without backtracking."""
+    plain = F.replace(F.replace(record, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    braces = F.regexp_replace(F.regexp_replace(plain, '"[^"]*+"', ""), "[^{}]++", "")
+    walked = F.aggregate(
+        F.split(braces, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda acc, c: F.struct(
+            (acc["now"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("now"),
+            F.greatest(acc["most"], acc["now"] + F.when(c == "{", 1).otherwise(0)).alias("most")),
+        lambda acc: acc["most"])
+    return F.when(F.length(braces) <= 2, F.lit(1)).otherwise(walked)
+
+
+def flatten_cells(records: DataFrame, key: str = "file_path", depth: int | None = None) -> DataFrame:
     """``(key, column_name, value)`` per leaf, plus one row per record with a
     null name and the number of its top-level keys.
 
-    Objects become dotted names; arrays stay JSON text, and so does what is
-    nested deeper than ``max_depth``.
+    Objects become dotted names, however deep they nest; arrays stay JSON text.
+    Integers keep all their digits and floats stay floats. ``depth`` is the greatest depth
+    if it is known; else one aggregate over the records finds it.
     """
+    known = records.filter(F.col("record").isNotNull())
+    if depth is None:
+        depth = known.agg(F.max(nesting(F.col("record")))).first()[0] or 1
+
     def members(prefix: str) -> Column:
         """The members of an object, in SQL; null for any other node."""
         return F.expr(
             "transform(map_entries(try_variant_get(node, '$', 'map<string,variant>')), e -> "
-            f"named_struct('name', concat({prefix}, e.key), 'node', e.value))")
+            f"named_struct('name', concat({prefix}, e.key), 'node', e.value, "
+            "'source', element_at(from_json(source, 'map<string,string>'), e.key)))")
 
-    here = F.array(F.struct("name", "node"))
+    here = F.array(F.struct("name", "node", "source"))
+    n_keys = F.size(F.map_keys(F.expr("try_variant_get(node, '$', 'map<string,variant>')"))).cast("string")
     width = F.array(F.struct(F.lit(None).cast("string").alias("name"),
-                             F.parse_json(F.size("keys").cast("string")).alias("node")))
+                             F.parse_json(n_keys).alias("node"), n_keys.alias("source")))
     level = (
-        records.filter(F.col("record").isNotNull())
-        .select(key, F.json_object_keys("record").alias("keys"),
-                F.parse_json(F.col("record")).alias("node"))
+        known.select(key, F.try_parse_json("record").alias("node"), F.col("record").alias("source"))
         .select(key, F.inline(F.concat(width, members("''")))))
-    for _ in range(max_depth - 1):
+    for i in range(1, depth):
+        if i % _LEVELS_A_PLAN == 0:  # very deep objects: keep the plan small
+            level = settled(level.select(key, "name", F.to_json("node").alias("text"), "source")).select(
+                key, "name", F.parse_json("text").alias("node"), "source")
         opened = F.when(F.col("name").isNotNull(), members("name, '.'"))
         level = level.select(key, F.inline(F.coalesce(opened, here)))
+    # A null, a text and an array print as the parsed value, an integer with all
+    # its digits, a float in full unless it is very large or small.
+    real = F.col("source").try_cast("double")
+    in_full = F.regexp_replace(F.regexp_replace(
+        real.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    a_float = F.col("source").rlike("[.eE]")
+    number = F.schema_of_variant("node").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     return level.select(
-        key, F.col("name").alias("column_name"), F.col("node").cast("string").alias("value"))
-
-
-def brace_bound(line: Column) -> Column:
-    """Number of opening braces: no object in the line nests deeper."""
-    return F.length(line) - F.length(F.replace(line, F.lit("{"), F.lit("")))
+        key, F.col("name").alias("column_name"),
+        F.when(number & a_float & ((real == 0) | F.abs(real).between(1e-4, 1e16)), in_full)
+        .when(number, F.lower("source"))
+        .otherwise(F.col("node").cast("string")).alias("value"))
 
 
 def read_json_cells(spark: SparkSession, paths: str | list[str],

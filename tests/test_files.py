@@ -3,6 +3,7 @@
 import csv
 import json
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -173,8 +174,50 @@ def test_deep_json(spark):
     df = spark.createDataFrame([("f", doc)], "file_path string, record string")
     cells = {r.column_name: r.value for r in J.flatten_cells(df).collect() if r.column_name}
     assert cells == {"a.b.c.d.e": "1"}
-    cut = {r.column_name: r.value for r in J.flatten_cells(df, max_depth=2).collect() if r.column_name}
-    assert cut == {"a.b": '{"c":{"d":{"e":1}}}'}
+    deep = '{"k":' * 15 + "1e3" + "}" * 15
+    df = spark.createDataFrame([("f", deep), ("g", '{"k":"{{{"}')], "file_path string, record string")
+    cells = {r.column_name: r.value for r in J.flatten_cells(df).collect() if r.column_name}
+    assert cells == {".".join("k" * 15): "1000.0", "k": "{{{"}
+
+
+def test_json_is_strict(spark):
+    texts = ['{"a":1}', '[1,2]', ' 7 ', '"x"', '{"a":1} junk', '1,2', '{"a":1},{"b":2}', '{"a":1,"a":2}',
+             '["{oops","{x"]', '[', '1],[2', '1,"w":2', 'null', '']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    good = {r.t for r in df.filter(J.is_json(F.col("t"))).collect()}
+    assert good == {'{"a":1}', '[1,2]', ' 7 ', '"x"', '["{oops","{x"]', 'null'}
+
+
+def test_a_bad_json_file_is_an_error_row(spark, folder):
+    (folder("good.json", '{"a":1e10}\n{"a":2.0}\n'), folder("bad.json", '{"a":1}\n{"a":2} junk\n'),
+     folder("twice.json", '{"a":1,"a":2}\n'), folder("texts.json", '["{oops","{x"]'), folder("none.json", "[]"))
+    inventory = scan_inventory(spark, folder.root).select(
+        "filename", F.lit("json").alias("file_type"), F.col("path").alias("file_path"))
+    got = {r.filename: r for r in scan_files(spark, inventory, folder.root).collect()}
+    assert {n: r.error for n, r in got.items()} == {
+        "good.json": "", "bad.json": "Malformed JSON", "twice.json": "Malformed JSON",
+        "texts.json": "", "none.json": ""}
+    assert got["good.json"].type_deviation_pct == 0 and got["good.json"].total_cells == 2
+    assert got["texts.json"].total_rows == 2 and got["none.json"].total_rows == 0
+
+
+def test_widths_beyond_a_million(spark):
+    """Two records of 3 * 2**20 and 2 fields: half of them are off."""
+    from cellmend.operators.file_profile import _per_column
+    counts = spark.createDataFrame(
+        [("f", str(3 * 2**20), 1), ("f", "2", 1)], "file_path string, key_text string, n long").selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS key_int", "CAST(NULL AS DOUBLE) AS key_float", "'text' AS kind",
+        "CAST(NULL AS STRING) AS long_type", "CAST(NULL AS BIGINT) AS place", "true AS is_width")
+    row = _per_column(counts, ["file_path"]).first()
+    assert row.top_n == 1 and row.top_is_tie and row.n_cells == 2
+
+
+def test_a_long_cell_is_searched_quickly(spark):
+    from cellmend.functions.classify import looks_like_data
+    cells = spark.createDataFrame([("a" * 1_000_000,), ("a@" * 100_000,), ("x a.b@c.de",)], "c string")
+    start = time.time()
+    assert [r[0] for r in cells.select(looks_like_data(F.col("c"))).collect()] == [False, False, True]
+    assert time.time() - start < 5
 
 
 def test_listing_and_numbering(spark, folder):
