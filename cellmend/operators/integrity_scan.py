@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,14 +42,38 @@ def file_facts(lines: DataFrame) -> DataFrame:
         .select("file_path", "reader", "sep", broken.alias("broken"), "by_line"))
 
 
-def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFrame:
-    """Metrics and ``error`` for every inventory row.
+@dataclass
+class OpenFiles:
+    """The files of an inventory, ready to be read.
 
-    The files below ``root`` are matched to the inventory by path; neither
-    their names nor their contents pass through the driver. One scan gathers
-    the facts, one more per kind of file that occurs makes the metrics. A bad
-    or missing file becomes an error row and never stops the run.
+    ``routed``: the inventory with ``reader``, ``headed`` and ``route_error``;
+    ``lines``: the lines of the files that can be read, with their facts;
+    ``kinds``: which (reader, broken, by_line) occur.
     """
+    routed: DataFrame
+    lines: DataFrame
+    kinds: set[tuple]
+
+    def text_records(self) -> DataFrame | None:
+        """Records of all delimited files; None if there are none."""
+        parts = []
+        for broken in sorted({broken for reader, broken, _ in self.kinds if reader != "json"}):
+            parts.append(records(self.lines.filter("reader <> 'json'").filter(F.col("broken") == broken),
+                                 F.col("sep"), multiline=broken))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def json_records(self) -> DataFrame | None:
+        """Records and errors of all JSON files; None if there are none."""
+        parts = []
+        for by_line in sorted({by_line for reader, _, by_line in self.kinds if reader == "json"}):
+            known = self.lines.filter("reader = 'json'").filter(F.col("by_line") == by_line)
+            parts.append(line_records(known) if by_line else document_records(known))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def open_files(spark: SparkSession, inventory: DataFrame, root: str) -> OpenFiles:
+    """Match the files below ``root`` to the inventory by path; neither their
+    names nor their contents pass through the driver."""
     routed = route(inventory, scan_inventory(spark, root))
     wanted = settled(routed.filter("route_error = ''").select(
         F.trim("file_path").alias("file_path"), "reader", "headed").dropDuplicates(["file_path"]))
@@ -57,27 +82,26 @@ def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFram
     kinds = {(r["reader"], r["broken"], r["by_line"])
              for r in facts.select("reader", "broken", "by_line").distinct().collect()}  # 12 at most
     known = lines.drop("reader").join(broadcast_if_small(facts), "file_path")
+    return OpenFiles(routed, known, kinds)
 
-    text_parts = []
-    if any(reader != "json" and not broken for reader, broken, _ in kinds):
-        text_parts.append(records(known.filter("reader <> 'json' AND NOT broken"),
-                                  F.col("sep"), multiline=False))
-    if any(reader != "json" and broken for reader, broken, _ in kinds):
-        text_parts.append(records(known.filter("reader <> 'json' AND broken"),
-                                  F.col("sep"), multiline=True))
-    json_parts = []
-    if any(reader == "json" and by_line for reader, _, by_line in kinds):
-        json_parts.append(line_records(known.filter("reader = 'json' AND by_line")))
-    if any(reader == "json" and not by_line for reader, _, by_line in kinds):
-        json_parts.append(document_records(known.filter("reader = 'json' AND NOT by_line")))
 
+def scan_files(spark: SparkSession, inventory: DataFrame, root: str) -> DataFrame:
+    """Metrics and ``error`` for every inventory row.
+
+    Two scans gather the facts (quotes and separators), one more per kind of
+    file that occurs makes the metrics, a second one for files with quoted
+    newlines and for JSON. A bad or missing file becomes an error row and never
+    stops the run.
+    """
+    opened = open_files(spark, inventory, root)
+    routed = opened.routed
     outcomes = []
-    if text_parts:
-        metrics = profile_records(reduce(DataFrame.unionByName, text_parts), "file_path",
-                                  F.col("headed"))
+    found = opened.text_records()
+    if found is not None:
+        metrics = profile_records(found, "file_path", F.col("headed"))
         outcomes.append(metrics.withColumn("problem", F.lit("")))
-    if json_parts:
-        found = reduce(DataFrame.unionByName, json_parts)
+    found = opened.json_records()
+    if found is not None:
         metrics = profile_json(flatten_cells(found))
         # A file with a bad record is an error; an empty array a table without rows.
         states = found.groupBy("file_path").agg(F.max("error").alias("problem"))

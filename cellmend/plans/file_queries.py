@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from cellmend.functions.normalize import quoted
 from cellmend.operators.file_profile import profile_json, profile_records
+from cellmend.operators.file_stages import clean_files, scan_schemas
 from cellmend.operators.integrity_scan import scan_files
 from cellmend.operators.metrics import field_deviation
 from cellmend.operators.ordering import scratch_path
-from cellmend.plans.catalog import dirty_mixed, dirty_null, query, table
+from cellmend.plans.catalog import dirty_mixed, dirty_money, dirty_null, dirty_phone, query, table
+from cellmend.plans.cleaning_queries import name_sql, phone_sql
 from cellmend.plans.integrity_queries import _TABLE_FINAL, profile_sql, type_sql
 from cellmend.sources import delimited, json as J, sinks
 from cellmend.sources.listing import scan_inventory
@@ -187,6 +189,77 @@ def scan_all_files(spark, sf_dir):
         F.bool_and(F.col("error") == "").alias("all_ok"))
 
 
+# --- Stages over the files of an inventory -------------------------------------------
+
+_STAGE_PHONE = dirty_phone("c_custkey")
+_STAGE_MONEY = dirty_money("c_custkey")
+
+
+def _stage_files(spark, sf_dir, label):
+    """A headed CSV, a headerless TSV and a JSON folder, and their inventory."""
+    root = scratch_path(spark, label)
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "c_name AS full_name", f"{_STAGE_PHONE} AS phone", f"{_STAGE_MONEY} AS price")
+    customers.write.option("escape", '"').csv(f"{root}/csv", header=True)
+    customers.write.csv(f"{root}/tsv", sep="\t", escape='"')
+    customers.selectExpr("id", "phone", "named_struct('k', price) AS n").write.json(f"{root}/json")
+    found = scan_inventory(spark, root).filter("ext IN ('csv', 'json') AND length > 0")
+    kind = F.when(F.col("path").contains("/tsv/"), "tsv").otherwise(F.col("ext"))
+    return root, found.select("filename", kind.alias("file_type"), F.col("path").alias("file_path"))
+
+
+@query("schema_inventory_files", """
+    SELECT 'csv' AS file_type, true AS has_header, false AS needs_llm_review,
+      '[{"name":"id","type":"int","nullable":true},{"name":"full_name","type":"string","nullable":true},{"name":"phone","type":"string","nullable":true},{"name":"price","type":"string","nullable":true}]' AS schema,
+      '[]' AS generated_headers
+    UNION ALL SELECT 'json', true, false,
+      '[{"name":"id","type":"int","nullable":true},{"name":"n.k","type":"string","nullable":true},{"name":"phone","type":"string","nullable":true}]', '[]'
+    UNION ALL SELECT 'tsv', false, true, '[]', '["col_0","col_1","col_2","col_3"]'
+    UNION ALL SELECT 'zip', true, false, '[]', '[]'""")
+def schema_inventory_files(spark, sf_dir):
+    """Schemas and suggested names of real files, a missing one among them."""
+    root, inventory = _stage_files(spark, sf_dir, "schemas")
+    lost = inventory.limit(1).select("filename", F.lit("zip").alias("file_type"),
+                                     F.lit("/nowhere.zip").alias("file_path"))
+    found = scan_schemas(spark, inventory.unionByName(lost), root)
+    return found.select("file_type", "has_header", "needs_llm_review", "schema", "generated_headers").distinct()
+
+
+@query("clean_files", f"""
+    WITH p AS (SELECT c_custkey AS id, c_name AS full_name, {_STAGE_PHONE} AS phone,
+                      {_STAGE_MONEY} AS price FROM customer)
+    SELECT kind, name, count(*)::BIGINT AS n, count(DISTINCT v)::BIGINT AS n_values FROM (
+      SELECT 'csv' AS kind, 'id' AS name, CAST(id AS VARCHAR) AS v FROM p
+      UNION ALL SELECT 'tsv', 'key', CAST(id AS VARCHAR) FROM p
+      UNION ALL SELECT 'json', 'id', CAST(id AS VARCHAR) FROM p
+      UNION ALL SELECT 'csv', 'full_name', {name_sql('full_name')} FROM p
+      UNION ALL SELECT 'tsv', 'title', full_name FROM p) c
+    GROUP BY ALL""")
+def clean_files_query(spark, sf_dir):
+    """Rows of CSV, TSV and JSON files in one job, named by header or suggestion."""
+    root, inventory = _stage_files(spark, sf_dir, "clean")
+    stated = inventory.withColumn("has_header", F.when(F.col("file_type") == "tsv", "false").otherwise("true")) \
+        .withColumn("generated_headers", F.lit('["key", "title", "phone", "price"]'))
+    rows, _ = clean_files(spark, stated, root)
+    kind = F.regexp_extract("file_path", "/(csv|tsv|json)/", 1)
+    cells = rows.select(kind.alias("kind"), F.inline(F.arrays_zip("names", "values")).alias("name", "v"))
+    return (cells.filter("name IN ('id', 'key', 'full_name', 'title')").groupBy("kind", "name")
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("v").alias("n_values")))
+
+
+@query("clean_files_values", f"""
+    SELECT id, {phone_sql('phone')} AS phone, 3::BIGINT AS n
+    FROM (SELECT c_custkey AS id, {_STAGE_PHONE} AS phone FROM customer) p""")
+def clean_files_values(spark, sf_dir):
+    root, inventory = _stage_files(spark, sf_dir, "cleaned")
+    stated = inventory.withColumn("has_header", F.when(F.col("file_type") == "tsv", "false").otherwise("true")) \
+        .withColumn("generated_headers", F.lit('["id", "title", "phone", "price"]'))
+    rows, _ = clean_files(spark, stated, root)
+    of = lambda name: F.get(F.col("values"), F.array_position("names", name).cast("int") - 1)
+    return rows.groupBy(of("id").cast("bigint").alias("id"), of("phone").alias("phone")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # --- JSON --------------------------------------------------------------------------
 
 _NESTED = ("concat('{\"id\": ', CAST(event_id AS STRING), ', \"t\": \"', event_type, '\", \"p\": ', "

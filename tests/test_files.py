@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from cellmend.operators.file_stages import clean_files, scan_schemas, write_cleaned_files
 from cellmend.operators.integrity_scan import scan_files
 from cellmend.operators.inventory import categorize, number_inventory
 from cellmend.operators.tables import add_lineage
@@ -201,6 +202,35 @@ def test_a_bad_json_file_is_an_error_row(spark, folder):
     assert got["texts.json"].total_rows == 2 and got["none.json"].total_rows == 0
 
 
+def test_cleaning_and_schemas_of_odd_files(spark, folder, tmp_path):
+    (folder("a.csv", "Phone,Note\n(415) 555-2671,x\n12,\"y,\nz\",more\n"), folder("b.csv", "4155552671\n"),
+     folder("c.json", '[{"phone":"+1 415 555 2671","k":{"a":1}},{"phone":null}]'), folder("d.json", '{"a":'),
+     folder("e.csv", "only,header\n"))
+    root = folder.root
+    rows = [("a.csv", "csv", f"{root}/a.csv", "true", None), ("b.csv", "csv", f"{root}/b.csv", "no", '["phone"]'),
+            ("c.json", "json", f"{root}/c.json", None, None), ("d.json", "json", f"{root}/d.json", None, None),
+            ("e.csv", "csv", f"{root}/e.csv", None, None), ("gone", "csv", f"{root}/gone.csv", None, None)]
+    inventory = spark.createDataFrame(
+        rows, "filename string, file_type string, file_path string, has_header string, generated_headers string")
+    cleaned, outcome = clean_files(spark, inventory, root)
+    got = sorted(((r.file_path.rsplit("/", 1)[1], tuple(zip(r.names, r.values))) for r in cleaned.collect()), key=str)
+    assert got == sorted([
+        ("a.csv", (("Phone", "415-555-2671"), ("Note", "x"))),
+        ("a.csv", (("Phone", None), ("Note", "y,\nz"), ("column_2", "more"))),
+        ("b.csv", (("phone", "415-555-2671"),)),
+        ("c.json", (("phone", "415-555-2671"), ("k", '{"a":1}'))), ("c.json", (("phone", None),))], key=str)
+    assert {r.filename: r.error for r in outcome.collect() if r.error} == {
+        "d.json": "Malformed JSON", "gone": f"File not found or empty: {root}/gone.csv"}
+    write_cleaned_files(cleaned, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 5 and back.select("file_id").distinct().count() == 3
+    schemas = {r.filename: r for r in scan_schemas(spark, inventory.drop("has_header", "generated_headers"), root).collect()}
+    assert json.loads(schemas["c.json"].schema) == [
+        {"name": "k.a", "type": "int", "nullable": True}, {"name": "phone", "type": "string", "nullable": True}]
+    assert json.loads(schemas["d.json"].schema) == [{"error": "Malformed JSON"}]
+    assert schemas["gone"].has_header and schemas["gone"].detection_reason.startswith("File not found")
+
+
 def test_widths_beyond_a_million(spark):
     """Two records of 3 * 2**20 and 2 fields: half of them are off."""
     from cellmend.operators.file_profile import _per_column
