@@ -36,10 +36,11 @@ def running_total(
 ) -> DataFrame:
     """Add the inclusive running sum of ``amount`` in ``order_by`` order.
 
-    ``order_by`` has to be a total order. Rows are range-partitioned, so the
-    sum inside a partition needs no further shuffle, and the partition totals
-    (one row each) give the offsets. The ranged rows are checkpointed because
-    both branches have to see the same range boundaries.
+    ``order_by`` has to be a total order. Rows are range-partitioned and summed
+    within a partition, and the partition totals (one row each) give the
+    offsets. The ranged rows are checkpointed because both branches have to see
+    the same range boundaries; since Spark does not know how checkpointed rows
+    are partitioned, the sum shuffles them once more, by partition.
     """
     spark = df.sparkSession
     shared_dir(spark)

@@ -15,17 +15,23 @@ def plain_path(uri: Column) -> Column:
     return F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None,
+               skip: str | None = None) -> DataFrame:
     """``(file_path, block, line_no, line)`` for all files below ``paths``.
 
     Files are split as usual, so one large file spreads over many tasks.
     ``block`` is the split's byte offset and ``line_no`` grows within a split:
-    together they give the order of lines in a file without any shuffle.
+    together they give the order of lines in a file without any shuffle. Files
+    whose name matches ``skip`` are never opened: the filter is on a constant
+    of the file, so it prunes the listing.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(paths).select(
+    files = reader.text(paths)
+    if skip:
+        files = files.filter(~F.col("_metadata.file_name").rlike(skip))
+    return files.select(
         plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
