@@ -27,6 +27,7 @@ HEADLINE = (
     "type_ratio_drift", "entropy_drift", "pattern_violation", "cross_field",
     "dedup_exact", "clean_table", "iqr_outliers", "keyed_upsert",
     "organize_plan", "inventory_serial", "chunk_files", "stream_integrity",
+    "schema_inventory_files", "clean_files", "json_bad_files", "clean_counters",
 )
 
 
