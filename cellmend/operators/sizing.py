@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from cellmend.functions.normalize import quoted
 from cellmend.operators.ordering import shared_dir
 
-# Rows of a few hundred bytes each: some tens of MB at the most.
-MAX_BROADCAST_ROWS = 200_000
+# What every executor can hold beside its work: about a million file paths with
+# what is known of each file.
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -16,8 +20,19 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when a count proves the table small; beyond that the
-    join is left to Spark, which shuffles and splits skewed keys."""
-    few = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+def _bytes(field: T.StructField) -> Column:
+    """About what a value takes in a row."""
+    col = F.col(quoted(field.name))
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return 8 + F.coalesce(F.octet_length(col), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return 16 + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return F.lit(8)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when the measured size allows it; beyond that the join
+    is left to Spark, which shuffles and splits skewed keys."""
+    row = reduce(lambda a, b: a + b, [_bytes(f) for f in df.schema.fields], F.lit(8))
+    size = df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

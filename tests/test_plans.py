@@ -4,6 +4,9 @@ import re
 
 from cellmend.operators import metrics as M
 from cellmend.operators.file_profile import profile_records
+from cellmend.operators.integrity_scan import UNREADABLE
+from cellmend.operators.sizing import broadcast_if_small
+from cellmend.operators.tables import clean_table
 from cellmend.plans import queries
 from cellmend.sources import delimited
 from cellmend.sources.text import read_lines
@@ -43,3 +46,31 @@ def test_first_rows_limit_before_the_shuffle(spark, tmp_path):
 def test_cleaning_is_one_narrow_stage(spark):
     text = plan(queries()["clean_customer"](spark, SF_DIR))
     assert "Exchange" not in text
+
+
+def test_type_metrics_shuffle_counts_only(spark):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    text = plan(M.type_deviation(orders))
+    first = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert first and all("key_text" not in keys for keys in first)
+    assert any("cell_type" in keys for keys in first)
+
+
+def test_clean_table_deduplicates_once(spark):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").selectExpr(
+        "CAST(o_custkey AS STRING) AS a", "o_orderpriority AS b")
+    assert exchanges(plan(clean_table(orders))) == 1
+
+
+def test_broadcasts_are_bound_by_bytes(spark):
+    table = spark.createDataFrame([("x" * 1000, [1, 2])] * 100, "s string, a array<int>")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().logical().toString() or "UnresolvedHint" in (
+        df._jdf.queryExecution().logical().toString())
+    assert hinted(broadcast_if_small(table)) and not hinted(broadcast_if_small(table, 50_000))
+
+
+def test_archives_are_not_opened(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a\n")
+    (tmp_path / "b.zip").write_bytes(b"PK\n\xff")
+    lines = read_lines(spark, str(tmp_path), skip=UNREADABLE)
+    assert [r.line for r in lines.collect()] == ["a"]
