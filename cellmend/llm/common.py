@@ -83,7 +83,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.select("hi", "lo").union(edges.select(F.col("lo"), F.col("hi"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (both.filter("v > u").join(least, "u")
-                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
+                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")))
         # Small star: each smaller neighbour, and the node, go to the smallest one.
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (large.join(least, "hi")
@@ -93,9 +93,11 @@ def components(edges: DataFrame) -> DataFrame:
                  .select("e.*").filter("hi <> lo").distinct())
         after = settled(small)
         # A star forest: no node is both a centre and a leaf, and each leaf has one centre.
-        leaves = after.groupBy("hi").agg(F.count(F.lit(1)).alias("n"))
-        open_ends = leaves.filter("n > 1").select("hi").union(
-            after.select("lo").join(leaves, F.col("lo") == F.col("hi"), "left_semi"))
+        ends = after.select(F.explode(F.array(
+            F.struct(F.col("hi").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")),
+            F.struct(F.col("lo").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))).alias("e"))
+        open_ends = ends.select("e.*").groupBy("node").agg(
+            F.sum("leaf").alias("leaf"), F.max("centre").alias("centre")).filter("leaf > 1 OR (leaf = 1 AND centre = 1)")
         if open_ends.isEmpty():
             break
         edges = after

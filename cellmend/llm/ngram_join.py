@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cellmend.llm import text_arrays as ta
 from cellmend.llm.common import buckets, by_bucket, components, map_arrow, pack, settled, unpack
+from cellmend.operators.sizing import broadcast_if_small
 
 #: Groups of the count vectors in the leaves.
 GROUPS = 512
@@ -34,6 +35,7 @@ BRANCH_ROWS = 4096
 FANOUT = 16
 _FLUSH_TOKENS = 1 << 20
 _BOX_PAIRS = 1 << 10
+_SALTS = 32
 _UNBOUNDED = 65535  # a document with so great a group count is not bounded
 
 
@@ -403,20 +405,28 @@ def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
     n_buckets = buckets(docs.sparkSession)
     known = settled(profile(docs))
     copies = known.filter("n > 0").groupBy("n", "sign").agg(
-        F.min("doc_id").alias("rep"), F.max("met").alias("met"))
+        F.min("doc_id").alias("rep"), F.max("met").alias("met"), F.count(F.lit(1)).alias("copies"))
+    # A set that a third of all documents have is dealt to many tasks.
+    several = copies.filter("copies > 1").select(
+        "n", "sign", "rep", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    placed = (known.filter("n > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int"))
+              .join(several, ["n", "sign", "salt"], "left")
+              .select("doc_id", "n", "sets", F.coalesce("rep", "doc_id").alias("rep")))
     n = F.col("n")
     smallest = F.floor((3 * n + 3) / 4)
     survivors = copies.filter(F.col("met") > F.floor(smallest / 10)).select(
         F.col("rep").alias("doc_id"), "n", "sign")
-    texts = docs.select("doc_id", "text").join(survivors.select("doc_id").distinct(), "doc_id", "left_semi")
+    survivors = settled(survivors)
+    # Few documents survive: if their ids are few enough, the texts need no shuffle.
+    texts = docs.select("doc_id", "text").join(
+        broadcast_if_small(survivors.select("doc_id")), "doc_id", "left_semi")
     sets = settled(map_arrow(texts, _set_rows, "doc_id long, n long, sign long, tokens binary")
                    .join(survivors, ["doc_id", "n", "sign"], "left_semi").dropDuplicates(["doc_id", "n", "sign"]))
     rows = map_arrow(sets.select("doc_id", "n", "tokens"), _lead_rows, "token long, doc_id long, n long")
     members = settled(_branches(rows))
 
     tried = settled(verify(_first_pairs(members), sets))
-    same_id = known.filter("sets > 1 AND n > 0").join(copies, ["n", "sign"]).select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    same_id = placed.filter("sets > 1").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     first_edges = tried.filter("linked").select("a", "b").union(same_id)
     comps = settled(components(first_edges))
 
@@ -431,8 +441,7 @@ def ngram_jaccard_components(docs: DataFrame) -> DataFrame:
              .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
     comps = components(_with_edges(comps, verify(apart, sets)))
 
-    placed_copies = known.filter("n > 0").join(copies.select("n", "sign", "rep"), ["n", "sign"])
-    named = (placed_copies.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    named = (placed.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
     empty = known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     nameless = map_arrow(
@@ -447,10 +456,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     ``doc_id``. Documents without shingles or ``doc_id`` stay; of rows that
     repeat a ``doc_id`` one stays. All columns pass unchanged."""
     found = ngram_jaccard_components(docs)
-    chosen = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    gone = settled(found.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct())
     repeated = settled(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
                        .filter("n > 1 AND doc_id IS NOT NULL").select("doc_id"))
-    kept = docs.join(chosen, "doc_id", "left_semi")
-    return (kept.join(repeated, "doc_id", "left_anti")
-            .unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-            .unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns))
+    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return kept
+    repeated = broadcast_if_small(repeated)
+    return (kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+            .unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+                         .select(*docs.columns)))
