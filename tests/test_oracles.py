@@ -38,7 +38,7 @@ def test_check_notices_a_wrong_row(spark, duck):
 
 def test_types_equal_too(spark, duck):
     spark_types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-                   "string": "VARCHAR", "boolean": "BOOLEAN"}
+                   "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     for name, sql in oracles().items():
         if name.startswith(("stream", "scan", "read", "write", "csv_")):
             continue  # these run jobs to build their plan; their rows are compared above
