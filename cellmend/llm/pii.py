@@ -142,13 +142,17 @@ class Pseudonyms:
     def phone(self, text: str) -> str:
         digits = re.sub(r"\D", "", text)
         prefix, local = digits[:-10], digits[-10:]
-        if prefix in ("", "1") and local[0] >= "2" and local[3] >= "2":  # a number of the American plan
+        planned = lambda x: prefix in ("", "1") and x[0] >= "2" and x[3] >= "2"  # a number of the American plan
+        if planned(local):
             number = (int(local[:3]) - 200) * 800 + int(local[3:6]) - 200
             number = self.moved("phone", number * 10_000 + int(local[6:]), 800 * 800 * 10_000)
             front, line = divmod(number, 10_000)
             area, office = divmod(front, 800)
             return self._refilled(text, f"{prefix}{area + 200}{office + 200}{line:04d}")
-        return self._refilled(text, prefix + self.digits("phone", local))
+        while True:  # a number outside the plan must stay outside: those of the plan are taken by its own
+            local = self.digits("phone", local)
+            if not planned(local):
+                return self._refilled(text, prefix + local)
 
     def ip(self, text: str) -> str | None:
         parts = [int(p) for p in text.split(".")]

@@ -58,6 +58,19 @@ def test_pseudonyms_keep_the_format_and_come_back():
     assert new != iban and iban_digits("DE", new[4:]) == new[2:4]
 
 
+def test_phones_outside_the_american_plan_stay_outside_and_come_back():
+    own, back = Pseudonyms(KEY), Pseudonyms(KEY, restoring=True)
+    rnd = random.Random(11)
+    for k in range(300):
+        area, office = [(rnd.randrange(200), rnd.randrange(1000)), (rnd.randrange(1000), rnd.randrange(200))][k % 2]
+        for form in ("+1 ({:03d}) {:03d}-{:04d}", "{:03d}-{:03d}-{:04d}", "+44 {:03d} {:03d} {:04d}"):
+            phone = form.format(area, office, rnd.randrange(10_000))
+            new, n = own.text(phone)
+            assert n == 1 and back.text(new)[0] == phone
+            local = re.sub(r"\D", "", new)[-10:]
+            assert form[:3] == "+44" or local[0] < "2" or local[3] < "2"
+
+
 def test_only_valid_values_are_replaced():
     own = Pseudonyms(KEY)
     clean = ("Version 2.0, 4.0.1, 300.1.2.3 and 1.2.3.4.5; 2024-02-30; 4381893557741608; 000-12-3456; a@b; "
