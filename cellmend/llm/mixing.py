@@ -27,6 +27,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = 17
+#: An id of each input row, for rows that have none or share one.
+ROW = "_row"
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -176,12 +178,12 @@ def _sizes(batches):
         n = np.zeros(batch.num_rows, np.int64)
         for rows, first, _ in word_limits(batch.column("text")):
             n[rows] = np.diff(first)
-        yield {"doc_id": batch.column("doc_id"), "source": batch.column("source"), "size": n}
+        yield {ROW: batch.column(ROW), "doc_id": batch.column("doc_id"), "source": batch.column("source"), "size": n}
 
 
 @dataclass
 class Mix:
-    """``documents``: doc_id, source, size, source_size, target, rank, start;
+    """``documents``: _row, doc_id, source, size, source_size, target, rank, start;
     ``slots``: shard, slot, rank, block, around, words;
     ``blocks``: the documents' parts of each block. Slots and blocks both grow
     with the corpus and Spark cannot tell how many there will be, hence the hint
@@ -191,11 +193,12 @@ class Mix:
     blocks: DataFrame
 
     def spans(self) -> DataFrame:
-        """The mix itself: ``shard, slot, at, doc_id, first_word, n_words,
-        around``; ``at`` is the place of the words within the slot."""
+        """The mix itself: ``shard, slot, at, _row, doc_id, source, size,
+        first_word, n_words, around``; ``at`` is the place of the words within
+        the slot, ``_row`` tells rows apart that have no id or the same one."""
         return (self.blocks.hint("merge").join(self.slots.hint("merge"), ["rank", "block"])
                 .withColumn("n_words", F.least("to", "words") - F.col("at")).filter("n_words > 0")
-                .select("shard", "slot", "at", "doc_id", "source", "size", "first_word", "n_words", "around"))
+                .select("shard", "slot", "at", ROW, "doc_id", "source", "size", "first_word", "n_words", "around"))
 
     def taken(self) -> DataFrame:
         """``doc_id, size, source_size, target, taken`` for every row of the input."""
@@ -219,13 +222,17 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
     its source. There is one row per source on the driver.
 
     A null text has size 0 and nothing is taken from it. Rows that repeat a
-    document are documents of their own. Other columns are not read. An empty
-    table, or one without words, gives an empty mix. Reruns give the same mix.
+    document are documents of their own, as are those without ``doc_id``. Other
+    columns are not read, but for ``_row``: an id of each row that the caller has
+    settled. An empty table, or one without words, gives an empty mix. Reruns
+    give the same mix.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    sized = settled(map_arrow(docs.select("doc_id", "source", "text"), _sizes,
-                              f"doc_id {kind}, source string, size long"))
+    if ROW not in docs.columns:
+        docs = docs.withColumn(ROW, F.monotonically_increasing_id())
+    sized = settled(map_arrow(docs.select(ROW, "doc_id", "source", "text"), _sizes,
+                              f"{ROW} long, doc_id {kind}, source string, size long"))
     found = sized.groupBy("source").agg(F.sum("size").alias("size")).orderBy(
         F.asc_nulls_last("source")).collect()
     sizes = [row["size"] for row in found]
@@ -237,18 +244,18 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
         "source string, rank long, base long, source_size long, target double")
     ranked = sized.withColumnRenamed("source", "_source").join(
         F.broadcast(table), F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
-    order = [F.col("rank"), F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id"), F.col("size")]
+    order = [F.col("rank"), F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("doc_id"), F.col("size"), F.col(ROW)]
     documents = settled(
         running_total(ranked, order, F.col("size"), "end")
         .withColumn("start", F.col("end") - F.col("size") - F.col("base"))
-        .select("doc_id", "source", "size", "source_size", "target", "rank", "start"))
+        .select(ROW, "doc_id", "source", "size", "source_size", "target", "rank", "start"))
     stop = F.col("start") + F.col("size")
     of_block = F.col("block") * BLOCK_WORDS
     blocks = (
         documents.filter("size > 0")
         .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK_WORDS),
                                                   F.floor((stop - 1) / BLOCK_WORDS))))
-        .select("rank", "block", "doc_id", "source", "size", "start",
+        .select("rank", "block", ROW, "doc_id", "source", "size", "start",
                 (F.greatest("start", of_block) - of_block).alias("at"),
                 (F.least(stop, of_block + BLOCK_WORDS) - of_block).alias("to"),
                 (F.greatest("start", of_block) - F.col("start")).alias("first_word")))
@@ -284,14 +291,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken a second time once more behind the rest; documents of which nothing is
     taken are left out. Columns as in ``docs``, ``n_chars`` counted anew.
 
-    ``doc_id`` has to be unique; rows without it are left out. Null sources are
-    a source of their own.
+    Rows that have no ``doc_id``, or the same one, are documents of their own:
+    each row gets an id that is settled with its text. Null sources are a source
+    of their own.
     """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    mix_ = mix_sources(docs, **options)
-    spans = mix_.spans().filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    rows = settled(docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text", "lang", "source"))
+    mix_ = mix_sources(rows, **options)
+    spans = mix_.spans().groupBy(ROW).agg(
         F.sort_array(F.collect_list(F.struct("around", "first_word", "n_words"))).alias("spans"))
-    joined = docs.select("doc_id", "text", "lang", "source").join(spans, "doc_id")
+    joined = rows.join(spans, ROW)
     kinds = dict(docs.dtypes)
     built = map_arrow(joined.select("doc_id", "lang", "source", "spans", "text"), _rebuilt,
                       f"doc_id {kinds['doc_id']}, lang string, source string, text string")

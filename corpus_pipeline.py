@@ -6,8 +6,8 @@ results is packed into sequences. Each stage's result is written as Parquet and
 read again as the next one's documents.
 
 Nulls, empty texts, repeated rows and extra columns are handled as each
-operator states it. The mix needs an id to put a text together again, so rows
-without ``doc_id`` end there.
+operator states it. Rows without ``doc_id``, or with the same one, pass the mix
+like any other.
 """
 
 from __future__ import annotations

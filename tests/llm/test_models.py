@@ -288,6 +288,25 @@ def test_mixed_texts_hold_the_words_taken(documents):
         assert r.n_chars == len(r.text)
 
 
+def test_mixed_texts_of_null_and_repeated_ids(documents):
+    rnd = random.Random(12)
+    name = lambda i: None if i % 3 == 0 else 7 if i % 3 == 1 else i
+    rows = [(name(i), " ".join(f"w{i}_{k}" for k in range(rnd.randint(1, 150))), rnd.choice("abc"))
+            for i in range(90)]
+    rows += [(None, "same words here", "a")] * 3 + [(7, "same words here", "a")] * 3 + [(None, None, "b"), (7, "", "b")]
+    table = documents(rows)
+    taken = mix_sources(table).taken().collect()
+    got = mixed_documents(table).collect()
+    of = lambda pairs: sorted(Counter(pairs).items(), key=repr)
+    assert of((r.doc_id, len(WORD.findall(r.text))) for r in got) == of((r.doc_id, r.taken) for r in taken if r.taken)
+    by_words = {(i, w) for i, t, _ in rows for w in WORD.findall(t or "")}
+    for r in got:
+        own = WORD.findall(r.text)
+        assert max(Counter(own).values()) <= 2 and {(r.doc_id, w) for w in own} <= by_words
+        assert len({w.split("_")[0] for w in own if "_" in w}) <= 1  # words of one row only
+    assert sum(r.doc_id is None for r in got) > 10
+
+
 def test_shards_add_up():
     plan = mixing.Plan(np.array([9000, 500]), np.array([5000, 300]), np.array([4000, 200]), np.array([3, 4]), 1)
     shards = mixing.Shards(plan)
