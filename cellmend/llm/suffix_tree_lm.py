@@ -8,14 +8,18 @@ it makes more likely and leaves the rest to its suffix, so each node's
 distribution stays a distribution. A text is scored from the longest kept
 context of each word.
 
-A context needs a least share of all tokens, as do the listed next words: so
-each level has at most 1 / LEAST_SHARE entries, which bounds what is broadcast.
-Word counts have no such bound; they stay spread over buckets, and rare words
-are looked up there.
+A context needs a fixed count, as do the listed next words, whatever the size of
+the corpus: so the tree grows with it, and stays spread over buckets like the
+word counts. Each node and each listed word adds one number to a token's score:
+a node what it leaves to its suffix, a listed word what it has beyond that. So a
+text's score is the sum of what the buckets hold of its words, pairs and triples.
+What is broadcast only saves look-ups and is bounded: the sums of the most
+frequent grams, and a bit table that tells most grams that no bucket holds.
 """
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cellmend.llm.common import buckets, by_bucket, crc_of_id, map_arrow, pack, settled, unpack
-from cellmend.llm.text_arrays import words_of
+from cellmend.llm.text_arrays import mix, words_of
 
 DEPTH = 2
-LEAST_SHARE = 5e-7
 LEAST_COUNT = 4
+#: Share of all tokens from which a gram's sum is broadcast: at most 1 / HOT_SHARE a level.
+HOT_SHARE = 2e-6
+#: The bit table has 2 to the BITS bits, kept as 2 to the PARTS parts.
+BITS, PARTS = 27, 6
 #: A next word is listed if it is so many times likelier than the suffix has it.
 LEAST_RATIO = 1.5
 DISCOUNT = 0.5
@@ -35,19 +42,23 @@ DISCOUNT = 0.5
 LEAST_GAIN = 4.0
 END = np.uint64(0x5AFE0FE0D0FADA7A)
 _SHIFT = np.int64(1 << 21)
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
+#: Texts whose tokens are held at a time.
+_SLICE = 512
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(column):
     """(rows, hashes of all tokens, texts + 1 offsets): words, then one end each."""
-    for words in words_of(column, lower=True):
-        n = words.counts + 1
-        at = np.concatenate([[0], np.cumsum(n)])
-        out = np.empty(at[-1], np.uint64)
-        end = np.zeros(at[-1], bool)
-        end[at[1:] - 1] = True
-        out[end], out[~end] = END, words.hashes
-        yield words.rows, out, at
+    for start in range(0, len(column), _SLICE):
+        for words in words_of(column.slice(start, _SLICE), lower=True):
+            n = words.counts + 1
+            at = np.concatenate([[0], np.cumsum(n)])
+            out = np.empty(at[-1], np.uint64)
+            end = np.zeros(at[-1], bool)
+            end[at[1:] - 1] = True
+            out[end], out[~end] = END, words.hashes
+            yield words.rows + start, out, at
 
 
 def _counted(docs: DataFrame, keys_of, n_buckets: int) -> DataFrame:
@@ -91,8 +102,7 @@ def _added(batch: pa.Table) -> pa.Table:
 
 
 def _frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys in order, counts) of what occurs ``least`` times: bounded by
-    1 / LEAST_SHARE, whatever the corpus."""
+    """(keys in order, counts) of what occurs ``least`` times."""
     def rows(batches):
         for batch in batches:
             keys, counts = unpack(batch.column("keys"), np.uint64), unpack(batch.column("counts"), np.int64)
@@ -223,13 +233,10 @@ class Tree:
 
 
 def train(docs: DataFrame, n_buckets: int, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree and the counts of all words, by bucket. One pass over the texts
-    for the words and one for each level."""
-    counts = settled(_counted(docs, lambda hashes, at: hashes, n_buckets))
-    sums = map_arrow(counts.select("counts"), _totals, "total long").agg(F.sum("total").alias("t")).first()
-    total = int(sums["t"] or 0)
-    distinct = int(counts.agg(F.sum("n").alias("v")).first()["v"] or 0)
-    least = max(LEAST_COUNT, int(np.ceil(total * LEAST_SHARE)))
+    """The tree in one piece, for corpora that fit the driver, and the counts of
+    all words, by bucket. ``score_texts`` deals the same tree instead."""
+    counts, total, distinct = _word_counts(docs, n_buckets)
+    least = LEAST_COUNT
     words, n = _frequent(counts, least)
     tree = Tree(words, n, total, distinct, [])
     for _ in range(depth):
@@ -251,11 +258,211 @@ def train(docs: DataFrame, n_buckets: int, depth: int = DEPTH) -> tuple[Tree, Da
     return tree, counts
 
 
+def _word_counts(docs: DataFrame, n_buckets: int) -> tuple[DataFrame, int, int]:
+    """Counts of all words by bucket, their sum, and how many words there are."""
+    counts = settled(_counted(docs, lambda hashes, at: hashes, n_buckets))
+    sums = map_arrow(counts.select("counts"), _totals, "total long").agg(F.sum("total").alias("t")).first()
+    distinct = counts.agg(F.sum("n").alias("v")).first()["v"]
+    return counts, int(sums["t"] or 0), int(distinct or 0)
+
+
 def _totals(batches):
     for batch in batches:
         yield {"total": [int(unpack(batch.column("counts"), np.int64).sum())]}
 
 
+_NAMES = "abcdefgh"
+
+
+def _tidied(spark) -> None:
+    """Let Spark's cleaner delete the shuffle files of tables that are settled or
+    no longer referred to; it acts when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def gram_key(words: list[np.ndarray]) -> np.ndarray:
+    """One number for each gram; a single word stands for itself."""
+    if len(words) == 1:
+        return words[0]
+    out = np.zeros(len(words[0]), np.uint64)
+    for word in words:
+        out = out * _STEP + word
+    return mix(out)
+
+
+def grams_of(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(index of the last token, words) of each run of n tokens within a text."""
+    inside = np.arange(len(hashes)) - np.repeat(at[:-1], np.diff(at))
+    ends = np.flatnonzero(inside >= n - 1)
+    return ends, [hashes[ends - (n - 1) + k] for k in range(n)]
+
+
+def _in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be among those of the bit table."""
+    place = keys >> np.uint64(64 - BITS)
+    return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bit_table(grams: DataFrame, names: list[str]) -> np.ndarray:
+    """Bits of all grams (longs in ``names``), set part by part; its size never
+    depends on the grams, only how many others it lets pass."""
+    def places(batches):
+        held, size = [], 0
+
+        def flush():
+            place = np.unique(np.concatenate(held) >> np.uint64(64 - BITS)).astype(np.uint32)
+            limits = np.searchsorted(place >> np.uint32(BITS - PARTS), np.arange((1 << PARTS) + 1))
+            return {"part": np.arange(1 << PARTS, dtype=np.int32),
+                    "places": [pack(place[i:j]) for i, j in zip(limits[:-1], limits[1:])]}
+
+        for batch in batches:
+            held.append(gram_key([batch.column(name).to_numpy().view(np.uint64) for name in names]))
+            size += len(held[-1])
+            if size >= _FLUSH:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    def joined(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << (BITS - PARTS), bool)
+        for places in table["places"]:
+            bits[np.frombuffer(places.as_buffer(), np.uint32) & np.uint32(len(bits) - 1)] = True
+        return pa.table({"part": table["part"].slice(0, 1), "bits": [pack(np.packbits(bits, bitorder="little"))]},
+                        schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
+
+    out = np.zeros((1 << PARTS, 1 << (BITS - PARTS - 3)), np.uint8)
+    for row in map_arrow(grams.select(*names), places, "part int, places binary").groupBy("part").applyInArrow(
+            joined, "part int, bits binary").collect():
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _gram_counts(docs: DataFrame, n: int, shorter: np.ndarray, n_buckets: int) -> DataFrame:
+    """``(a, b[, c], n)``: the grams of n words that occur LEAST_COUNT times.
+    Only those are sent whose shorter grams may be such, by their bit table."""
+    names = list(_NAMES[:n])
+    shared = docs.sparkSession.sparkContext.broadcast(shorter)
+
+    def partial(batches):
+        table, held, size = shared.value, [], 0
+
+        def flush():
+            words = [np.concatenate([h[k] for h in held]) for k in range(n)]
+            keys, first, counts = np.unique(gram_key(words), return_index=True, return_counts=True)
+            order, at = by_bucket(keys, n_buckets)
+            cut = lambda x: [pack(x[order][i:j]) for i, j in zip(at[:-1], at[1:])]
+            return {"bucket": np.arange(n_buckets, dtype=np.int32), "n": cut(counts.astype(np.uint32))} | {
+                name: cut(word[first]) for name, word in zip(names, words)}
+
+        for batch in batches:
+            for _, hashes, at in tokens_of(batch.column("text")):
+                _, words = grams_of(hashes, at, n)
+                wanted = _in_table(table, gram_key(words[1:])) & _in_table(table, gram_key(words[:-1]))
+                held.append([word[wanted] for word in words])
+                size += len(held[-1][0])
+                if size >= _FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    def added(table: pa.Table) -> pa.Table:
+        words, counts = [unpack(table[name], np.uint64) for name in names], unpack(table["n"], np.uint32)
+        keys = gram_key(words)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        total = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        often = total >= LEAST_COUNT
+        return pa.table({name: word[order][first][often].view(np.int64) for name, word in zip(names, words)}
+                        | {"n": total[often]})
+
+    columns = ", ".join(f"{name} binary" for name in [*names, "n"])
+    return (map_arrow(docs.select("text"), partial, f"bucket int, {columns}")
+            .groupBy("bucket").applyInArrow(added, ", ".join(f"{name} long" for name in [*names, "n"])))
+
+
+def _judged(grams: DataFrame, context: list[str]) -> DataFrame:
+    """``grams``, which have ``n``, the context's count ``own`` and the natural
+    log ``suffix`` of what the suffix gives the word, with ``rest`` (natural log of
+    what the node leaves to its suffix, null if it is not kept) and ``p`` (natural
+    log of the word's probability, null if it is not listed)."""
+    listed = F.col("n") / F.col("own") >= LEAST_RATIO * F.exp("suffix")
+    grams = grams.withColumn("listed", listed)
+    sums = (grams.groupBy(*context, "own")
+            .agg(F.sum(F.when(F.col("listed"), F.col("n")).otherwise(0)).alias("given"),
+                 F.sum(F.col("listed").cast("long")).alias("n_listed"))
+            .withColumn("left", (F.col("own") - F.col("given") + DISCOUNT * F.col("n_listed")) / F.col("own")))
+    p = F.when(F.col("listed"), F.log((F.col("n") - DISCOUNT) / F.col("own") + F.col("left") * F.exp("suffix")))
+    grams = grams.join(sums.select(*context, "left", "given", "n_listed"), context).withColumn("p", p)
+    kept = (grams.groupBy(*context, "own", "given", "left", "n_listed")
+            .agg(F.sum(F.col("n") * (F.col("p") - F.col("suffix"))).alias("won"))
+            .filter((F.col("n_listed") > 0) & (F.col("left") > 0) & (
+                F.col("won") + (F.col("own") - F.col("given")) * F.log(F.greatest("left", F.lit(1e-300))) >= LEAST_GAIN))
+            .select(*context, F.log("left").alias("rest")))
+    return (grams.drop("left", "given", "n_listed", "listed").join(kept, context, "left")
+            .withColumn("p", F.when(F.col("rest").isNotNull(), F.col("p"))))
+
+
+def _keyed(grams: DataFrame, names: list[str], value: F.Column) -> DataFrame:
+    """``(key, n, value)`` of grams; the value in decimal log."""
+    def rows(batches):
+        for batch in batches:
+            words = [batch.column(name).to_numpy().view(np.uint64) for name in names]
+            yield {"key": gram_key(words).view(np.int64), "n": batch.column("n"), "value": batch.column("value")}
+
+    value = F.coalesce(value, F.lit(0.0)) / float(np.log(10))
+    return map_arrow(grams.select(*names, "n", value.alias("value")), rows, "key long, n long, value double")
+
+
+def model(docs: DataFrame, n_buckets: int, depth: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """(``(key, n, value)`` of each gram that occurs LEAST_COUNT times, counts of
+    all words by bucket, their sum, number of words). The values of a text's
+    grams add up to the decimal log of its probability over the root's."""
+    counts, total, distinct = _word_counts(docs, n_buckets)
+
+    def frequent(batches):
+        for batch in batches:
+            keys, n = unpack(batch.column("keys"), np.uint64), unpack(batch.column("counts"), np.int64)
+            yield {"a": keys[n >= LEAST_COUNT].view(np.int64), "n": n[n >= LEAST_COUNT]}
+
+    # Settled tables between the steps keep a task at one Python worker.
+    words = settled(map_arrow(counts.select("keys", "counts"), frequent, "a long, n long"))
+    root = F.log((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1)))
+    # ``given``: natural log of what the longest kept context gives the last word, over the root.
+    last = words.withColumn("root", root).withColumn("given", F.lit(0.0))
+    shorter, values = words.withColumn("more", F.lit(0.0)), []
+    judged = nodes = mine = None
+    for length in range(2, depth + 2):
+        names, context, suffix = list(_NAMES[:length]), list(_NAMES[:length - 1]), list(_NAMES[1:length])
+        table = bit_table(shorter, context)
+        found = settled(_gram_counts(docs, length, table, n_buckets))
+        _tidied(docs.sparkSession)
+        own = shorter.select(*context, F.col("n").alias("own"))
+        below = last.select(*[F.col(x).alias(y) for x, y in zip(context, suffix)], "root", F.col("given").alias("less"))
+        judged = settled(_judged(found.join(own, context).join(below, suffix).withColumn(
+            "suffix", F.col("root") + F.col("less")), context))
+        del found, own, below
+        _tidied(docs.sparkSession)
+        nodes = judged.filter("rest IS NOT NULL").groupBy(*context).agg(F.first("rest").alias("leave"))
+        # What a shorter gram adds as a listed word, and as the node of the next word.
+        mine = shorter.join(nodes, context, "left")
+        values.append(settled(_keyed(mine, context, F.coalesce("leave", F.lit(0.0)) + F.col("more"))))
+        given = F.coalesce(F.col("p") - F.col("root"), F.col("rest") + F.col("less"), F.col("less"))
+        last = judged.withColumn("given", given).select(*names, "n", "root", "given")
+        shorter = judged.select(*names, "n", F.coalesce(
+            F.col("p") - F.col("root") - F.col("rest") - F.col("less"), F.lit(0.0)).alias("more"))
+    values.append(settled(_keyed(shorter, list(_NAMES[:depth + 1]), F.col("more"))))
+    del shorter, last, judged, nodes, mine
+    _tidied(docs.sparkSession)
+    out = values[0]
+    for more in values[1:]:
+        out = out.unionByName(more)
+    return out, counts, total, distinct
+
+
 _PARTS = ("rows", "ids", "nameless", "held_out", "n_tokens", "known", "base", "gain")
 
 
@@ -276,22 +483,61 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """
     n_buckets = buckets(docs.sparkSession)
     out = F.pmod(crc_of_id(), F.lit(10)) == 0
-    tree, counts = train(docs.filter(~out), n_buckets, depth)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    values, counts, total, distinct = model(docs.filter(~out), n_buckets, depth)
+    log_root = lambda n: np.log10((n + 0.1) / (total + 0.1 * (distinct + 1)))
+    hot = max(LEAST_COUNT, int(np.ceil(total * HOT_SHARE)))
+    words, word_counts = _frequent(counts, hot)
+    often = values.filter(F.col("n") >= hot).select("key", "value").toArrow()
+    hot_keys, hot_values = often["key"].to_numpy().view(np.uint64), often["value"].to_numpy()
+    order = np.argsort(hot_keys)
+    some = values.filter("value <> 0")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (words, log_root(word_counts), hot_keys[order], hot_values[order], bit_table(some, ["key"])))
+
+    def dealt(batches):
+        """The sums by bucket, beside the word counts."""
+        held, size = [], 0
+
+        def flush():
+            keys, sums = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            order, at = by_bucket(keys, n_buckets)
+            cut = lambda x: [pack(x[order][i:j]) for i, j in zip(at[:-1], at[1:])]
+            none = pa.nulls(n_buckets, pa.binary())
+            return {"bucket": np.arange(n_buckets, dtype=np.int32), "keys": none, "counts": none,
+                    "grams": cut(keys), "sums": cut(sums)}
+
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("value").to_numpy()))
+            size += len(held[-1][0])
+            if size >= _FLUSH:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    known = counts.select("bucket", "keys", "counts", F.lit(None).cast("binary").alias("grams"),
+                          F.lit(None).cast("binary").alias("sums")).unionByName(
+        map_arrow(some.select("key", "value"), dealt,
+                  "bucket int, keys binary, counts binary, grams binary, sums binary"))
 
     def ask(batches):
-        """What is known in the task, and the rare words for the buckets."""
-        tree, held, size = shared.value, [], 0
+        """What is known in the task, and the rare words and grams for the buckets."""
+        words, roots, hot_keys, hot_values, table = shared.value
+        roots, hot_values = np.append(roots, 0), np.append(hot_values, 0)
+        held, size = [], 0
 
         def flush():
-            hashes, owners = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            info = {name: np.concatenate([h[2][name] for h in held]) for name in _PARTS}
-            order, at = by_bucket(hashes, n_buckets)
             cut = lambda x, at: [pack(x[i:j]) for i, j in zip(at[:-1], at[1:])]
+            info = {name: np.concatenate([h[2][name] for h in held]) for name in _PARTS}
+            first = info["rows"].min()
+            out = {"bucket": np.arange(n_buckets, dtype=np.int32), "first": np.full(n_buckets, first)}
+            for k, (name, owner) in enumerate((("words", "owners"), ("grams", "gram_owners"))):
+                keys, owners = (np.concatenate([h[k][i] for h in held]) for i in (0, 1))
+                order, at = by_bucket(keys, n_buckets)
+                # A task's rows are numbered one behind the other: 4 bytes tell them apart.
+                out |= {name: cut(keys[order], at), owner: cut((owners[order] - first).astype(np.uint32), at)}
             turn, turn_at = by_bucket(info["rows"].view(np.uint64), n_buckets)
-            return {"bucket": np.arange(n_buckets, dtype=np.int32), "words": cut(hashes[order], at),
-                    "owners": cut(owners[order], at)} | {
-                        name: cut(info[name][turn], turn_at) for name in _PARTS}
+            return out | {name: cut(info[name][turn], turn_at) for name in _PARTS}
 
         for batch in batches:
             keys, ids = batch.column("row").to_numpy(), batch.column("doc_id")
@@ -299,17 +545,27 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             ids = ids.fill_null(0).to_numpy()
             held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
             for rows, hashes, at in tokens_of(batch.column("text")):
-                word = _place(tree.words, hashes)
+                word = _place(words, hashes)
                 frequent = word >= 0
                 owner = np.repeat(np.arange(len(rows)), np.diff(at))
                 per_text = lambda x: np.bincount(owner, x, minlength=len(rows))
-                base = np.where(frequent, tree.log_root(np.append(tree.counts, 0)[word]), 0)
+                gain, asked = np.zeros(len(rows)), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+                for n in range(1, depth + 2):
+                    ends, parts = grams_of(hashes, at, n)
+                    gram, of = gram_key(parts), owner[ends]
+                    may = _in_table(table, gram)
+                    gram, of = gram[may], of[may]
+                    place = _place(hot_keys, gram)
+                    gain += np.bincount(of, hot_values[place], minlength=len(rows))
+                    if n > 1:  # rare words are asked for anyway
+                        asked.append((gram[place < 0], keys[rows][of[place < 0]]))
                 info = {"rows": keys[rows], "ids": ids[rows], "nameless": nameless[rows],
                         "held_out": held_out[rows], "n_tokens": np.diff(at),
-                        "known": per_text(frequent).astype(np.int64), "base": per_text(base),
-                        "gain": per_text(tree.gains(word, at))}
-                held.append((hashes[~frequent], keys[rows][owner[~frequent]], info))
-                size += int((~frequent).sum()) + len(rows)
+                        "known": per_text(frequent).astype(np.int64), "base": per_text(roots[word]),
+                        "gain": gain}
+                grams = tuple(np.concatenate([x[i] for x in asked]) for i in (0, 1))
+                held.append(((hashes[~frequent], keys[rows][owner[~frequent]]), grams, info))
+                size += int((~frequent).sum()) + len(grams[0]) + len(rows)
                 if size >= _FLUSH:
                     yield flush()
                     held, size = [], 0
@@ -317,14 +573,24 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             yield flush()
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        tree = shared.value
-        words, owners = unpack(asked["words"], np.uint64), unpack(asked["owners"], np.int64)
+        def rows_of(name):
+            sizes = [len(x.as_buffer()) // 4 for x in asked[name]]
+            return unpack(asked[name], np.uint32) + np.repeat(asked["first"].to_numpy(), sizes)
+
+        words, owners = unpack(asked["words"], np.uint64), rows_of("owners")
         keys, n = unpack(known["keys"], np.uint64), unpack(known["counts"], np.int64)
         place = _place(keys, words)
         found = np.where(place >= 0, np.append(n, 0)[place], 0)
-        rows, back = np.unique(owners, return_inverse=True)
-        base = np.bincount(back, tree.log_root(found), minlength=len(rows))
-        seen = np.bincount(back, found > 0, minlength=len(rows)).astype(np.int64)
+        # The sums of grams, and those of the rare words.
+        grams, sums = unpack(known["grams"], np.uint64), unpack(known["sums"], float)
+        order = np.argsort(grams)
+        grams, sums = grams[order], np.append(sums[order], 0)
+        asked_grams, gram_owners = unpack(asked["grams"], np.uint64), rows_of("gram_owners")
+        rows, back = np.unique(np.r_[owners, gram_owners], return_inverse=True)
+        of_words = back[:len(owners)]
+        base = np.bincount(of_words, log_root(found), minlength=len(rows))
+        seen = np.bincount(of_words, found > 0, minlength=len(rows)).astype(np.int64)
+        gain = np.bincount(back, np.r_[sums[_place(grams, words)], sums[_place(grams, asked_grams)]], minlength=len(rows))
         kinds = {"nameless": bool, "held_out": bool, "base": float, "gain": float}
         info = {name: unpack(asked[name], kinds.get(name, np.int64)) for name in _PARTS}
         more, none = len(info["rows"]), np.zeros(len(rows))
@@ -334,16 +600,16 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             "row": np.r_[info["rows"], rows], "doc_id": only(info["ids"], mask | np.r_[info["nameless"], none > 0]),
             "held_out": only(info["held_out"]), "n_tokens": only(info["n_tokens"]),
             "n_known": np.r_[info["known"], seen], "base": np.r_[info["base"], base],
-            "gain": np.r_[info["gain"], none]})
+            "gain": np.r_[info["gain"], gain]})
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                        F.coalesce(out, F.lit(False)).alias("held_out"), "text")
-    asked = map_arrow(rows, ask, "bucket int, words binary, owners binary, "
+    asked = map_arrow(rows, ask, "bucket int, first long, words binary, owners binary, grams binary, gram_owners binary, "
                       + ", ".join(f"{name} binary" for name in _PARTS))
-    parts = asked.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(
+    parts = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
         answer, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double")
     return parts.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("gain").alias("gain")
-    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"),
+    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
              "base_score", (F.col("base_score") + F.col("gain")).alias("score"))

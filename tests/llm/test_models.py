@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -235,6 +236,27 @@ def test_every_node_is_a_distribution(documents):
         assert total == pytest.approx(1, abs=1e-9)
 
 
+@pytest.mark.parametrize("hot_share", [2e-6, 0.01, 2.0])
+def test_dealt_scores_are_those_of_the_whole_tree(documents, monkeypatch, hot_share):
+    """Whatever part of the tree is broadcast, and however large the corpus is."""
+    monkeypatch.setattr(lm, "HOT_SHARE", hot_share)
+    rows = phrases(5, 500)
+    docs = documents(rows)
+    tree, _ = lm.train(docs.filter("pmod(crc32(cast(doc_id AS string)), 10) <> 0"), 4)
+    assert tree.levels[1].kept.sum() > 3
+    got = {r.doc_id: r.score - r.base_score for r in score_texts(docs).collect()}
+    for doc_id, text in rows:
+        _, hashes, at = next(lm.tokens_of(pa.array([text])))
+        assert got[doc_id] == pytest.approx(tree.gains(lm._place(tree.words, hashes), at).sum(), abs=1e-6)
+
+
+def test_what_a_context_needs_does_not_grow_with_the_corpus(documents):
+    rows = [(i, "left right centre") for i in range(4)]
+    filler = [(1000, " ".join(map(str, range(8_000_000))))]
+    tree, _ = lm.train(documents(rows).union(documents(filler)), 4)
+    assert tree.total > 8_000_000 and len(tree.words) == 4
+
+
 def test_targets_stop_at_twice_the_source():
     assert targets([100, 100, 100], [5, 2, 1]) == pytest.approx([200, 500 / 3, 250 / 3])
     got = targets([10, 1000, 0], [5, 2, 1])
