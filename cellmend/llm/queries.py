@@ -175,3 +175,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents."""
     from cellmend.llm.suffix_tree_lm import score_texts
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+#: crc32 of the decimal id, modulo 9, in SQL.
+_CRC9 = """
+list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda crc, x: list_reduce(list_prepend(xor(crc, x), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))
+"""
+
+
+@query("op11_conversation_trie", rf"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list(x ORDER BY pos) AS own, xor({_CRC9}, 4294967295) % 9 AS h FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS turns
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+q AS (SELECT conv_id, n, depth, turns[1:depth] AS seq FROM p),
+n AS (
+  SELECT seq, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * coalesce(octet_length(encode(seq[depth].text)), 0) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM q GROUP BY seq, depth),
+k AS (SELECT seq[1:depth - 1] AS seq, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.seq = k.seq AND n.depth = k.depth),
+up AS (SELECT seq, unnest(range(0, depth + 1)) AS to_depth, saved, CAST(n_children = 0 AS INT) AS leaf FROM m),
+s AS (SELECT seq[1:to_depth] AS seq, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM up GROUP BY 1)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN s ON m.seq = s.seq LEFT JOIN n p ON m.depth > 0 AND p.depth = m.depth - 1 AND p.seq = m.seq[1:m.depth - 1]
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    from cellmend.llm.conversation_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
