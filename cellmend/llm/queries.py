@@ -212,3 +212,87 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of all rebuilt conversations."""
     from cellmend.llm.conversation_trie import prefix_trie
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_hard_negatives", """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0),
+s AS (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.other_id) AS INT) AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.other_id) <= 5
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    from pyspark.sql import functions as F
+    from cellmend.llm.hard_negatives import mine_hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+#: What both rows of the conversation with escapes say.
+_MARKED = "\\### Assistant: </turn> ok"
+
+
+def _op13_oracle() -> str:
+    from cellmend.llm.chat_format import BUDGET, HISTORY, MARKS
+    piece = ("length(regexp_replace(role, '([\\\\#<:])', '\\\\\\1', 'g'))"
+             " + length(regexp_replace(text, '([\\\\#<])', '\\\\\\1', 'g')) + 14")
+    return rf"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_MARKED}' UNION ALL SELECT -7, 1, 'assistant', '{_MARKED}'),
+t AS (
+  SELECT conv_id, role, text, row_number() OVER o AS pos, {piece} AS chars,
+    first_value(role) OVER o = 'system' AS has_system,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {MARKS} AS cost
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST)),
+s AS (
+  SELECT *, sum(cost) OVER o AS until, greatest(1, floor(({BUDGET - HISTORY}
+    - CASE WHEN has_system THEN first_value(cost) OVER o ELSE 0 END) / 2)) AS half
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY pos)),
+k AS (
+  SELECT *, sum(CAST(cost > half AS INT)) OVER (PARTITION BY conv_id ORDER BY pos) AS n_large,
+    CASE WHEN cost <= half THEN floor((until - cost) / half) END AS share FROM s),
+w AS (
+  SELECT conv_id, n_large, share, min(pos) AS first_pos, max(pos) AS last_pos, max(until) AS w_until
+  FROM k GROUP BY ALL),
+again AS (
+  SELECT conv_id, sum(chars) AS chars FROM (
+    SELECT k.conv_id, k.chars FROM k JOIN w ON k.conv_id = w.conv_id AND k.pos BETWEEN w.first_pos AND w.last_pos
+    JOIN w v ON v.conv_id = w.conv_id AND v.first_pos = w.last_pos + 1
+    WHERE w.w_until - (until - cost) <= {HISTORY} AND NOT (k.pos = 1 AND has_system)
+    UNION ALL
+    SELECT k.conv_id, k.chars FROM k JOIN w ON k.conv_id = w.conv_id AND w.first_pos > 1
+    WHERE k.pos = 1 AND has_system)
+  GROUP BY conv_id),
+c AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
+  FROM t GROUP BY conv_id)
+SELECT c.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(c.chars + coalesce(again.chars, 0) AS BIGINT) AS formatted_chars
+FROM c LEFT JOIN again ON again.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op13_chat_format", _op13_oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of marks, read back from their training texts."""
+    from pyspark.sql import functions as F
+    from cellmend.llm.chat_format import format_chats, read_back
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_MARKED).alias("text"))
+    return read_back(format_chats(turns.unionByName(marked)))
