@@ -63,8 +63,9 @@ def scan_schemas(spark: SparkSession, inventory: DataFrame, root: str) -> DataFr
 
     Delimited files are decided on their first rows; a clear header gives a
     schema of all the data, any other decision suggested names. JSON files have
-    the schema of their leaves, a bad one an ``error`` in its place. A missing or
-    unreadable file keeps the defaults and the reason why.
+    the schema of their leaves, a bad one an ``error`` in its place, as has a
+    delimited file that cannot be cut into records. A missing or unreadable file
+    keeps the defaults and the reason why.
     """
     opened = open_files(spark, inventory, root)
     parts = []
@@ -79,6 +80,10 @@ def scan_schemas(spark: SparkSession, inventory: DataFrame, root: str) -> DataFr
     json = _json_schemas(opened)
     if json is not None:
         parts.append(json)
+    if opened.problems is not None:
+        parts.append(opened.problems.select(
+            "file_path", *[F.lit(v).alias(c) for c, v in _DEFAULTS.items()],
+            F.to_json(F.array(F.struct("error"))).alias("schema"), F.lit("[]").alias("generated_headers")))
     added = [*_DECISION, "schema", "generated_headers"]
     routed = opened.routed.withColumn("_path", F.trim("file_path"))
     if parts:
@@ -117,7 +122,9 @@ def clean_files(spark: SparkSession, inventory: DataFrame, root: str) -> tuple[D
     records of a file. JSON records are cleaned by their top-level keys.
     """
     opened = open_files(spark, inventory, root)
-    parts, problems = [], None
+    parts, problems = [], []
+    if opened.problems is not None:
+        problems.append(opened.problems.withColumnRenamed("error", "problem"))
     found = opened.text_records()
     if found is not None:
         heads = _heads(found)
@@ -140,9 +147,10 @@ def clean_files(spark: SparkSession, inventory: DataFrame, root: str) -> tuple[D
             F.transform("fields", lambda v, i: _cleaned(F.get("names", i), v)).alias("values")))
     found = opened.json_records()
     if found is not None:
-        problems = settled(found.groupBy("file_path").agg(F.max("error").alias("problem")))
+        states = settled(found.groupBy("file_path").agg(F.max("error").alias("problem")))
+        problems.append(states)
         fine = found.filter("record IS NOT NULL").join(
-            broadcast_if_small(problems.filter("problem IS NULL").select("file_path")), "file_path")
+            broadcast_if_small(states.filter("problem IS NULL").select("file_path")), "file_path")
         members = F.map_entries(F.from_json("record", "map<string,string>"))
         parts.append(fine.select("file_path", members.alias("m")).select(
             "file_path", F.struct(F.lit(0).cast("long").alias("block"),
@@ -150,8 +158,9 @@ def clean_files(spark: SparkSession, inventory: DataFrame, root: str) -> tuple[D
             F.transform("m", lambda e: e["key"]).alias("names"),
             F.transform("m", lambda e: _cleaned(e["key"], e["value"])).alias("values")))
     routed = opened.routed.withColumn("_path", F.trim("file_path"))
-    if problems is not None:
-        routed = routed.join(problems.withColumnRenamed("file_path", "_path"), "_path", "left")
+    if problems:
+        found = reduce(DataFrame.unionByName, problems)
+        routed = routed.join(found.withColumnRenamed("file_path", "_path"), "_path", "left")
     else:
         routed = routed.withColumn("problem", F.lit(None).cast("string"))
     outcome = routed.select(*[F.col(quoted(c)) for c in inventory.columns],

@@ -64,6 +64,45 @@ def read_quoted_newlines(spark, sf_dir):
                        F.col("fields")[1].alias("text"), F.col("fields")[2].alias("lang"), "width")
 
 
+# One file per part size, in splits of 100 keys; some lines open a quote, which
+# the next such line closes, if there is one.
+_STRAY = "p_partkey % 37 = 5"
+
+
+@query("record_problems", f"""
+    WITH l AS (SELECT p_size, {_STRAY} AS stray,
+                 row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS number FROM part)
+    SELECT p_size AS file_path, concat('Unclosed quote from line ', max(number) FILTER (stray)) AS error
+    FROM l GROUP BY p_size HAVING count(*) FILTER (stray) % 2 = 1""")
+def record_problems(spark, sf_dir):
+    """Files that end inside a quote, with the line that opens it."""
+    lines = table(spark, sf_dir, "part").selectExpr(
+        "p_size AS file_path", "p_partkey - p_partkey % 100 AS block", "p_partkey AS line_no",
+        f"CASE WHEN {_STRAY} THEN concat('\"', p_name) ELSE concat(p_name, ',', p_type) END AS line")
+    return delimited.record_problems(lines)
+
+
+@query("sound_records", f"""
+    WITH l AS (SELECT *, sum(CAST({_STRAY} AS INT)) OVER (PARTITION BY p_size) AS strays FROM part)
+    SELECT p_size AS file_path, p_partkey FROM l WHERE strays % 2 = 0 AND NOT ({_STRAY})
+      AND (SELECT count(*) FROM part s WHERE s.p_size = l.p_size AND s.p_partkey % 37 = 5
+           AND s.p_partkey < l.p_partkey) % 2 = 0""")
+def sound_records(spark, sf_dir):
+    """Records outside quoted runs, of the files without problems, written and
+    read back. The broken files do not stop the others."""
+    path = scratch_path(spark, "strays")
+    table(spark, sf_dir, "part").selectExpr(
+        "p_size", "p_partkey",
+        f"CASE WHEN {_STRAY} THEN concat('\"', p_name) ELSE concat('k', p_partkey, ',', p_type) END AS value"
+    ).repartition("p_size").sortWithinPartitions("p_size", "p_partkey").select("p_size", "value").write.partitionBy(
+        "p_size").text(path)
+    rows, _ = delimited.read_delimited(spark, path, ",")
+    key = F.regexp_extract(F.col("fields")[0], r"^k(\d+)$", 1)
+    return rows.filter(key != "").select(
+        F.regexp_extract("file_path", r"p_size=(\d+)", 1).cast("int").alias("file_path"),
+        key.cast("bigint").alias("p_partkey"))
+
+
 @query("read_delimited_table", """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""")
 def read_delimited_table(spark, sf_dir):
@@ -363,6 +402,27 @@ def json_documents(spark, sf_dir):
     return cells.withColumn("error", F.lit(None).cast("string")).unionByName(errors)
 
 
+@query("json_array_file", """
+    SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+           concat('a "b, [', chr(92), '] ', event_type) AS s, NULL AS error FROM events""")
+def json_array_file(spark, sf_dir):
+    """All events as the elements of one array, which many tasks cut."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "'events' AS file_path", "event_id - event_id % 512 AS block", "event_id AS line_no",
+        "concat(',', to_json(named_struct('id', event_id, 't', event_type, 'p', from_json(props, 'k BIGINT'), "
+        "'s', concat('a \"b, [', char(92), '] ', event_type)))) AS line")
+    # The array opens and closes on lines of their own.
+    ends = events.agg(F.min("line_no").alias("least"), F.max("block").alias("most")).select(F.inline(F.array(
+        F.struct(F.lit("events").alias("file_path"), (F.col("least") - 512).alias("block"),
+                 F.lit(0).cast("bigint").alias("line_no"), F.lit('[{"id": -1}').alias("line")),
+        F.struct(F.lit("events"), F.col("most") + 512, F.lit(0).cast("bigint"), F.lit("]")))))
+    found = J.document_records(events.unionByName(ends))
+    record = F.from_json("record", "id BIGINT, t STRING, p STRUCT<k: BIGINT>, s STRING")
+    return found.select(record.alias("r"), "error").filter("r.id <> -1 OR error IS NOT NULL").select(
+        F.col("r.id").alias("event_id"), F.col("r.t").alias("event_type"), F.col("r.p.k").alias("k"),
+        F.col("r.s").alias("s"), "error")
+
+
 @query("read_json_table", """
     SELECT event_id, event_type, value, user_id AS "u.id",
            json_extract_string(props, '$.k') AS "u.k" FROM events""")

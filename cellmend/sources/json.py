@@ -3,7 +3,7 @@ columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cellmend.functions.normalize import quoted
 from cellmend.operators.sizing import broadcast_if_small, settled
@@ -14,15 +14,7 @@ MALFORMED = "Malformed JSON"
 _LEVELS_A_PLAN = 6  # levels opened before the lineage is cut
 
 
-def _documents(lines: DataFrame) -> DataFrame:
-    """One row per file with its whole text: a JSON document has no smaller
-    unit that could be parsed on its own."""
-    parts = F.sort_array(F.collect_list(F.struct("block", "line_no", "line")))
-    return lines.groupBy("file_path").agg(
-        F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
-
-
-def _text(line: Column) -> Column:
+def json_text(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r"))
 
 
@@ -30,59 +22,154 @@ def is_json(text: Column) -> Column:
     """The text is exactly one JSON value.
 
     The parser itself takes a value with something behind it. Put into an array
-    and into an object, such a text no longer is their only element. An object
-    with a key twice is no valid value here.
+    before its own hash, a text is one value only if it is the first of two
+    elements and the hash the second. An object with a key twice is no valid
+    value here.
     """
-    element = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
-                                "$", "array<variant>")
-    member = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))),
-                               "$", "map<string,variant>")
-    return F.coalesce((F.size(element) == 1) & (F.size(member) == 1), F.lit(False))
+    mark = F.xxhash64(text)
+    elements = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))),
+        "$", "array<variant>")
+    # Within an array of one, so that the text is parsed once.
+    whole = F.exists(F.array(elements), lambda e: (F.size(e) == 2) & (
+        F.try_variant_get(F.get(e, 1), "$", "bigint") == mark))
+    return F.coalesce(whole, F.lit(False))
 
 
 def is_object_line(line: Column) -> Column:
     """The line is blank or starts like a JSON object. Whether it is a valid one
     is settled per record: a bad line is an error row of its own."""
-    text = _text(line)
+    text = json_text(line)
     return (text == "") | (text.startswith("{") & F.json_object_keys(text).isNotNull())
 
 
 def line_records(lines: DataFrame) -> DataFrame:
     """Records of files with one object per line; such files stay split. A line
     that is not exactly one object is an error without a record."""
-    text = _text(F.col("line"))
+    text = json_text(F.col("line"))
     valid = is_json(text)
     return lines.filter(text != "").select(
         "file_path", F.when(valid, text).alias("record"),
         F.when(~valid, MALFORMED).alias("error"))
 
 
-def document_records(lines: DataFrame) -> DataFrame:
-    """Records of files that are one JSON document each.
+def _pieces(lines: DataFrame, joint: str) -> DataFrame:
+    """What lies between commas: ``comma`` tells whether one stands before."""
+    place = ["file_path", "block", "line_no"]
+    if joint == ",":
+        return lines.select(*place, F.lit(0).alias("piece_no"), F.lit(True).alias("comma"),
+                            F.col("line").alias("piece"))
+    return lines.select(*place, F.posexplode(F.split("line", ",", -1)).alias("piece_no", "piece")).withColumn(
+        "comma", F.col("piece_no") > 0)
+
+
+def _rise(outside: Column) -> Column:
+    """Opened minus closed brackets of a text without strings."""
+    return (F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))).cast("bigint")
+
+
+def _elements(pieces: DataFrame, joint: str) -> DataFrame:
+    """``(file_path, is_first, is_last, root, ends_well, text)``: the elements of
+    array roots, other roots as one element.
+
+    A piece maps (inside a string, depth) at its start to the same at its end:
+    the quotes in it flip the first, and the second rises by one of two amounts,
+    as the piece starts outside or inside a string. Both compose, so a window
+    per split settles the pieces of a split for either start, one row per split
+    carries the state across splits, and what lies between two commas at depth 1
+    comes together by its first piece, however many tasks read the file.
+    """
+    bare = F.regexp_replace("piece", r"(?s)\\.", "")  # an escape and what it escapes
+    out = lambda text: F.regexp_replace(text, r'"[^"]*+(?:"|\z)', "")
+    order = F.struct("line_no", "piece_no")
+    split = ["file_path", "block"]
+    place = Window.partitionBy(*split).orderBy("line_no", "piece_no")
+    so_far = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    char = F.substring(F.ltrim("piece", F.lit(" \t\r\n")), 1, 1)
+    traced = (
+        pieces.withColumn("bare", bare)
+        .withColumns({"quotes": (F.length("bare") - F.length(F.replace("bare", F.lit('"'), F.lit("")))).cast("bigint"),
+                      "plain": _rise(out(F.col("bare"))),
+                      "quoted": _rise(out(F.concat(F.lit('"'), F.col("bare"))))})
+        .drop("bare")
+        .withColumn("flips", F.sum("quotes").over(so_far))
+        .withColumn("odd", (F.col("flips") - F.col("quotes")) % 2 == 1)
+        .withColumns({"own_0": F.when(F.col("odd"), F.col("quoted")).otherwise(F.col("plain")),
+                      "own_1": F.when(F.col("odd"), F.col("plain")).otherwise(F.col("quoted"))})
+        .withColumns({f"rise_{k}": F.sum(f"own_{k}").over(so_far) for k in (0, 1)}))
+    # One row per split: bounded by file size / split size.
+    splits = traced.groupBy(*split).agg(
+        F.sum("quotes").alias("q"), F.sum("own_0").alias("r0"), F.sum("own_1").alias("r1"),
+        F.min_by(F.when(char != "", char), F.when(char != "", order)).alias("char"))
+    by_split = Window.partitionBy("file_path").orderBy("block")
+    before = by_split.rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("file_path")
+    start = F.coalesce(F.sum("q").over(before), F.lit(0)) % 2
+    starts = (
+        splits.withColumn("start", start)
+        .withColumn("rise", F.when(F.col("start") == 1, F.col("r1")).otherwise(F.col("r0")))
+        .select(*split, "start", F.coalesce(F.sum("rise").over(before), F.lit(0)).alias("depth"),
+                F.first("char", ignorenulls=True).over(
+                    by_split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("root"),
+                ((F.sum("q").over(file) % 2 == 0) & (F.sum("rise").over(file) == 0)).alias("ends_well")))
+    inside = (F.col("start") + F.col("odd").cast("int")) % 2 == 1
+    risen = lambda with_own: F.col("depth") + F.when(
+        F.col("start") == 1, F.col("rise_1") - (0 if with_own else F.col("own_1"))
+    ).otherwise(F.col("rise_0") - (0 if with_own else F.col("own_0")))
+    is_head = (F.col("root") == "[") & F.col("comma") & ~inside & (risen(False) == 1)
+    known = traced.join(starts, split).withColumn("depth_after", risen(True)).withColumn(
+        "head", F.last(F.when(is_head, F.struct("block", "line_no", "piece_no")), ignorenulls=True).over(so_far))
+    # An element that runs on from earlier splits: the last head before them.
+    carried = known.groupBy(*split).agg(F.max("head").alias("last_head")).select(
+        *split, F.last("last_head", ignorenulls=True).over(before).alias("carried"))
+    sep = F.when(F.col("comma"), ",").otherwise("\n" if joint == "\n" else joint)
+    parts = F.sort_array(F.collect_list(F.struct("block", "line_no", "piece_no", "sep", "piece")))
+    whole = F.array_join(F.transform(parts, lambda p: F.concat(p["sep"], p["piece"])), "")
+    return (
+        known.join(carried, split).withColumns({"element": F.coalesce("head", "carried"), "sep": sep})
+        .groupBy("file_path", "element")
+        .agg(F.substring(whole, 2, 2_147_483_647).alias("text"), F.first("root").alias("root"),
+             F.first("ends_well").alias("ends_well"),
+             (F.max_by("depth_after", F.struct("block", "line_no", "piece_no")) <= 0).alias("is_last"))
+        .select("file_path", F.col("element").isNull().alias("is_first"), "is_last", "root", "ends_well", "text"))
+
+
+def document_records(lines: DataFrame, joint: str = "\n") -> DataFrame:
+    """``(file_path, record, error)`` of files that are one JSON document each.
 
     An array of objects gives its elements, any other array one
     ``{"value": ...}`` per element, an empty array a row without record,
-    another root an error.
+    another root an error. An element that is no JSON value is an error of its
+    own; a file that ends inside a string or with brackets open has one.
+
+    The unit of work is an element, not the file: ``lines`` may be lines
+    (``joint`` a line end) or, of files that have few of those, what lies
+    between commas (``read_lines`` with ``line_sep=","`` and ``joint=","``).
     """
-    root = F.trim(F.col("text"), F.lit(" \t\r\n"))
-    is_array, is_dict = root.startswith("["), root.startswith("{")
-    valid = is_json(root)
-    # An element's kind is read off the parsed value: a text may begin with a brace.
-    kinds = F.try_variant_get(F.try_parse_json(root), "$", "array<variant>")
-    all_objects = F.forall(kinds, lambda e: F.coalesce(
-        F.schema_of_variant(e).startswith("OBJECT"), F.lit(False)))
-    wrapped = F.transform("elements", lambda e: F.to_json(F.struct(e.alias("value"))))
-    return (
-        _documents(lines)
-        .withColumn("elements", F.when(is_array & valid, F.from_json(root, "array<string>")))
-        .select(
-            "file_path",
-            F.when(is_array & valid, F.when(all_objects, F.col("elements")).otherwise(wrapped))
-            .when(is_dict & valid, F.array(root)).alias("found"),
-            F.when(valid, UNSUPPORTED).otherwise(MALFORMED).alias("problem"))
-        .select("file_path", F.explode_outer("found").alias("record"),
-                F.when(F.col("found").isNull(), F.col("problem")).alias("error"))
-    )
+    space = F.lit(" \t\r\n")
+    is_array = F.col("root") == "["
+    text = F.trim("text", space)
+    text = F.when(is_array & F.col("is_first"), F.substring(text, 2, 2_147_483_647)).otherwise(text)
+    closed = F.when(text.endswith("]"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise("]")
+    text = F.trim(F.when(is_array & F.col("is_last"), closed).otherwise(text), space)
+    # Each element is cut and parsed once; what follows reads this.
+    found = settled(_elements(_pieces(lines, joint), joint).withColumn("text", text).withColumn(
+        "valid", is_json(F.col("text"))))
+    kinds = found.filter(is_array & (F.col("text") != "")).groupBy("file_path").agg(
+        F.bool_and(F.col("text").startswith("{")).alias("all_objects"))
+    found = found.join(broadcast_if_small(settled(kinds)), "file_path", "left")
+    nothing = is_array & F.col("is_first") & F.col("is_last") & (F.col("text") == "")
+    valid = F.col("valid")
+    value = (F.when(F.col("text").startswith('"'), F.concat(F.lit('{"value":'), "text", F.lit("}")))
+             .when(F.col("text") == "null", "{}").otherwise(F.to_json(F.struct(F.col("text").alias("value")))))
+    record = (F.when(nothing | ~valid, F.lit(None))
+              .when(is_array, F.when(F.col("all_objects"), F.col("text")).otherwise(value))
+              .when(F.col("root") == "{", F.col("text")))
+    error = (F.when(F.col("is_first") & ~F.col("ends_well"), MALFORMED)
+             .when(nothing, F.lit(None)).when(~valid, MALFORMED)
+             .when(~is_array & (F.col("root") != "{"), UNSUPPORTED))
+    return found.select("file_path", record.alias("record"), error.alias("error")).withColumn(
+        "record", F.when(F.col("error").isNull(), F.col("record")))
 
 
 def json_records(lines: DataFrame) -> DataFrame:
@@ -122,11 +209,13 @@ def flatten_cells(records: DataFrame, key: str = "file_path", depth: int | None
         depth = known.agg(F.max(nesting(F.col("record")))).first()[0] or 1
 
     def members(prefix: str) -> Column:
-        """The members of an object, in SQL; null for any other node."""
+        """The members of an object, in SQL; null for any other node. The two
+        readings of the object are zipped, so each is made once."""
         return F.expr(
-            "transform(map_entries(try_variant_get(node, '$', 'map<string,variant>')), e -> "
-            f"named_struct('name', concat({prefix}, e.key), 'node', e.value, "
-            "'source', element_at(from_json(source, 'map<string,string>'), e.key)))")
+            "transform(map_entries(map_zip_with(try_variant_get(node, '$', 'map<string,variant>'), "
+            "coalesce(from_json(source, 'map<string,string>'), map()), "
+            "(k, n, s) -> named_struct('node', n, 'source', s))), e -> "
+            f"named_struct('name', concat({prefix}, e.key), 'node', e.value.node, 'source', e.value.source))")
 
     here = F.array(F.struct("name", "node", "source"))
     n_keys = F.size(F.map_keys(F.expr("try_variant_get(node, '$', 'map<string,variant>')"))).cast("string")

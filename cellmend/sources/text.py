@@ -16,21 +16,27 @@ def plain_path(uri: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None,
-               skip: str | None = None) -> DataFrame:
+               skip: str | None = None, only: str | None = None,
+               line_sep: str | None = None) -> DataFrame:
     """``(file_path, block, line_no, line)`` for all files below ``paths``.
 
     Files are split as usual, so one large file spreads over many tasks.
     ``block`` is the split's byte offset and ``line_no`` grows within a split:
     together they give the order of lines in a file without any shuffle. Files
-    whose name matches ``skip`` are never opened: the filter is on a constant
-    of the file, so it prunes the listing.
+    whose name matches ``skip``, or does not match ``only``, are never opened:
+    the filter is on a constant of the file, so it prunes the listing. ``line_sep`` is another mark between
+    "lines", where files have few line ends.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
     files = reader.text(paths)
     if skip:
         files = files.filter(~F.col("_metadata.file_name").rlike(skip))
+    if only:
+        files = files.filter(F.col("_metadata.file_name").rlike(only))
     return files.select(
         plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),

@@ -284,3 +284,130 @@ def test_lineage(spark, folder):
     df = delimited.read_delimited_table(spark, folder.root)
     row = add_lineage(df, F.col("_metadata.file_path")).first()
     assert row._file_source.endswith("x.csv") and row._cleaned_at is not None
+
+
+# --- Documents cut into elements, files with open quotes ------------------------------
+
+def _value(rnd, depth=0):
+    kind = rnd.randrange(8 if depth < 3 else 5)
+    if kind < 3:
+        return "".join(rnd.choice('a,"[]{}\\\n :é') for _ in range(rnd.randrange(8)))
+    if kind < 5:
+        return rnd.choice([None, True, 7, -1.5])
+    if kind == 5:
+        return [_value(rnd, depth + 1) for _ in range(rnd.randrange(4))]
+    return {f"k{i}": _value(rnd, depth + 1) for i in range(rnd.randrange(4))}
+
+
+def _plainly(value):
+    """An element of a list that is not all objects, as its record has it."""
+    if value is None:
+        return {}
+    return {"value": value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)}
+
+
+def _documents(spark, root, line_sep):
+    found = J.document_records(read_lines(spark, root, line_sep=line_sep), line_sep or "\n").collect()
+    files = {}
+    for r in found:
+        records, errors = files.setdefault(r.file_path.split("/")[-1], ([], []))
+        if r.record is not None:
+            records.append(json.loads(r.record))
+        if r.error:
+            errors.append(r.error)
+    return files
+
+
+@pytest.mark.parametrize("line_sep", [None, ","])
+def test_documents_against_the_json_module(spark, folder, tiny_splits, line_sep):
+    rnd = random.Random(9)
+    want = {}
+    for i in range(30):
+        objects = i % 2
+        items = [({"a": _value(rnd), "b": _value(rnd)} if objects else _value(rnd)) for _ in range(rnd.randrange(12))]
+        text = json.dumps(items, ensure_ascii=bool(i % 3), indent=rnd.choice([None, None, 1]))
+        folder(f"f{i}.json", rnd.choice(["", " \n"]) + text + rnd.choice(["", "\n", " \n\n"]))
+        as_objects = items and all(isinstance(x, dict) for x in items)
+        want[f"f{i}.json"] = items if as_objects else [_plainly(x) for x in items]
+    folder("object.json", json.dumps({"x": [1, {"y": ", ]"}], "z": "}"}, indent=1))
+    want["object.json"] = [{"x": [1, {"y": ", ]"}], "z": "}"}]
+    got = _documents(spark, folder.root, line_sep)
+    assert got.keys() == want.keys()
+    key = lambda x: json.dumps(x, sort_keys=True)
+    for name, items in want.items():
+        # Python and Spark write inner lists with other blanks.
+        tidy = lambda rows: sorted(key({k: json.loads(v) if k == "value" and v[:1] in "[{" and v else v
+                                        for k, v in r.items()} if "value" in r and _is_json(r["value"]) else r) for r in rows)
+        assert not got[name][1] and tidy(got[name][0]) == tidy(items), name
+
+
+def _is_json(text):
+    try:
+        json.loads(text)
+        return True
+    except (ValueError, TypeError):
+        return False
+
+
+BROKEN = ['[1,2', '[1,"a', '[1,2]]', '[1],[2]', '[1]\n[2]', '[1,2] x', '[1,,2]', '[1,]', '[,1]', '[{"a":1},{"a"}]',
+          '[{"a":1]', '{"a":1', '["a\\"]', 'x', ',', '[1,"a\n']
+
+
+@pytest.mark.parametrize("line_sep", [None, ","])
+def test_broken_documents_are_errors(spark, folder, tiny_splits, line_sep):
+    for i, text in enumerate(BROKEN):
+        folder(f"b{i:02}.json", text)
+    folder("good.json", '[{"a":1},{"a":2}]')
+    folder("scalar.json", "7\n")
+    got = _documents(spark, folder.root, line_sep)
+    for i, text in enumerate(BROKEN):
+        assert got[f"b{i:02}.json"][1] and set(got[f"b{i:02}.json"][1]) == {"Malformed JSON"}, text
+    assert sorted(r["a"] for r in got["good.json"][0]) == [1, 2] and not got["good.json"][1]
+    assert got["scalar.json"] == ([], ["Unsupported JSON root type"])
+
+
+def test_a_document_without_line_ends_is_cut_by_many_tasks(spark, folder):
+    rows = [{"id": i, "s": "x, ]" * (i % 3)} for i in range(4000)]
+    folder("one.json", json.dumps(rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        lines = read_lines(spark, folder.root, line_sep=",")
+        assert lines.select("block").distinct().count() > 5
+        records = J.document_records(lines, ",")
+        assert sorted(json.loads(r.record)["id"] for r in records.collect()) == list(range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_wide_objects_are_parsed_once_a_level(spark):
+    one = spark.createDataFrame([("f", json.dumps({f"k{i}": i for i in range(4000)}))], "file_path string, record string")
+    start = time.time()
+    assert J.flatten_cells(one).count() == 4001
+    assert time.time() - start < 20
+
+
+def test_open_quotes_and_long_records_are_error_rows(spark, folder, tiny_splits):
+    folder("good.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    folder("open.csv", "a,b\n" + "1,x\n" * 50 + '2,"lost\n' + "3,y\n" * 50)
+    folder("late.csv", 'a,b\n1,"x\n')
+    folder("long.csv", 'a,b\n1,x\n2,"' + "q\n" * 300 + '"\n')
+    rows, problems = delimited.read_delimited(spark, folder.root, max_bytes=500)
+    assert {(r.file_path.split("/")[-1], r.error) for r in problems.collect()} == {
+        ("open.csv", "Unclosed quote from line 52"), ("late.csv", "Unclosed quote from line 2"),
+        ("long.csv", "Record of over 500 bytes from line 3")}
+    assert sorted(r.fields for r in rows.collect()) == [["1", "x\ny"], ["2", "z"], ["a", "b"]]
+
+
+def test_a_stray_quote_does_not_stop_a_scan(spark, folder):
+    root = folder("good.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    folder("open.csv", 'a,b\n1,x\n2,"lost\n3,y\n')
+    inventory = scan_inventory(spark, root).select(
+        "filename", F.lit("csv").alias("file_type"), F.col("path").alias("file_path"))
+    got = {r.filename: r for r in scan_files(spark, inventory, root).collect()}
+    assert got["good.csv"].error == "" and got["good.csv"].total_rows == 2
+    assert got["open.csv"].error == "Unclosed quote from line 3" and got["open.csv"].total_rows is None
+    rows, outcome = clean_files(spark, inventory, root)
+    assert {r.filename: r.error for r in outcome.collect()} == {"good.csv": "", "open.csv": "Unclosed quote from line 3"}
+    assert {r.file_path.split("/")[-1] for r in rows.collect()} == {"good.csv"}
+    schemas = {r.filename: r.schema for r in scan_schemas(spark, inventory, root).collect()}
+    assert json.loads(schemas["open.csv"]) == [{"error": "Unclosed quote from line 3"}]
