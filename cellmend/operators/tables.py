@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from cellmend.functions.normalize import quoted
 from cellmend.operators.headers import apply_headers
@@ -113,13 +115,73 @@ def clean_counters(df: DataFrame, by: list[str] = (), keys: list[str] | None = N
         F.count_if(keyed).alias("rows_out"))
 
 
-def validate_stage(df: DataFrame, stage: str) -> DataFrame:
-    """One row: stage, row and column counts, whether both are positive."""
+def watched(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
+    """The rows with a counter on them, which fills while they are written.
+
+    The counter belongs behind the last shuffle of what is written: there each
+    row is counted once, even if tasks run again.
+    """
+    seen = Observation(stage)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns")), seen
+
+
+def stage_report(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
+    """One row per stage that was written: row and column counts, whether both
+    are positive. Reads no data."""
+    rows = [(stage, o.get["rows"], o.get["columns"], o.get["rows"] > 0 and o.get["columns"] > 0)
+            for stage, o in seen.items()]
+    return spark.createDataFrame(rows, "stage string, rows long, columns int, passed boolean")
+
+
+def validate_stage(df: DataFrame, stage: str,
+                   write: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """One row: stage, row and column counts, whether both are positive.
+
+    With ``write`` the rows are counted by the job that writes them; without
+    it, one aggregate counts them.
+    """
+    if write is not None:
+        rows, seen = watched(df, stage)
+        write(rows)
+        return stage_report(df.sparkSession, {stage: seen})
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(stage).alias("stage"), "rows", F.lit(len(df.columns)).alias("columns"),
         ((F.col("rows") > 0) & F.lit(len(df.columns) > 0)).alias("passed"))
 
 
+COUNTERS = ("rows_in", "duplicates", "null_keys", "nulls_filled", "rows_out")
+
+
+def write_cleaned_table(df: DataFrame, write: Callable[[DataFrame], None], names: list[str] | None = None,
+                        keys: list[str] | None = None, fill: str = "UNKNOWN",
+                        numeric: list[str] | None = None) -> dict[str, int]:
+    """Write what :func:`clean_table` gives and return its counters, from the
+    same job: one scan and one shuffle if ``numeric`` names the numeric columns.
+
+    Distinct rows are grouped with their numbers of copies; all counters are
+    taken behind that shuffle, in the stage that writes, whose tasks count once.
+    """
+    if names is not None:
+        df = apply_headers(df, names)
+    keys = keys or df.columns[:1]
+    if numeric is None:
+        numeric = numeric_columns(fill_nulls(drop_null_keys(df, keys), fill))
+    keyed = F.lit(True)
+    for key in keys:
+        keyed = keyed & F.col(quoted(key)).isNotNull()
+    gaps = F.lit(0).cast("bigint")
+    for c in _text_columns(df):
+        gaps = gaps + F.col(quoted(c)).isNull().cast("bigint")
+    seen = Observation("cleaned table")
+    distinct = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies")).observe(
+        seen, F.sum("_copies").alias("rows_in"), F.sum(F.col("_copies") - 1).alias("duplicates"),
+        F.count_if(~keyed).alias("null_keys"), F.sum(F.when(keyed, gaps)).alias("nulls_filled"),
+        F.count_if(keyed).alias("rows_out"))
+    kept = fill_nulls(drop_null_keys(distinct, keys).drop("_copies"), fill)
+    write(trim_strings(convert_types(kept, numeric)))
+    return {c: seen.get[c] or 0 for c in COUNTERS}
+
+
 def exact_quantiles(df: DataFrame, column: str, quantiles: list[float]) -> DataFrame:
     """One row ``q0, q1, ..``: interpolated quantiles of any size of table.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellmend.operators import metrics as M
+from cellmend.operators.file_profile import profile_records
 from cellmend.plans.catalog import (
     TABLES, dirty_mixed, dirty_money, dirty_null, query, table)
 
@@ -209,29 +210,36 @@ def field_deviation_json(spark, sf_dir):
 
 
 # --- Metrics of many tables joined to an inventory ------------------------------
-# One inventory row per supplier; a supplier's order lines stand for its file.
-
-_PER_SUPPLIER = """
-    SELECT l_suppkey AS serial_number,
-           round(100.0 * count(*) FILTER (WHERE l_linenumber % 4 = 0) / count(*), 3)::DOUBLE
-             AS null_pct,
-           round(100.0 * count(*) FILTER (WHERE l_quantity > 45) / count(*), 3)::DOUBLE
-             AS type_deviation_pct,
-           count(*)::BIGINT AS total_rows
-    FROM lineitem WHERE l_suppkey % 9 <> 4 GROUP BY l_suppkey"""
+# One inventory row per supplier, whose order lines stand for its file, and one
+# per nation, for which there is no file.
+
+_LINE = {"quantity": dirty_mixed("l_orderkey"), "flag": dirty_null("l_partkey", "l_returnflag"),
+         "status": "l_linestatus", "line": "CAST(l_linenumber AS STRING)"}
+_LINE_CELLS = (f"WITH d AS (SELECT l_suppkey, " + ", ".join(f"{sql} AS {c}" for c, sql in _LINE.items())
+               + " FROM lineitem) " + " UNION ALL ".join(
+                   f"SELECT l_suppkey AS table_name, {i} AS col_idx, '{c}' AS column_name, "
+                   f"lower(trim({c})) AS v, {type_sql(c)} AS t FROM d" for i, c in enumerate(_LINE)))
+_PER_SUPPLIER = profile_sql(_LINE_CELLS, _TABLE_FINAL.replace(
+    "SELECT table_name,", "SELECT table_name AS serial_number, 0.0::DOUBLE AS field_deviation_pct,"))
+_INVENTORY = """SELECT s_suppkey AS serial_number, concat(s_name, '.csv') AS filename FROM supplier
+    UNION ALL SELECT 10000000 + n_nationkey, concat(n_name, '.csv') FROM nation"""
+_METRICS = ", ".join(f"m.{c}" for c in M.METRIC_FIELDS)
 
 
 def _supplier_inventory(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").selectExpr(
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS serial_number", "concat(s_name, '.csv') AS filename")
+    nations = table(spark, sf_dir, "nation").selectExpr(
+        "CAST(10000000 + n_nationkey AS BIGINT) AS serial_number", "concat(n_name, '.csv') AS filename")
+    return suppliers.unionByName(nations)
 
 
 def _supplier_metrics(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").filter("l_suppkey % 9 <> 4")
-    return lines.groupBy(F.col("l_suppkey").alias("serial_number")).agg(
-        M.pct(F.count_if(F.col("l_linenumber") % 4 == 0), F.count(F.lit(1))).alias("null_pct"),
-        M.pct(F.count_if(F.col("l_quantity") > 45), F.count(F.lit(1))).alias("type_deviation_pct"),
-        F.count(F.lit(1)).alias("total_rows"))
+    """All metrics of the lines of each supplier, in one job."""
+    records = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS serial_number", "0 AS block", "l_orderkey * 10 + l_linenumber AS line_no",
+        f"array({', '.join(_LINE.values())}) AS fields", f"{len(_LINE)} AS width")
+    return profile_records(records, "serial_number", False)
 
 
 def _metrics_with_errors(spark, sf_dir):
@@ -241,11 +249,9 @@ def _metrics_with_errors(spark, sf_dir):
 
 
 _WITH_ERRORS_SQL = f"""
-    SELECT s_suppkey AS serial_number, concat(s_name, '.csv') AS filename, m.null_pct,
-           m.type_deviation_pct, m.total_rows,
-           CASE WHEN m.serial_number IS NULL THEN concat('File not found: ', s_name, '.csv')
-                ELSE '' END AS error
-    FROM supplier LEFT JOIN ({_PER_SUPPLIER}) m ON m.serial_number = s_suppkey"""
+    SELECT i.*, {_METRICS},
+           CASE WHEN m.serial_number IS NULL THEN concat('File not found: ', filename) ELSE '' END AS error
+    FROM ({_INVENTORY}) i LEFT JOIN ({_PER_SUPPLIER}) m ON m.serial_number = i.serial_number"""
 
 
 @query("metrics_with_errors", _WITH_ERRORS_SQL)
@@ -257,11 +263,9 @@ def metrics_with_errors(spark, sf_dir):
     WITH e AS ({_WITH_ERRORS_SQL}),
     c AS (SELECT count(*)::BIGINT AS files, (count(*) FILTER (WHERE error = ''))::BIGINT AS ok,
                  (count(*) FILTER (WHERE error <> ''))::BIGINT AS errors FROM e)
-    SELECT c.*, 'null_pct' AS metric, round(avg(null_pct), 2)::DOUBLE AS mean,
-           round(max(null_pct), 2)::DOUBLE AS max FROM c, e WHERE error = '' GROUP BY ALL
-    UNION ALL
-    SELECT c.*, 'type_deviation_pct', round(avg(type_deviation_pct), 2)::DOUBLE,
-           round(max(type_deviation_pct), 2)::DOUBLE FROM c, e WHERE error = '' GROUP BY ALL""")
+    """ + " UNION ALL ".join(f"""
+    SELECT c.*, '{m}' AS metric, round(avg({m}), 2)::DOUBLE AS mean, round(max({m}), 2)::DOUBLE AS max
+    FROM c, e WHERE error = '' GROUP BY ALL""" for m in M.METRICS))
 def metrics_summary(spark, sf_dir):
     return M.summary(_metrics_with_errors(spark, sf_dir))
 
@@ -274,9 +278,8 @@ def error_files(spark, sf_dir):
 
 
 @query("attach_metrics", f"""
-    SELECT s_suppkey AS serial_number, concat(s_name, '.csv') AS filename, m.null_pct,
-           m.type_deviation_pct, m.total_rows
-    FROM supplier LEFT JOIN ({_PER_SUPPLIER}) m ON m.serial_number = s_suppkey""")
+    SELECT i.*, {_METRICS}
+    FROM ({_INVENTORY}) i LEFT JOIN ({_PER_SUPPLIER}) m ON m.serial_number = i.serial_number""")
 def attach_metrics(spark, sf_dir):
     stale = _supplier_inventory(spark, sf_dir).withColumn("null_pct", F.lit(-1.0))
     return M.attach_metrics(stale, _supplier_metrics(spark, sf_dir))

@@ -49,8 +49,7 @@ _CELLS = " UNION ALL ".join(
                           coalesce(sum(n) FILTER (WHERE t = 'string'), 0)) AS modal,
                  count(*) FILTER (WHERE t <> 'null') AS d,
                  sum(n * log2(n)) FILTER (WHERE t <> 'null') AS s
-          FROM n GROUP BY ALL),
-    late AS (SELECT max(ts) - INTERVAL 10 MINUTE AS watermark FROM events)
+          FROM n GROUP BY ALL)
     SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
            strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, column_name,
            cells::BIGINT AS cells, round(100.0 * nulls / cells, 3)::DOUBLE AS null_pct,
@@ -59,13 +58,16 @@ _CELLS = " UNION ALL ".join(
            round(CASE WHEN nf >= 2 THEN abs((log2(nf) - s / nf)
              / CASE WHEN d > 1 THEN log2(d) ELSE 1.0 END - 1) * 100 END, 3)::DOUBLE
              AS entropy_delta_pct
-    FROM s, late WHERE w + INTERVAL 1 HOUR <= watermark""")
+    FROM s""")
 def stream_integrity(spark, sf_dir):
+    """Integrity of every hour, the last ones included."""
     out = scratch_path(spark, "windows")
     events = _stream(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
         *[F.expr(sql).alias(c) for c, sql in _COLUMNS.items()])
-    counts = S.windowed_counts(events, "ts", list(_COLUMNS))
+    counts = S.windowed_counts(S.with_end(events, "ts", f"{out}/end"), "ts", list(_COLUMNS))
+    _finish(S.write_windows(counts, f"{out}/data", f"{out}/checkpoint"))
+    S.mark_end(spark, "ts", f"{out}/end")  # the events are all: finish the open windows
     _finish(S.write_windows(counts, f"{out}/data", f"{out}/checkpoint"))
     done = S.finish_windows(spark.read.parquet(f"{out}/data"), list(_COLUMNS))
     shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)

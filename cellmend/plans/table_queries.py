@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cellmend.operators import inventory as I
 from cellmend.operators import tables as T
+from cellmend.operators.ordering import scratch_path
 from cellmend.plans.catalog import query, table
+from cellmend.sources.keyed_table import KeyedTable
 
 
 @query("dedup_exact", "SELECT DISTINCT text, lang, source, n_chars FROM documents")
@@ -74,7 +76,26 @@ def clean_table(spark, sf_dir):
     SELECT 'orders' AS stage, count(*)::BIGINT AS rows, 6::INT AS columns, count(*) > 0 AS passed
     FROM orders""")
 def validate_stage(spark, sf_dir):
-    return T.validate_stage(table(spark, sf_dir, "orders"), "orders")
+    """Counted by the job that writes the table."""
+    path = scratch_path(spark, "stage")
+    return T.validate_stage(table(spark, sf_dir, "orders"), "orders", lambda rows: rows.write.parquet(path))
+
+
+@query("written_counters", f"""
+    WITH u AS (SELECT *, count(*) AS n FROM (SELECT {_RAW} FROM orders) r GROUP BY ALL)
+    SELECT sum(n)::BIGINT AS rows_in, sum(n - 1)::BIGINT AS duplicates,
+           (count(*) FILTER (WHERE a IS NULL))::BIGINT AS null_keys,
+           coalesce(sum((b IS NULL)::INT + (c IS NULL)::INT + (d IS NULL)::INT)
+                    FILTER (WHERE a IS NOT NULL), 0)::BIGINT AS nulls_filled,
+           (count(*) FILTER (WHERE a IS NOT NULL))::BIGINT AS rows_out,
+           (count(*) FILTER (WHERE a IS NOT NULL))::BIGINT AS rows_written
+    FROM u""")
+def written_counters(spark, sf_dir):
+    """Counters of a cleaning, from the job that writes it, and what it wrote."""
+    path = scratch_path(spark, "counted")
+    counters = T.write_cleaned_table(_raw(spark, sf_dir), lambda rows: rows.write.parquet(path), keys=["a"])
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_written"))
+    return written.select(*[F.lit(v).cast("bigint").alias(c) for c, v in counters.items()], "rows_written")
 
 
 @query("iqr_outliers", """
@@ -96,18 +117,19 @@ def exact_quantiles(spark, sf_dir):
 
 
 @query("keyed_upsert", """
-    WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 5 <> 0),
-    b AS (SELECT o_custkey AS c_custkey, o_orderpriority AS c_name, o_totalprice AS c_acctbal,
-                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r
-          FROM orders WHERE o_orderstatus = 'P')
+    WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
+    o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE -o_custkey END AS k, * FROM orders),
+    b AS (SELECT k AS c_custkey, o_orderpriority AS c_name, o_totalprice AS c_acctbal,
+                 row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) AS r
+          FROM o)
     SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM b)
     UNION ALL SELECT c_custkey, c_name, c_acctbal FROM b WHERE r = 1""")
 def keyed_upsert(spark, sf_dir):
-    target = table(spark, sf_dir, "customer").filter("c_custkey % 5 <> 0").select(
-        "c_custkey", "c_name", "c_acctbal")
-    batch = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").selectExpr(
-        "o_custkey AS c_custkey", "o_orderpriority AS c_name", "o_totalprice AS c_acctbal",
-        "o_orderkey")
+    """Known customers are replaced, those with a negative key are new."""
+    target = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    batch = table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE -o_custkey END AS c_custkey",
+        "o_orderpriority AS c_name", "o_totalprice AS c_acctbal", "o_orderkey")
     return T.keyed_upsert(target, batch, order_by=F.col("o_orderkey"))
 
 
@@ -166,3 +188,21 @@ def execution_report(spark, sf_dir):
         "o_orderpriority AS file_type", "o_custkey % 40 AS file", *_RAW_COLUMNS)
     runs = T.clean_counters(rows, ["file_type", "file"], ["a"])
     return I.execution_report(runs.withColumn("has_header", F.col("file") % 3 == 0))
+
+
+@query("keyed_table", """
+    WITH o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE -o_custkey END AS k, * FROM orders),
+    b AS (SELECT k AS c_custkey, o_orderpriority AS c_name, o_totalprice AS c_acctbal,
+                 row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) AS r FROM o)
+    SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM b)
+    UNION ALL SELECT c_custkey, c_name, c_acctbal FROM b WHERE r = 1""")
+def keyed_table(spark, sf_dir):
+    """The upsert as a stored table of versions; a second run changes nothing."""
+    stored = KeyedTable(spark, scratch_path(spark, "keyed"), ["c_custkey"])
+    stored.create(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"))
+    batch = table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE -o_custkey END AS c_custkey",
+        "o_orderpriority AS c_name", "o_totalprice AS c_acctbal", "o_orderkey")
+    for _ in range(2):
+        stored.upsert(batch, F.col("o_orderkey"))
+    return stored.read()

@@ -49,6 +49,29 @@ def windowed_counts(stream: DataFrame, ts: str, columns: list[str], width: str =
     return value_counts(windowed, ["window"], columns)
 
 
+#: Later than any event, and still a date that every reader takes.
+_END = "9999-01-01 00:00:00"
+
+
+def with_end(stream: DataFrame, ts: str, path: str) -> DataFrame:
+    """The stream with the marks below ``path`` that say it has ended.
+
+    A mark is a row whose time lies behind all events and whose other columns
+    are null; with it the watermark passes the end of every open window. The
+    window of the mark itself never closes, so it gives no row.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], f"{quoted(ts)} timestamp").write.mode("append").parquet(path)
+    marks = spark.readStream.schema(f"{quoted(ts)} timestamp").parquet(path)
+    return stream.unionByName(marks, allowMissingColumns=True)
+
+
+def mark_end(spark: SparkSession, ts: str, path: str) -> None:
+    """Say that a bounded stream has ended: run it once more, and the windows
+    that were open are finished. Whatever comes behind is late."""
+    spark.range(1).select(F.lit(_END).cast("timestamp").alias(ts)).write.mode("append").parquet(path)
+
+
 def finish_windows(counts: DataFrame, columns: list[str]) -> DataFrame:
     """Integrity metrics per window and column from closed window counts."""
     flat = counts.select(

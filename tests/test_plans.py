@@ -5,6 +5,7 @@ import re
 from cellmend.operators import metrics as M
 from cellmend.operators.file_profile import profile_records
 from cellmend.operators.integrity_scan import UNREADABLE
+from cellmend.operators import tables as T
 from cellmend.operators.sizing import broadcast_if_small
 from cellmend.operators.tables import clean_table
 from cellmend.plans import queries
@@ -74,3 +75,21 @@ def test_archives_are_not_opened(spark, tmp_path):
     (tmp_path / "b.zip").write_bytes(b"PK\n\xff")
     lines = read_lines(spark, str(tmp_path), skip=UNREADABLE)
     assert [r.line for r in lines.collect()] == ["a"]
+
+
+def test_counters_ride_on_the_job_that_writes(spark, tmp_path):
+    rows = [("1", "a"), ("1", "a"), (None, "b"), ("2", None), ("2", None), ("2", None)]
+    spark.createDataFrame(rows, "k string, v string").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    plans = []
+
+    def write(out):
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        out.write.parquet(str(tmp_path / "out"))
+
+    counters = T.write_cleaned_table(df, write, numeric=["k"])
+    assert counters == {"rows_in": 6, "duplicates": 3, "null_keys": 1, "nulls_filled": 1, "rows_out": 2}
+    assert plans[0].count("FileScan") == 1 and plans[0].count("Exchange") == 1
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [(1.0, "a"), (2.0, "UNKNOWN")]
+    got = T.validate_stage(df, "s", lambda x: x.write.parquet(str(tmp_path / "v"))).first()
+    assert tuple(got) == ("s", 6, 2, True)

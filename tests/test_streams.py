@@ -48,3 +48,23 @@ def test_latest_is_stable_without_an_order(spark):
     for parts in (1, 3):
         df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
         assert tuple(latest(df, ["k"]).first()) == (1, "c", 0)
+
+
+def test_open_windows_are_finished_at_the_end(spark, tmp_path):
+    src, out, state, end = (str(tmp_path / n) for n in ("src", "out", "state", "end"))
+    schema = "ts timestamp, c string"
+    def add(*hours):
+        spark.createDataFrame([(h, "x") for h in hours], "h int, c string").selectExpr(
+            "timestamp'2024-01-01 00:30:00' + make_interval(0, 0, 0, 0, h) AS ts", "c").write.mode("append").parquet(src)
+    def go():
+        events = S.with_end(S.new_files(spark, src, schema).drop("_file_source"), "ts", end)
+        run(S.write_windows(S.windowed_counts(events, "ts", ["c"]), out, state))
+        done = S.finish_windows(spark.read.parquet(out), ["c"])
+        return sorted((r.window_start.hour, r.cells) for r in done.collect())
+    add(0, 0, 1, 5)
+    assert go() == [(0, 2), (1, 1)]
+    add(6, 6)
+    assert go() == [(0, 2), (1, 1), (5, 1)]
+    S.mark_end(spark, "ts", end)
+    assert go() == [(0, 2), (1, 1), (5, 1), (6, 2)]
+    assert go() == [(0, 2), (1, 1), (5, 1), (6, 2)]
