@@ -13,8 +13,7 @@ def lower_trim(col: Column) -> Column:
 
 def strip_title(col: Column) -> Column:
     """Drop a parenthesised remark and a leading courtesy title."""
-    bare = F.regexp_replace(col, r"\(.*?\)", "")
-    return F.trim(F.regexp_replace(bare, r"^(Mr\.|Mrs\.|Ms\.|Dr\.|Prof\.)\s*", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(col, fv.NAME_REMARK, ""), fv.NAME_TITLE, ""))
 
 
 def squash_whitespace(col: Column) -> Column:

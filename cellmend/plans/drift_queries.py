@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from cellmend.operators import deviation as D
+from cellmend.operators.drift_state import DriftState
+from cellmend.operators.ordering import scratch_path
 from cellmend.plans.catalog import (
-    dirty_date, dirty_email, dirty_money, dirty_phone, dirty_zip, query, table)
+    CATALOG, dirty_date, dirty_email, dirty_money, dirty_phone, dirty_zip, query, table)
 from cellmend.plans.cell_queries import STRIP, _PATTERN_TEST
 from cellmend.plans.integrity_queries import _NULLISH_SQL, clean_sql, type_sql
 
@@ -124,3 +130,59 @@ def cross_field(spark, sf_dir):
     df = table(spark, sf_dir, "customer").selectExpr(
         *[f"{sql} AS {c}" for c, sql in _PAIR.items()])
     return D.cross_field_incoherence(df, _PAIR_KINDS)
+
+
+# --- The same, batch by batch against a kept state ----------------------------------
+
+def _thirds(spark, sf_dir):
+    """The days of the events in three runs, one behind the other."""
+    daily = _daily(spark, sf_dir)
+    days = table(spark, sf_dir, "events").selectExpr(_DAY).distinct()
+    thirds = days.selectExpr("day", "ntile(3) OVER (ORDER BY day) AS part")  # a row per day
+    placed = daily.join(F.broadcast(thirds), "day")
+    return [placed.filter(F.col("part") == k).drop("part") for k in (1, 2, 3)]
+
+
+def _live(spark, sf_dir):
+    state = DriftState(spark, scratch_path(spark, "drift"), list(_EVENTS))
+    return state, [state.update(run, "day") for run in _thirds(spark, sf_dir)]
+
+
+@query("live_type_drift", CATALOG["type_ratio_drift"].oracle)
+def live_type_drift(spark, sf_dir):
+    """Three runs, none of which reads what the earlier ones read."""
+    _, found = _live(spark, sf_dir)
+    return reduce(lambda a, b: a.unionByName(b), [types for types, _ in found])
+
+
+@query("live_entropy_drift", f"""
+    WITH {_CELLS},
+    n AS (SELECT day, column_name, v, count(*) AS n FROM c WHERE t <> 'null' GROUP BY ALL),
+    h AS (SELECT day, column_name, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h
+          FROM n GROUP BY ALL),
+    f AS (SELECT column_name, v, min(day) AS day FROM n GROUP BY ALL),
+    u AS (SELECT h.day, h.column_name, (SELECT count(*) FROM f
+            WHERE f.column_name = h.column_name AND f.day <= h.day) AS d FROM h)
+    SELECT day, column_name, round(h, 6)::DOUBLE AS entropy_bits,
+           round(abs(h - lag(h) OVER (PARTITION BY column_name ORDER BY day))
+             / CASE WHEN d > 1 THEN log2(d) ELSE 1.0 END * 100, 4)::DOUBLE AS entropy_drift_pct
+    FROM h JOIN u USING (day, column_name)""")
+def live_entropy_drift(spark, sf_dir):
+    """As ``entropy_drift``, of the values that were known by then."""
+    _, found = _live(spark, sf_dir)
+    return reduce(lambda a, b: a.unionByName(b), [entropy for _, entropy in found])
+
+
+@query("live_entropy_delta", f"""
+    WITH {_CELLS},
+    n AS (SELECT column_name, v, count(*) AS n FROM c WHERE t <> 'null' GROUP BY ALL),
+    s AS (SELECT column_name, sum(n) AS nf, count(*) AS d, sum(n * log2(n)) AS s FROM n GROUP BY ALL)
+    SELECT column_name, nf::BIGINT AS filled, d::BIGINT AS distinct_values,
+           round(abs(log2(nf) - s / nf), 3)::DOUBLE AS entropy_bits,
+           round(CASE WHEN nf >= 2 THEN abs((log2(nf) - s / nf)
+             / CASE WHEN d > 1 THEN log2(d) ELSE 1.0 END - 1) * 100 END, 3)::DOUBLE AS entropy_delta_pct
+    FROM s""")
+def live_entropy_delta(spark, sf_dir):
+    """Entropy over all runs, from the state they left."""
+    state, _ = _live(spark, sf_dir)
+    return state.entropy_delta()

@@ -116,6 +116,30 @@ def exact_quantiles(spark, sf_dir):
     return T.exact_quantiles(table(spark, sf_dir, "orders"), "o_totalprice", [0.25, 0.5, 0.75])
 
 
+@query("sketched_quartiles", """
+    SELECT column_name, q, true AS within, n
+    FROM (SELECT 'l_tax' AS column_name, count(l_tax)::BIGINT AS n FROM lineitem
+          UNION ALL SELECT 'l_extendedprice', count(l_extendedprice) FROM lineitem) c,
+         (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS q) q""")
+def sketched_quartiles(spark, sf_dir):
+    """Quartiles from stored sketches, one per return flag; their true ranks are
+    within half a percent."""
+    names = ["l_tax", "l_extendedprice"]
+    lines = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "sketches")
+    T.quantile_sketches(lines, names, ["l_returnflag"]).write.parquet(path)
+    found = T.sketched_quantiles(spark.read.parquet(path), [0.25, 0.5, 0.75])
+    cells = lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in names])))
+    # A value that many rows share has a range of ranks.
+    ranks = cells.join(F.broadcast(found), "column_name").groupBy("column_name").agg(
+        F.max("n").alias("n"), *[F.struct((F.count_if(F.col("v") < F.col(f"q{i}")) / F.count("v")).alias("low"),
+                                          (F.count_if(F.col("v") <= F.col(f"q{i}")) / F.count("v")).alias("high")).alias(f"r{i}")
+                                 for i in range(3)])
+    return ranks.select("column_name", "n", F.inline(F.array(*[
+        F.struct(F.lit(q).alias("q"), ((F.col(f"r{i}.low") <= q + 0.005) & (F.col(f"r{i}.high") >= q - 0.005)).alias("within"))
+        for i, q in enumerate((0.25, 0.5, 0.75))])))
+
+
 @query("keyed_upsert", """
     WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
     o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE -o_custkey END AS k, * FROM orders),

@@ -84,17 +84,20 @@ class KeyedTable:
     def _folder(self) -> str:
         return f"{self.path}/data/{uuid.uuid4().hex}"
 
-    def create(self, rows: DataFrame, order_by: Column | None = None) -> int:
-        """The first version: the last row per key."""
+    def create(self, rows: DataFrame, order_by: Column | None = None, version: int = 0) -> int:
+        """A version of these rows alone: the last row per key."""
         folder = self._folder()
-        return self._commit(self._written(latest(rows, self.keys, order_by), folder), folder, 0)
+        return self._commit(self._written(latest(rows, self.keys, order_by), folder), folder, version)
 
-    def upsert(self, batch: DataFrame, order_by: Column | None = None) -> int:
+    def upsert(self, batch: DataFrame, order_by: Column | None = None, base: int | None = None) -> int:
         """Put the batch's last row per key in place of the table's; new keys are
-        added. Returns the new version, or the old one if the batch is empty."""
-        version = self.version()
+        added. Returns the new version, or the old one if the batch is empty.
+        ``base`` is the version to build on, if it is not the newest: what came
+        behind it is left out of the new one."""
+        newest = self.version()
+        version = newest if base is None else base
         if version < 0:
-            return self.create(batch, order_by)
+            return self.create(batch, order_by, newest + 1)
         last = settled(latest(batch, self.keys, order_by))
         files = settled(self.files(version))
         first = F.col(quoted(self.keys[0]))
@@ -106,7 +109,7 @@ class KeyedTable:
         meets = ((F.col("_from") <= F.col("most")) & (F.col("_to") >= F.col("least"))) | (
             (F.col("_nulls") > 0) & (F.col("nulls") > 0))
         near = [r["file"] for r in files.join(broadcast_if_small(ranges), meets, "left_semi").collect()]
-        columns = last.select(*[c for c in self.read(version).columns])
+        columns = last.select(*[quoted(c) for c in self.read(version).columns])
         keys = last.select(*[F.col(quoted(k)).alias(f"_{k}") for k in self.keys])
         same = F.lit(True)
         for k in self.keys:
@@ -121,4 +124,4 @@ class KeyedTable:
         added = self._written(kept.unionByName(columns), folder)
         rest = files.filter(~F.col("file").isin(changed)) if len(changed) < 1000 else files.join(
             broadcast_if_small(hit.withColumnRenamed("_file", "file")), "file", "left_anti")
-        return self._commit(rest.drop("folder").unionByName(added), folder, version + 1)
+        return self._commit(rest.drop("folder").unionByName(added), folder, newest + 1)
