@@ -31,19 +31,24 @@ _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 #: over free text can run back and forth, however long the text.
 _PATTERN = re.compile("|".join([
     r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-]))",
+    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])"
+    r"|(?<![\w.-])\d{3}\.\d{3}\.\d{4}(?![\w-]|\.\d))",
+    r"(?P<abroad>(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]\d{2,4}){2,4}(?![\d-]))",
     r"(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]))",
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9]))",
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)"
+    r"(?![A-Za-z0-9]))",
     r"(?P<card>(?<![\w-])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}"
     r"|\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{5}|\d{13,19})(?![\w-]))",
     r"(?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))",
     r"(?P<secret>(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key)"
-    r" ?[=:] ?[\"']?(?P<value>[A-Za-z0-9+/_-]{8,256})(?![A-Za-z0-9+/_-]))",
+    r" ?[=:] ?[\"']?(?P<value>[A-Za-z0-9+/_-]{8,}+))",
     r"(?P<mail>@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})",
 ]), re.ASCII)
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z", re.ASCII)
+_LOCAL = _DIGITS + _LOWER + _UPPER + "._%+-"
+#: Characters that are numbered together; a longer value is taken in such pieces.
+PIECE = 256
 _MAYBE = re.compile(r"[0-9@]|(?:password|passwd|pwd|token|secret|key) ?[=:]")
 
 
@@ -130,6 +135,18 @@ class Pseudonyms:
         number, size = _number(text, alphabets)
         return _text(self.moved(kind, number, size), alphabets)
 
+    def lengthy(self, kind: str, text: str, alphabets: list[str]) -> str:
+        """``spelled`` for values of any length: piece by piece, each permuted in
+        a way that depends on all of the value before it."""
+        out, before = [], b""
+        for i in range(0, len(text), PIECE):
+            own = text[i:i + PIECE]
+            of = kind if i == 0 else f"{kind}/{before.hex()}"
+            new = self.spelled(of, own, alphabets[i:i + PIECE])
+            out.append(new)
+            before = blake2b(before + (new if self.restoring else own).encode(), digest_size=16).digest()
+        return "".join(out)
+
     def digits(self, kind: str, text: str) -> str:
         return self.spelled(kind, text, [_DIGITS] * len(text))
 
@@ -154,6 +171,14 @@ class Pseudonyms:
             if not planned(local):
                 return self._refilled(text, prefix + local)
 
+    def abroad(self, text: str) -> str | None:
+        """An international number: its country code stays."""
+        code = re.match(r"\+\d+", text).group()
+        digits = re.sub(r"\D", "", text[len(code):])
+        if not 8 <= len(code) - 1 + len(digits) <= 15:
+            return None
+        return code + self._refilled(text[len(code):], self.digits("phone" + code, digits))
+
     def ip(self, text: str) -> str | None:
         parts = [int(p) for p in text.split(".")]
         if max(parts) > 255:
@@ -193,11 +218,13 @@ class Pseudonyms:
         return gap.join(fields[i] for i in range(3))
 
     def iban(self, text: str) -> str | None:
-        country, account = text[:2], text[4:]
-        if iban_digits(country, account) != text[2:4]:
+        bare = text.replace(" ", "")
+        country, account = bare[:2], bare[4:]
+        if not 11 <= len(account) <= 30 or iban_digits(country, account) != bare[2:4]:
             return None
         account = self.spelled("iban" + country, account, [_alphabet(c, False) for c in account])
-        return country + iban_digits(country, account) + account
+        rest = iter(country + iban_digits(country, account) + account)
+        return "".join(c if c == " " else next(rest) for c in text)
 
     def card(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
@@ -211,26 +238,29 @@ class Pseudonyms:
 
     def secret(self, text: str) -> str:
         all_hex = all(c in _HEX for c in text)
-        return self.spelled("secret", text, [_alphabet(c, all_hex) for c in text])
+        return self.lengthy("secret", text, [_alphabet(c, all_hex) for c in text])
 
     def mail(self, local: str) -> str:
-        return self.spelled("mail", local, [_alphabet(c, False) for c in local])
+        return self.lengthy("mail", local, [_alphabet(c, False) for c in local])
 
     def text(self, text: str) -> tuple[str, int]:
         """The text with all values replaced, and how many there were."""
         if not _MAYBE.search(text):
             return text, 0
-        out, last, n = [], 0, 0
+        out, last, n, behind = [], 0, 0, 0
         for found in _PATTERN.finditer(text):
             start, end = found.span()
-            kind = next(k for k in ("phone", "ip", "ssn", "date", "iban", "card", "key", "secret", "mail")
+            before, behind = behind, end
+            kind = next(k for k in ("phone", "abroad", "ip", "ssn", "date", "iban", "card", "key", "secret", "mail")
                         if found.group(k))
             if kind == "mail":
-                local = _LOCAL.search(text[max(last, start - 64):start])
+                # What stands before the mark, back to whatever was found last.
+                head = text[before:start]
+                local = head[len(head.rstrip(_LOCAL)):]
                 if not local:
                     continue
-                start, end = start - len(local.group()), start
-                new = self.mail(local.group())
+                start, end = start - len(local), start
+                new = self.mail(local)
             elif kind == "secret":
                 start, end = found.span("value")
                 new = self.secret(found.group("value"))
