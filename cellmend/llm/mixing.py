@@ -65,6 +65,20 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def place_of(block: int, size: int, key: int) -> int:
+    """The index that the keyed permutation takes to ``block``: the network run backwards."""
+    half = max(1, (int(max(1, size - 1)).bit_length() + 1) // 2)
+    mask, keys = np.uint64((1 << half) - 1), mix(np.arange(4, dtype=np.uint64) + np.uint64(key << 8))
+    out = np.array([block], np.uint64)
+    while True:
+        left, right = out >> np.uint64(half), out & mask
+        for k in keys[::-1]:
+            left, right = right ^ (mix(left + k) & mask), left
+        out = (left << np.uint64(half)) | right
+        if out[0] < size:
+            return int(out[0])
+
+
 @dataclass
 class Plan:
     """What each source gives: one entry per source, in order."""
@@ -84,8 +98,7 @@ class Plan:
             k = -(-rest // BLOCK_WORDS)
             taken = k * BLOCK_WORDS
             if k:
-                order = permuted(np.arange(n), n, cls.key(seed, rank, rounds)) if n < 1 << 16 else None
-                early = (n - 1 in order[:k]) if order is not None else _comes_early(n, k, cls.key(seed, rank, rounds))
+                early = place_of(n - 1, n, cls.key(seed, rank, rounds)) < k
                 if early:  # the short block is among the slots
                     taken -= BLOCK_WORDS - short
                     if taken < rest:
@@ -101,12 +114,6 @@ class Plan:
         return (seed << 40) ^ (rank << 8) ^ around
 
 
-def _comes_early(n: int, k: int, key: int) -> bool:
-    """Whether block n - 1 is among the first k of the permutation, in pieces."""
-    return any((permuted(np.arange(i, min(k, i + (1 << 20))), n, key) == n - 1).any()
-               for i in range(0, k, 1 << 20))
-
-
 def _drawn(counts: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
     """How many of ``take`` slots fall to each source, without replacement."""
     out, left, total = np.zeros(len(counts), np.int64), take, int(counts.sum())
@@ -214,7 +221,7 @@ class Mix:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
-                seed: int = SEED) -> Mix:
+                seed: int = SEED, row: str | None = None) -> Mix:
     """Plan and deal a mix of all ``docs`` by ``source``.
 
     Sources in the order of their code points, null last, get ``weights`` in
@@ -223,14 +230,14 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
 
     A null text has size 0 and nothing is taken from it. Rows that repeat a
     document are documents of their own, as are those without ``doc_id``. Other
-    columns are not read, but for ``_row``: an id of each row that the caller has
-    settled. An empty table, or one without words, gives an empty mix. Reruns
+    columns are not read, but for the one that ``row`` names: an id of each row
+    that the caller has settled. An empty table, or one without words, gives an empty mix. Reruns
     give the same mix.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    if ROW not in docs.columns:
-        docs = docs.withColumn(ROW, F.monotonically_increasing_id())
+    own = F.col(f"`{row}`") if row else F.monotonically_increasing_id()
+    docs = docs.select(own.alias(ROW), "doc_id", "source", "text")
     sized = settled(map_arrow(docs.select(ROW, "doc_id", "source", "text"), _sizes,
                               f"{ROW} long, doc_id {kind}, source string, size long"))
     found = sized.groupBy("source").agg(F.sum("size").alias("size")).orderBy(
@@ -297,7 +304,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     rows = settled(docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text", "lang", "source"))
-    mix_ = mix_sources(rows, **options)
+    mix_ = mix_sources(rows, row=ROW, **options)
     spans = mix_.spans().groupBy(ROW).agg(
         F.sort_array(F.collect_list(F.struct("around", "first_word", "n_words"))).alias("spans"))
     joined = rows.join(spans, ROW)
