@@ -122,7 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> Space:
                     packed[row] = pack(own.astype(np.uint32))
             yield {"quality": batch.column("quality"), "counts": pa.array(packed, pa.binary())}
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("quality", "text")
+    # One text per id drawn, however many rows repeat it.
+    sample = (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+              .groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("quality", "text"))
     table = map_arrow(sample, rows, "quality int, counts binary").toArrow()
     counts = unpack(table["counts"], np.uint32).reshape(-1, TERMS).astype(np.float64)
     return Space.fit(counts, table["quality"].to_numpy().astype(float))

@@ -168,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: F.Column) -> Model:
     positive = drawn(usable.filter("toxic = 1"), MOST_POSITIVE).withColumn("positive", F.lit(True))
     unlabelled = drawn(docs.filter(F.col("doc_id").isNotNull()).filter(~held_out),
                        MOST_UNLABELLED).withColumn("positive", F.lit(False))
-    sample = docs.select("doc_id", "text").join(F.broadcast(positive.union(unlabelled)), "doc_id")
+    # One text per id drawn, however many rows repeat it.
+    sample = (docs.select("doc_id", "text").join(F.broadcast(positive.union(unlabelled)), "doc_id")
+              .groupBy("doc_id", "positive").agg(F.min("text").alias("text")))
     table = map_arrow(sample.select("doc_id", "positive", "text"), _feature_rows,
                       "positive boolean, features binary").toArrow()
     rows = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["features"]]
@@ -204,15 +206,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """``docs`` without the rows whose score reaches ``threshold``; all columns
-    pass unchanged and nothing is shuffled. Cases as in ``score_toxicity``."""
+    pass unchanged and no row is shuffled. Cases as in ``score_toxicity``."""
     out = F.coalesce(F.pmod(crc_of_id(), F.lit(3)) == 1, F.lit(False))
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, out))
-    columns, kinds = docs.columns, dict(docs.dtypes)
 
-    def keep(batches):
-        for batch in batches:
-            clean = pa.array(model.value.scores(batch.column("text")) < threshold)
-            kept = batch.filter(clean)
-            yield {c: kept.column(c) for c in columns}
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.value.scores(texts))
 
-    return map_arrow(docs, keep, ", ".join(f"`{c}` {kinds[c]}" for c in columns), columns)
+    # Only texts go to Python and only scores come back; the rows stay where they are.
+    return docs.filter(score("text") < threshold)
