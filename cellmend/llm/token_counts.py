@@ -15,7 +15,7 @@ from cellmend.llm.common import map_arrow
 from cellmend.llm.pretokens import Encoder, Table, cut_runs
 from cellmend.llm.text_arrays import span_hashes
 
-#: Texts from which the frequent pre-tokens are taken, and the longest of them.
+#: About how many texts the frequent pre-tokens are taken from, and the longest of them.
 #: They decide what is quick to find, never what is counted.
 SAMPLE_TEXTS = 1000
 SAMPLE_CHARS = 50_000
@@ -24,8 +24,10 @@ FREQUENT = 1 << 16
 
 
 def frequent_lengths(docs: DataFrame, path: str, words: bool) -> Table:
-    """The first tier: lengths of the sample's most frequent pre-tokens."""
-    sample = docs.select("text").filter(F.length("text") <= SAMPLE_CHARS).limit(SAMPLE_TEXTS).toArrow()
+    """The first tier: lengths of the sample's most frequent pre-tokens. About
+    SAMPLE_TEXTS texts are drawn evenly from all partitions."""
+    drawn = min(1.0, SAMPLE_TEXTS / max(docs.count(), 1))
+    sample = docs.select("text").sample(drawn, seed=1).filter(F.length("text") <= SAMPLE_CHARS).toArrow()
     found: Counter = Counter()
     texts: dict[int, str] = {}
     for cut in cut_runs(sample["text"], words):
