@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from cellmend.operators.ledger import new_lines, split_ledger
+from cellmend.operators.work_units import pack_files
 from cellmend.operators import inventory as I
 from cellmend.plans.catalog import TABLES, query, table
 from cellmend.sources.listing import scan_inventory
@@ -207,3 +209,48 @@ def chunk_files(spark, sf_dir):
     files = I.categorize(_files(spark, sf_dir)).filter("target_dir IS NOT NULL").select(
         "path", F.col("target_dir").alias("file_type"), "length")
     return I.chunk_files(files, 5000)
+
+
+# One file per part size, in splits of 100 keys. The second state of a file has
+# more lines; of every seventh file the first line differs, and every fifth is new.
+_HALF = "p_partkey % 100 < 50 AND p_size % 5 <> 0"
+
+
+@query("change_ledger", f"""
+    WITH old AS (SELECT p_size, p_partkey FROM part WHERE {_HALF}),
+    first AS (SELECT p_size, min(p_partkey) AS k FROM part GROUP BY p_size),
+    state AS (SELECT p_size, CASE WHEN p_size % 5 = 0 THEN 'new'
+        WHEN p_size % 7 = 0 AND first.k IN (SELECT p_partkey FROM old) THEN 'rewritten' ELSE 'grown' END AS state FROM first)
+    SELECT p_size AS file_path, state, count(*)::BIGINT AS n_lines, sum(p_partkey)::BIGINT AS keys
+    FROM part JOIN state USING (p_size)
+    WHERE state <> 'grown' OR NOT (p_partkey % 100 < 50) GROUP BY ALL""")
+def change_ledger(spark, sf_dir):
+    """Lines that the second run has to read, by file and its state."""
+    lines = table(spark, sf_dir, "part").selectExpr(
+        "p_size AS file_path", "p_partkey - p_partkey % 100 AS block", "p_partkey", "p_name AS line")
+    at = Window.partitionBy("file_path", "block").orderBy("p_partkey")
+    first = Window.partitionBy("file_path")
+    numbered = lambda df: df.withColumn("line_no", F.row_number().over(at).cast("bigint"))
+    before = numbered(lines.withColumn("p_size", F.col("file_path")).filter(_HALF).drop("p_size"))
+    changed = (F.col("file_path") % 7 == 0) & (F.col("p_partkey") == F.min("p_partkey").over(first))
+    now = numbered(lines.withColumn("line", F.when(changed, "another").otherwise(F.col("line"))))
+    found, files = new_lines(now, split_ledger(before))
+    return found.join(files, "file_path").groupBy("file_path", "state").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("p_partkey").alias("keys"))
+
+
+@query("pack_files", """
+    SELECT source AS file_type, sum(n_chars)::BIGINT AS bytes,
+           sum(greatest(1, (n_chars + 49999) // 50000))::BIGINT AS ranges, true AS fits, true AS near
+    FROM documents GROUP BY source""")
+def pack_files_query(spark, sf_dir):
+    """Documents as files in units of 50,000: none above it, a tenth more units
+    than their bytes need at most."""
+    files = table(spark, sf_dir, "documents").selectExpr(
+        "source AS file_type", "CAST(doc_id AS STRING) AS path", "n_chars AS length")
+    units = pack_files(files, 50_000).groupBy("file_type", "unit").agg(
+        F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("ranges"))
+    total, needed = F.sum("bytes"), F.ceil(F.sum("bytes") / 50_000)
+    return units.groupBy("file_type").agg(
+        total.alias("bytes"), F.sum("ranges").alias("ranges"), (F.max("bytes") <= 50_000).alias("fits"),
+        (F.count(F.lit(1)) <= 1.1 * needed + 2).alias("near"))
