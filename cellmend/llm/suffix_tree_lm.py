@@ -20,14 +20,13 @@ frequent grams, and a bit table that tells most grams that no bucket holds.
 from __future__ import annotations
 
 import gc
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cellmend.llm.common import buckets, by_bucket, crc_of_id, map_arrow, pack, settled, unpack
 from cellmend.llm.text_arrays import mix, words_of
+from cellmend.operators.ordering import scratch_path
 
 DEPTH = 2
 LEAST_COUNT = 4
@@ -41,8 +40,9 @@ DISCOUNT = 0.5
 #: Least gain of a kept context, in natural units.
 LEAST_GAIN = 4.0
 END = np.uint64(0x5AFE0FE0D0FADA7A)
-_SHIFT = np.int64(1 << 21)
 _FLUSH = 1 << 19
+#: Grams that a task adds up before it sends them.
+_GRAM_FLUSH = 1 << 21
 #: Texts whose tokens are held at a time.
 _SLICE = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -61,6 +61,16 @@ def tokens_of(column):
             yield words.rows + start, out, at
 
 
+def _filled(at: np.ndarray) -> np.ndarray:
+    """The buckets with anything in them, by their n + 1 limits."""
+    return np.flatnonzero(np.diff(at)).astype(np.int32)
+
+
+def _cut(x: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """What each of those buckets holds."""
+    return [pack(x[at[b]:at[b + 1]]) for b in _filled(at)]
+
+
 def _counted(docs: DataFrame, keys_of, n_buckets: int) -> DataFrame:
     """``(bucket, keys, counts, n)``: how often each key occurs, packed by bucket.
     ``keys_of(hashes, offsets)`` gives the keys of a run of texts. Counts are
@@ -72,8 +82,7 @@ def _counted(docs: DataFrame, keys_of, n_buckets: int) -> DataFrame:
             keys, n = np.unique(np.concatenate(held), return_counts=True)
             order, at = by_bucket(keys.view(np.uint64), n_buckets)
             keys, n = keys[order], n[order].astype(np.uint32)
-            cut = lambda x: [pack(x[i:j]) for i, j in zip(at[:-1], at[1:])]
-            return {"bucket": np.arange(n_buckets, dtype=np.int32), "keys": cut(keys), "counts": cut(n)}
+            return {"bucket": _filled(at), "keys": _cut(keys, at), "counts": _cut(n, at)}
 
         for batch in batches:
             for _, hashes, at in tokens_of(batch.column("text")):
@@ -124,140 +133,6 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == distinct, at, -1)[back]
 
 
-@dataclass
-class Level:
-    """Contexts of one length and the next words that they list.
-
-    ``grams`` are the frequent (context, word) pairs of this level, in order;
-    a gram's index is the context of the next level. ``kept`` and ``rest``
-    (log10 of what is left to the suffix) are by context, ``listed`` and
-    ``gain`` (log10 of the word's probability over the root's) by gram.
-    """
-    grams: np.ndarray
-    counts: np.ndarray
-    kept: np.ndarray
-    rest: np.ndarray
-    listed: np.ndarray
-    gain: np.ndarray
-
-
-@dataclass
-class Tree:
-    words: np.ndarray    # frequent words' hashes, in order
-    counts: np.ndarray
-    total: int           # N
-    distinct: int        # V
-    levels: list[Level]
-
-    def log_root(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
-
-    def contexts(self, word: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per level: the context of each token (-1: none) and its gram (-1: none)."""
-        out = []
-        context = np.full(len(word), -1, np.int64)
-        context[1:] = word[:-1]
-        context[at[:-1][at[:-1] < len(word)]] = -1
-        for level in self.levels:
-            both = (context >= 0) & (word >= 0)
-            gram = np.full(len(word), -1, np.int64)
-            gram[both] = _place(level.grams, context[both] * _SHIFT + word[both])
-            out.append((context, gram))
-            longer = np.full(len(word), -1, np.int64)
-            longer[1:] = gram[:-1]
-            longer[at[:-1][at[:-1] < len(word)]] = -1
-            context = longer
-        return out
-
-    def gains(self, word: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability over the root's."""
-        gain = np.zeros(len(word))
-        for level, (context, gram) in zip(self.levels, self.contexts(word, at)):
-            node = (context >= 0) & level.kept[context]
-            named = node & (gram >= 0) & level.listed[gram]
-            gain = np.where(node, level.rest[context] + gain, gain)
-            gain[named] = level.gain[gram[named]]
-        return gain
-
-    def grow(self, grams: np.ndarray, counts: np.ndarray) -> None:
-        """Add the next level from its frequent grams."""
-        depth = len(self.levels)
-        size = self.counts if depth == 0 else self.levels[-1].counts
-        context, word = grams // _SHIFT, grams % _SHIFT
-        root = self.log_root(self.counts[word]) * np.log(10)
-        suffix = root + self._suffix_gain(depth, context, word)
-        own = size[context].astype(float)
-        listed = counts / own >= LEAST_RATIO * np.exp(suffix)
-        given = np.zeros(len(size))
-        np.add.at(given, context[listed], counts[listed])
-        n_listed = np.bincount(context[listed], minlength=len(size))
-        rest = (size - given + DISCOUNT * n_listed) / np.maximum(size, 1)
-        p = np.where(listed, (counts - DISCOUNT) / own, 0) + rest[context] * np.exp(suffix)
-        with np.errstate(divide="ignore"):
-            likelihood = (size - given) * np.log(np.maximum(rest, 1e-300))
-        np.add.at(likelihood, context[listed], counts[listed] * (np.log(p[listed]) - suffix[listed]))
-        kept = (n_listed > 0) & (likelihood >= LEAST_GAIN) & (rest > 0)
-        with np.errstate(divide="ignore"):
-            gain = (np.log(p) - root) / np.log(10)
-        # One more entry, for index -1: no context, no gram.
-        self.levels.append(Level(
-            grams, counts, np.append(kept, False), np.append(np.where(kept, np.log10(np.maximum(rest, 1e-300)), 0), 0),
-            np.append(listed & kept[context], False), np.append(gain, 0)))
-
-    def _suffix_gain(self, depth: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Natural log of what the longest kept suffix gives the word, over the root."""
-        gain = np.zeros(len(word))
-        if depth == 0:
-            return gain
-        # The suffix of a context (gram of the level before) drops its first word.
-        words = [self.levels[depth - 1].grams[context] % _SHIFT]
-        above = self.levels[depth - 1].grams[context] // _SHIFT
-        for level in range(depth - 2, -1, -1):
-            words.append(self.levels[level].grams[above] % _SHIFT)
-            above = self.levels[level].grams[above] // _SHIFT
-        words = words[::-1]  # without the first word, which ``above`` holds now
-        for length in range(1, depth + 1):
-            own = words[len(words) - length:]
-            node = own[0]
-            for k, next_word in enumerate(own[1:]):
-                known = node >= 0
-                node = np.where(known, _place(self.levels[k].grams, np.where(known, node, 0) * _SHIFT + next_word), -1)
-            level = self.levels[length - 1]
-            here = (node >= 0) & level.kept[node]
-            gram = np.full(len(word), -1, np.int64)
-            gram[here] = _place(level.grams, node[here] * _SHIFT + word[here])
-            named = here & (gram >= 0) & level.listed[gram]
-            gain = np.where(here, level.rest[node] + gain, gain)
-            gain[named] = level.gain[gram[named]]
-        return gain * np.log(10)
-
-
-def train(docs: DataFrame, n_buckets: int, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree in one piece, for corpora that fit the driver, and the counts of
-    all words, by bucket. ``score_texts`` deals the same tree instead."""
-    counts, total, distinct = _word_counts(docs, n_buckets)
-    least = LEAST_COUNT
-    words, n = _frequent(counts, least)
-    tree = Tree(words, n, total, distinct, [])
-    for _ in range(depth):
-        shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-        def grams(hashes, at, shared=shared):
-            tree = shared.value
-            word = _place(tree.words, hashes)
-            known = tree.contexts(word, at)
-            context = np.full(len(word), -1, np.int64)
-            context[1:] = known[-1][1][:-1] if known else word[:-1]
-            context[at[:-1]] = -1
-            # A frequent gram's last words are a frequent gram themselves.
-            wanted = (context >= 0) & (word >= 0) & (known[-1][1] >= 0 if known else True)
-            return (context[wanted] * _SHIFT + word[wanted]).view(np.uint64)
-
-        found, n = _frequent(_counted(docs, grams, n_buckets), least)
-        tree.grow(found.view(np.int64), n)
-    return tree, counts
-
-
 def _word_counts(docs: DataFrame, n_buckets: int) -> tuple[DataFrame, int, int]:
     """Counts of all words by bucket, their sum, and how many words there are."""
     counts = settled(_counted(docs, lambda hashes, at: hashes, n_buckets))
@@ -271,9 +146,6 @@ def _totals(batches):
         yield {"total": [int(unpack(batch.column("counts"), np.int64).sum())]}
 
 
-_NAMES = "abcdefgh"
-
-
 def _tidied(spark) -> None:
     """Let Spark's cleaner delete the shuffle files of tables that are settled or
     no longer referred to; it acts when the driver's garbage is collected."""
@@ -281,21 +153,26 @@ def _tidied(spark) -> None:
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
-def gram_key(words: list[np.ndarray]) -> np.ndarray:
-    """One number for each gram; a single word stands for itself."""
-    if len(words) == 1:
-        return words[0]
-    out = np.zeros(len(words[0]), np.uint64)
-    for word in words:
-        out = out * _STEP + word
-    return mix(out)
+def gram_keys(pre: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    """One number for each gram, from those of the gram without its last and
+    without its first word; a single word stands for itself."""
+    return mix(pre * _STEP + suf)
 
 
-def grams_of(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(index of the last token, words) of each run of n tokens within a text."""
+def grams_of(hashes: np.ndarray, at: np.ndarray, most: int):
+    """For runs of 1, 2 .. ``most`` tokens within a text: (index of the last
+    token, keys, keys without the last word, keys without the first)."""
     inside = np.arange(len(hashes)) - np.repeat(at[:-1], np.diff(at))
-    ends = np.flatnonzero(inside >= n - 1)
-    return ends, [hashes[ends - (n - 1) + k] for k in range(n)]
+    ends, keys = np.arange(len(hashes)), hashes
+    yield ends, keys, None, None
+    for n in range(2, most + 1):
+        # ``keys`` are by last token: those of a run and of the one a token before it.
+        whole = np.zeros(len(hashes), np.uint64)
+        whole[ends] = keys
+        ends = np.flatnonzero(inside >= n - 1)
+        pre, suf = whole[ends - 1], whole[ends]
+        keys = gram_keys(pre, suf)
+        yield ends, keys, pre, suf
 
 
 def _in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -304,20 +181,19 @@ def _in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def bit_table(grams: DataFrame, names: list[str]) -> np.ndarray:
-    """Bits of all grams (longs in ``names``), set part by part; its size never
-    depends on the grams, only how many others it lets pass."""
+def bit_table(grams: DataFrame) -> np.ndarray:
+    """Bits of all grams' keys, set part by part; its size never depends on the
+    grams, only how many others it lets pass."""
     def places(batches):
         held, size = [], 0
 
         def flush():
             place = np.unique(np.concatenate(held) >> np.uint64(64 - BITS)).astype(np.uint32)
             limits = np.searchsorted(place >> np.uint32(BITS - PARTS), np.arange((1 << PARTS) + 1))
-            return {"part": np.arange(1 << PARTS, dtype=np.int32),
-                    "places": [pack(place[i:j]) for i, j in zip(limits[:-1], limits[1:])]}
+            return {"part": _filled(limits), "places": _cut(place, limits)}
 
         for batch in batches:
-            held.append(gram_key([batch.column(name).to_numpy().view(np.uint64) for name in names]))
+            held.append(batch.column("key").to_numpy().view(np.uint64))
             size += len(held[-1])
             if size >= _FLUSH:
                 yield flush()
@@ -333,88 +209,82 @@ def bit_table(grams: DataFrame, names: list[str]) -> np.ndarray:
                         schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
 
     out = np.zeros((1 << PARTS, 1 << (BITS - PARTS - 3)), np.uint8)
-    for row in map_arrow(grams.select(*names), places, "part int, places binary").groupBy("part").applyInArrow(
+    for row in map_arrow(grams.select("key"), places, "part int, places binary").groupBy("part").applyInArrow(
             joined, "part int, bits binary").collect():
         out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return out.ravel()
 
 
 def _gram_counts(docs: DataFrame, n: int, shorter: np.ndarray, n_buckets: int) -> DataFrame:
-    """``(a, b[, c], n)``: the grams of n words that occur LEAST_COUNT times.
+    """``(key, pre, suf, n)``: the grams of n words that occur LEAST_COUNT times.
     Only those are sent whose shorter grams may be such, by their bit table."""
-    names = list(_NAMES[:n])
     shared = docs.sparkSession.sparkContext.broadcast(shorter)
 
     def partial(batches):
         table, held, size = shared.value, [], 0
 
         def flush():
-            words = [np.concatenate([h[k] for h in held]) for k in range(n)]
-            keys, first, counts = np.unique(gram_key(words), return_index=True, return_counts=True)
+            pre, suf = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            keys, first, counts = np.unique(gram_keys(pre, suf), return_index=True, return_counts=True)
             order, at = by_bucket(keys, n_buckets)
-            cut = lambda x: [pack(x[order][i:j]) for i, j in zip(at[:-1], at[1:])]
-            return {"bucket": np.arange(n_buckets, dtype=np.int32), "n": cut(counts.astype(np.uint32))} | {
-                name: cut(word[first]) for name, word in zip(names, words)}
+            first = first[order]
+            return {"bucket": _filled(at), "pre": _cut(pre[first], at), "suf": _cut(suf[first], at),
+                    "n": _cut(counts[order].astype(np.uint32), at)}
 
         for batch in batches:
             for _, hashes, at in tokens_of(batch.column("text")):
-                _, words = grams_of(hashes, at, n)
-                wanted = _in_table(table, gram_key(words[1:])) & _in_table(table, gram_key(words[:-1]))
-                held.append([word[wanted] for word in words])
+                *_, (_, _, pre, suf) = grams_of(hashes, at, n)
+                wanted = _in_table(table, suf) & _in_table(table, pre)
+                held.append((pre[wanted], suf[wanted]))
                 size += len(held[-1][0])
-                if size >= _FLUSH:
+                if size >= _GRAM_FLUSH:
                     yield flush()
                     held, size = [], 0
         if size:
             yield flush()
 
     def added(table: pa.Table) -> pa.Table:
-        words, counts = [unpack(table[name], np.uint64) for name in names], unpack(table["n"], np.uint32)
-        keys = gram_key(words)
+        pre, suf, counts = unpack(table["pre"], np.uint64), unpack(table["suf"], np.uint64), unpack(table["n"], np.uint32)
+        keys = gram_keys(pre, suf)
         order = np.argsort(keys)
         keys = keys[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
         total = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
         often = total >= LEAST_COUNT
-        return pa.table({name: word[order][first][often].view(np.int64) for name, word in zip(names, words)}
-                        | {"n": total[often]})
+        of = lambda x: x[order][first][often].view(np.int64)
+        return pa.table({"key": keys[first][often].view(np.int64), "pre": of(pre), "suf": of(suf), "n": total[often]})
 
-    columns = ", ".join(f"{name} binary" for name in [*names, "n"])
-    return (map_arrow(docs.select("text"), partial, f"bucket int, {columns}")
-            .groupBy("bucket").applyInArrow(added, ", ".join(f"{name} long" for name in [*names, "n"])))
+    return (map_arrow(docs.select("text"), partial, "bucket int, pre binary, suf binary, n binary")
+            .groupBy("bucket").applyInArrow(added, "key long, pre long, suf long, n long"))
 
 
-def _judged(grams: DataFrame, context: list[str]) -> DataFrame:
-    """``grams``, which have ``n``, the context's count ``own`` and the natural
+def _judged(grams: DataFrame) -> DataFrame:
+    """``grams``, which have ``n``, their context ``pre`` and its count ``own`` and the natural
     log ``suffix`` of what the suffix gives the word, with ``rest`` (natural log of
     what the node leaves to its suffix, null if it is not kept) and ``p`` (natural
     log of the word's probability, null if it is not listed)."""
     listed = F.col("n") / F.col("own") >= LEAST_RATIO * F.exp("suffix")
     grams = grams.withColumn("listed", listed)
-    sums = (grams.groupBy(*context, "own")
+    sums = (grams.groupBy("pre", "own")
             .agg(F.sum(F.when(F.col("listed"), F.col("n")).otherwise(0)).alias("given"),
                  F.sum(F.col("listed").cast("long")).alias("n_listed"))
             .withColumn("left", (F.col("own") - F.col("given") + DISCOUNT * F.col("n_listed")) / F.col("own")))
     p = F.when(F.col("listed"), F.log((F.col("n") - DISCOUNT) / F.col("own") + F.col("left") * F.exp("suffix")))
-    grams = grams.join(sums.select(*context, "left", "given", "n_listed"), context).withColumn("p", p)
-    kept = (grams.groupBy(*context, "own", "given", "left", "n_listed")
+    grams = grams.join(sums.select("pre", "left", "given", "n_listed"), "pre").withColumn("p", p)
+    kept = (grams.groupBy("pre", "own", "given", "left", "n_listed")
             .agg(F.sum(F.col("n") * (F.col("p") - F.col("suffix"))).alias("won"))
             .filter((F.col("n_listed") > 0) & (F.col("left") > 0) & (
                 F.col("won") + (F.col("own") - F.col("given")) * F.log(F.greatest("left", F.lit(1e-300))) >= LEAST_GAIN))
-            .select(*context, F.log("left").alias("rest")))
-    return (grams.drop("left", "given", "n_listed", "listed").join(kept, context, "left")
+            .select("pre", F.log("left").alias("rest")))
+    return (grams.drop("left", "given", "n_listed", "listed").join(kept, "pre", "left")
             .withColumn("p", F.when(F.col("rest").isNotNull(), F.col("p"))))
 
 
-def _keyed(grams: DataFrame, names: list[str], value: F.Column) -> DataFrame:
-    """``(key, n, value)`` of grams; the value in decimal log."""
-    def rows(batches):
-        for batch in batches:
-            words = [batch.column(name).to_numpy().view(np.uint64) for name in names]
-            yield {"key": gram_key(words).view(np.int64), "n": batch.column("n"), "value": batch.column("value")}
-
-    value = F.coalesce(value, F.lit(0.0)) / float(np.log(10))
-    return map_arrow(grams.select(*names, "n", value.alias("value")), rows, "key long, n long, value double")
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """A table written once; its columns are packed, unlike a checkpoint's rows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def model(docs: DataFrame, n_buckets: int, depth: int) -> tuple[DataFrame, DataFrame, int, int]:
@@ -426,36 +296,36 @@ def model(docs: DataFrame, n_buckets: int, depth: int) -> tuple[DataFrame, DataF
     def frequent(batches):
         for batch in batches:
             keys, n = unpack(batch.column("keys"), np.uint64), unpack(batch.column("counts"), np.int64)
-            yield {"a": keys[n >= LEAST_COUNT].view(np.int64), "n": n[n >= LEAST_COUNT]}
+            yield {"key": keys[n >= LEAST_COUNT].view(np.int64), "n": n[n >= LEAST_COUNT]}
 
     # Settled tables between the steps keep a task at one Python worker.
-    words = settled(map_arrow(counts.select("keys", "counts"), frequent, "a long, n long"))
+    words = settled(map_arrow(counts.select("keys", "counts"), frequent, "key long, n long"))
     root = F.log((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1)))
+    in_decimal = lambda value: (F.coalesce(value, F.lit(0.0)) / float(np.log(10))).alias("value")
     # ``given``: natural log of what the longest kept context gives the last word, over the root.
-    last = words.withColumn("root", root).withColumn("given", F.lit(0.0))
+    last = words.select("key", root.alias("root"), F.lit(0.0).alias("given"))
     shorter, values = words.withColumn("more", F.lit(0.0)), []
-    judged = nodes = mine = None
+    judged = nodes = None
     for length in range(2, depth + 2):
-        names, context, suffix = list(_NAMES[:length]), list(_NAMES[:length - 1]), list(_NAMES[1:length])
-        table = bit_table(shorter, context)
-        found = settled(_gram_counts(docs, length, table, n_buckets))
+        table = bit_table(shorter)
+        found = _written(_gram_counts(docs, length, table, n_buckets), "grams")
         _tidied(docs.sparkSession)
-        own = shorter.select(*context, F.col("n").alias("own"))
-        below = last.select(*[F.col(x).alias(y) for x, y in zip(context, suffix)], "root", F.col("given").alias("less"))
-        judged = settled(_judged(found.join(own, context).join(below, suffix).withColumn(
-            "suffix", F.col("root") + F.col("less")), context))
+        own = shorter.select(F.col("key").alias("pre"), F.col("n").alias("own"))
+        below = last.select(F.col("key").alias("suf"), "root", F.col("given").alias("less"))
+        given = F.coalesce(F.col("p") - F.col("root"), F.col("rest") + F.col("less"), F.col("less"))
+        more = F.coalesce(F.col("p") - F.col("root") - F.col("rest") - F.col("less"), F.lit(0.0))
+        judged = _written(_judged(found.join(own, "pre").join(below, "suf").withColumn(
+            "suffix", F.col("root") + F.col("less"))).select(
+            "key", "pre", "n", "root", given.alias("given"), more.alias("more"), "rest"), "judged")
         del found, own, below
         _tidied(docs.sparkSession)
-        nodes = judged.filter("rest IS NOT NULL").groupBy(*context).agg(F.first("rest").alias("leave"))
+        nodes = judged.filter("rest IS NOT NULL").groupBy(F.col("pre").alias("key")).agg(F.first("rest").alias("leave"))
         # What a shorter gram adds as a listed word, and as the node of the next word.
-        mine = shorter.join(nodes, context, "left")
-        values.append(settled(_keyed(mine, context, F.coalesce("leave", F.lit(0.0)) + F.col("more"))))
-        given = F.coalesce(F.col("p") - F.col("root"), F.col("rest") + F.col("less"), F.col("less"))
-        last = judged.withColumn("given", given).select(*names, "n", "root", "given")
-        shorter = judged.select(*names, "n", F.coalesce(
-            F.col("p") - F.col("root") - F.col("rest") - F.col("less"), F.lit(0.0)).alias("more"))
-    values.append(settled(_keyed(shorter, list(_NAMES[:depth + 1]), F.col("more"))))
-    del shorter, last, judged, nodes, mine
+        values.append(settled(shorter.join(nodes, "key", "left").select(
+            "key", "n", in_decimal(F.coalesce("leave", F.lit(0.0)) + F.col("more")))))
+        last, shorter = judged.select("key", "root", "given"), judged.select("key", "n", "more")
+    values.append(shorter.select("key", "n", in_decimal(F.col("more"))))
+    del last, nodes
     _tidied(docs.sparkSession)
     out = values[0]
     for more in values[1:]:
@@ -463,6 +333,16 @@ def model(docs: DataFrame, n_buckets: int, depth: int) -> tuple[DataFrame, DataF
     return out, counts, total, distinct
 
 
+#: Tokens whose grams one bucket answers for.
+ASKED_TOKENS = 1 << 22
+
+
+def _fewer(n_buckets: int, wanted: int) -> int:
+    """A number of buckets that divides ``n_buckets``, so that a key's bucket
+    follows from its old one; ``wanted`` or a little more."""
+    return next(n_buckets // k for k in range(max(1, n_buckets // max(wanted, 1)), 0, -1) if n_buckets % k == 0)
+
+
 _PARTS = ("rows", "ids", "nameless", "held_out", "n_tokens", "known", "base", "gain")
 
 
@@ -490,9 +370,12 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     often = values.filter(F.col("n") >= hot).select("key", "value").toArrow()
     hot_keys, hot_values = often["key"].to_numpy().view(np.uint64), often["value"].to_numpy()
     order = np.argsort(hot_keys)
-    some = values.filter("value <> 0")
+    some = settled(values.filter("value <> 0"))
+    # Fewer buckets than counts need: as many as the texts' tokens ask for.
+    n_asked = _fewer(n_buckets, max(docs.sparkSession.sparkContext.defaultParallelism,
+                                    -(-total // ASKED_TOKENS)))
     shared = docs.sparkSession.sparkContext.broadcast(
-        (words, log_root(word_counts), hot_keys[order], hot_values[order], bit_table(some, ["key"])))
+        (words, log_root(word_counts), hot_keys[order], hot_values[order], bit_table(some)))
 
     def dealt(batches):
         """The sums by bucket, beside the word counts."""
@@ -500,11 +383,10 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         def flush():
             keys, sums = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            order, at = by_bucket(keys, n_buckets)
-            cut = lambda x: [pack(x[order][i:j]) for i, j in zip(at[:-1], at[1:])]
-            none = pa.nulls(n_buckets, pa.binary())
-            return {"bucket": np.arange(n_buckets, dtype=np.int32), "keys": none, "counts": none,
-                    "grams": cut(keys), "sums": cut(sums)}
+            order, at = by_bucket(keys, n_asked)
+            none = pa.nulls(len(_filled(at)), pa.binary())
+            return {"bucket": _filled(at), "keys": none, "counts": none,
+                    "grams": _cut(keys[order], at), "sums": _cut(sums[order], at)}
 
         for batch in batches:
             held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("value").to_numpy()))
@@ -515,9 +397,9 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         if size:
             yield flush()
 
-    known = counts.select("bucket", "keys", "counts", F.lit(None).cast("binary").alias("grams"),
+    known = counts.select((F.col("bucket") % n_asked).alias("bucket"), "keys", "counts", F.lit(None).cast("binary").alias("grams"),
                           F.lit(None).cast("binary").alias("sums")).unionByName(
-        map_arrow(some.select("key", "value"), dealt,
+        map_arrow(some.select("key", "value").coalesce(n_asked), dealt,
                   "bucket int, keys binary, counts binary, grams binary, sums binary"))
 
     def ask(batches):
@@ -527,17 +409,23 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            cut = lambda x, at: [pack(x[i:j]) for i, j in zip(at[:-1], at[1:])]
             info = {name: np.concatenate([h[2][name] for h in held]) for name in _PARTS}
             first = info["rows"].min()
-            out = {"bucket": np.arange(n_buckets, dtype=np.int32), "first": np.full(n_buckets, first)}
+            dealt, full = {}, set()
             for k, (name, owner) in enumerate((("words", "owners"), ("grams", "gram_owners"))):
                 keys, owners = (np.concatenate([h[k][i] for h in held]) for i in (0, 1))
-                order, at = by_bucket(keys, n_buckets)
+                order, at = by_bucket(keys, n_asked)
                 # A task's rows are numbered one behind the other: 4 bytes tell them apart.
-                out |= {name: cut(keys[order], at), owner: cut((owners[order] - first).astype(np.uint32), at)}
-            turn, turn_at = by_bucket(info["rows"].view(np.uint64), n_buckets)
-            return out | {name: cut(info[name][turn], turn_at) for name in _PARTS}
+                here = _filled(at).tolist()
+                dealt[name] = dict(zip(here, _cut(keys[order], at)))
+                dealt[owner] = dict(zip(here, _cut((owners[order] - first).astype(np.uint32), at)))
+                full.update(here)
+            # What is known of the texts goes along with one of the buckets.
+            turn = int(first) % n_asked
+            full = sorted(full | {turn})
+            return {"bucket": np.array(full, np.int32), "first": np.full(len(full), first)} | {
+                name: [parts.get(b, b"") for b in full] for name, parts in dealt.items()} | {
+                name: [pack(info[name]) if b == turn else None for b in full] for name in _PARTS}
 
         for batch in batches:
             keys, ids = batch.column("row").to_numpy(), batch.column("doc_id")
@@ -550,11 +438,9 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 owner = np.repeat(np.arange(len(rows)), np.diff(at))
                 per_text = lambda x: np.bincount(owner, x, minlength=len(rows))
                 gain, asked = np.zeros(len(rows)), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-                for n in range(1, depth + 2):
-                    ends, parts = grams_of(hashes, at, n)
-                    gram, of = gram_key(parts), owner[ends]
+                for n, (ends, gram, _, _) in enumerate(grams_of(hashes, at, depth + 1), 1):
                     may = _in_table(table, gram)
-                    gram, of = gram[may], of[may]
+                    gram, of = gram[may], owner[ends[may]]
                     place = _place(hot_keys, gram)
                     gain += np.bincount(of, hot_values[place], minlength=len(rows))
                     if n > 1:  # rare words are asked for anyway
@@ -573,43 +459,53 @@ def score_texts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             yield flush()
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        def rows_of(name):
-            sizes = [len(x.as_buffer()) // 4 for x in asked[name]]
-            return unpack(asked[name], np.uint32) + np.repeat(asked["first"].to_numpy(), sizes)
+        """A row for each flush that asks: sums by text, packed, and what came along."""
+        def asked_by(owners):
+            sizes = [len(x.as_buffer()) // 4 for x in asked[owners]]
+            return unpack(asked[owners], np.uint32).astype(np.int64) + (np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 32)
 
-        words, owners = unpack(asked["words"], np.uint64), rows_of("owners")
+        words, owners = unpack(asked["words"], np.uint64), asked_by("owners")
         keys, n = unpack(known["keys"], np.uint64), unpack(known["counts"], np.int64)
-        place = _place(keys, words)
-        found = np.where(place >= 0, np.append(n, 0)[place], 0)
+        order = np.argsort(keys)
+        place = _place(keys[order], words)
+        found = np.where(place >= 0, np.append(n[order], 0)[place], 0)
         # The sums of grams, and those of the rare words.
         grams, sums = unpack(known["grams"], np.uint64), unpack(known["sums"], float)
         order = np.argsort(grams)
         grams, sums = grams[order], np.append(sums[order], 0)
-        asked_grams, gram_owners = unpack(asked["grams"], np.uint64), rows_of("gram_owners")
-        rows, back = np.unique(np.r_[owners, gram_owners], return_inverse=True)
+        asked_grams, gram_owners = unpack(asked["grams"], np.uint64), asked_by("gram_owners")
+        texts, back = np.unique(np.r_[owners, gram_owners], return_inverse=True)
         of_words = back[:len(owners)]
-        base = np.bincount(of_words, log_root(found), minlength=len(rows))
-        seen = np.bincount(of_words, found > 0, minlength=len(rows)).astype(np.int64)
-        gain = np.bincount(back, np.r_[sums[_place(grams, words)], sums[_place(grams, asked_grams)]], minlength=len(rows))
+        base = np.bincount(of_words, log_root(found), minlength=len(texts))
+        seen = np.bincount(of_words, found > 0, minlength=len(texts)).astype(np.uint32)
+        gain = np.bincount(back, np.r_[sums[_place(grams, words)], sums[_place(grams, asked_grams)]], minlength=len(texts))
+        at = np.searchsorted(texts, np.arange(asked.num_rows + 1, dtype=np.int64) << 32)
+        out = asked.select(["first", *_PARTS])
+        for name, x in (("texts", texts.astype(np.uint32)), ("of_base", base), ("of_seen", seen), ("of_gain", gain)):
+            out = out.append_column(name, pa.array([pack(x[i:j]) for i, j in zip(at[:-1], at[1:])], pa.binary()))
+        return out
+
+    def together(parts: pa.Table) -> pa.Table:
+        """The texts of one flush, with the sums of all buckets."""
         kinds = {"nameless": bool, "held_out": bool, "base": float, "gain": float}
-        info = {name: unpack(asked[name], kinds.get(name, np.int64)) for name in _PARTS}
-        more, none = len(info["rows"]), np.zeros(len(rows))
-        mask = np.r_[np.zeros(more, bool), np.ones(len(rows), bool)]
-        only = lambda x, m=mask: pa.array(np.r_[x, none.astype(x.dtype)], mask=m)
+        info = {name: unpack(parts[name], kinds.get(name, np.int64)) for name in _PARTS}
+        order = np.argsort(info["rows"])
+        info = {name: x[order] for name, x in info.items()}
+        at = np.searchsorted(info["rows"], unpack(parts["texts"], np.uint32).astype(np.int64) + parts["first"][0].as_py())
+        plus = lambda name, kind: np.bincount(at, unpack(parts[name], kind), minlength=len(order))
         return pa.table({
-            "row": np.r_[info["rows"], rows], "doc_id": only(info["ids"], mask | np.r_[info["nameless"], none > 0]),
-            "held_out": only(info["held_out"]), "n_tokens": only(info["n_tokens"]),
-            "n_known": np.r_[info["known"], seen], "base": np.r_[info["base"], base],
-            "gain": np.r_[info["gain"], gain]})
+            "doc_id": pa.array(info["ids"], mask=info["nameless"]), "held_out": info["held_out"],
+            "n_tokens": info["n_tokens"], "n_known": info["known"] + plus("of_seen", np.uint32).astype(np.int64),
+            "base_score": info["base"] + plus("of_base", float), "gain": info["gain"] + plus("of_gain", float)})
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                        F.coalesce(out, F.lit(False)).alias("held_out"), "text")
     asked = map_arrow(rows, ask, "bucket int, first long, words binary, owners binary, grams binary, gram_owners binary, "
                       + ", ".join(f"{name} binary" for name in _PARTS))
+    info = ", ".join(f"{name} binary" for name in _PARTS)
     parts = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        answer, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double")
-    return parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("gain").alias("gain")
+        answer, f"first long, {info}, texts binary, of_base binary, of_seen binary, of_gain binary")
+    return parts.groupBy("first").applyInArrow(
+        together, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, gain double"
     ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
              "base_score", (F.col("base_score") + F.col("gain")).alias("score"))

@@ -11,15 +11,17 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cellmend.llm import mixing, queries, suffix_tree_lm as lm, toxicity
+from cellmend.llm import mixing, quality_votes, queries, suffix_tree_lm as lm, toxicity
 from cellmend.llm.mixing import mix_sources, mixed_documents, permuted, targets
 from cellmend.llm.pii import Permutation, Pseudonyms, iban_digits, luhn_digit, pseudonymise
 from cellmend.llm.quality_rules import quality_rules
 from cellmend.llm.quality_votes import score_quality
 from cellmend.llm.suffix_tree_lm import score_texts
 from cellmend.llm.toxicity import score_toxicity, without_toxic
+from tests.llm import suffix_tree
 from tests.llm.test_texts import WORD, lowered
 from tests.oracle_check import _rows, connect
 
@@ -32,7 +34,9 @@ def test_permutations_are_one_to_one(size):
     p = Permutation(KEY, "kind", size)
     there = [p.there(i) for i in range(size)]
     assert sorted(there) == list(range(size)) and [p.back(t) for t in there] == list(range(size))
-    assert sorted(permuted(np.arange(size), size, 5).tolist()) == list(range(size))
+    dealt = permuted(np.arange(size), size, 5).tolist()
+    assert sorted(dealt) == list(range(size))
+    assert [dealt[mixing.place_of(i, size, 5)] for i in range(size)] == list(range(size))
     assert size < 10 or there != [Permutation(b"other", "kind", size).there(i) for i in range(size)]
 
 
@@ -87,6 +91,37 @@ def test_only_valid_values_are_replaced():
     assert Pseudonyms(KEY, True).text(new)[0] == text
 
 
+def test_values_of_any_length_are_replaced_whole_and_come_back():
+    own, back = Pseudonyms(KEY), Pseudonyms(KEY, restoring=True)
+    rnd = random.Random(12)
+    for n in (8, 80, 256, 257, 380, 5000):
+        value = "".join(rnd.choice("abcXYZ0189+/_-") for _ in range(n))
+        local = "".join(rnd.choice("abcXYZ0189") for _ in range(n))
+        for text, secret in ((f"password={value} end", value), (f"to {local}@mail.example.org now", local)):
+            new, found = own.text(text)
+            assert found == 1 and len(new) == len(text) and back.text(new)[0] == text
+            pieces = [secret[i:i + 16] for i in range(0, len(secret) - 15, 16)] or [secret]
+            assert not any(piece in new for piece in pieces)
+    new = own.text("a.b@x.example.org, c@y.example.org; @z.example.org and d@e.example.org")[0]
+    assert [m.split("@")[1] for m in re.findall(r"\S*@[\w.]+", new)] == [
+        "x.example.org", "y.example.org", "z.example.org", "e.example.org"] and " @z" in new
+
+
+def test_spellings_of_a_value_stay_linked_and_come_back():
+    own, back = Pseudonyms(KEY), Pseudonyms(KEY, restoring=True)
+    account = "370400440532013000"
+    iban = "DE" + iban_digits("DE", account) + account
+    spaced = " ".join(iban[i:i + 4] for i in range(0, len(iban), 4))
+    (one, _), (two, n) = own.text(iban), own.text(f"to {spaced}.")
+    assert n == 1 and two[3:-1].replace(" ", "") == one and back.text(two)[0] == f"to {spaced}."
+    dotted, dashed = own.text("555.123.4567")[0], own.text("555-123-4567")[0]
+    assert dotted.replace(".", "-") == dashed != "555-123-4567" and back.text(dotted)[0] == "555.123.4567"
+    for text in ("+44 20 7946 0958", "+49 30 1234 5678", "+33 12 34 56 78"):
+        new, n = own.text(text)
+        assert n == 1 and new != text and new[:3] == text[:3] and back.text(new)[0] == text
+    assert own.text("+1 22 33")[1] == 0 and own.text("1.555.123.4567.8")[1] == 0
+
+
 def test_pseudonyms_of_a_table(documents):
     rows = [(1, "call +1 (743) 555-3824"), (2, None), (3, ""), (None, "10.1.2.3"), (1, "call +1 (743) 555-3824")]
     table = documents(rows)
@@ -162,6 +197,19 @@ def test_quality_votes_on_held_out_rows(documents, spark):
     assert score_quality(documents([]), labels).count() == 0
 
 
+def test_samples_are_bounded_by_rows(documents, spark, monkeypatch):
+    """An id that a third of all rows repeat is one text of the sample."""
+    rows = [(i, f"word{i} " * 30) for i in range(40)] + [(7, f"copy {i} of many") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+    never = F.lit(False)
+    space = quality_votes.train(documents(rows), labels, never)
+    assert len(space.vectors) <= 40
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, positive, prior: sizes.append((len(texts), int(positive.sum()))))
+    toxicity.train(documents(rows), labels, never)
+    assert sizes == [(40 + 8, 8)]
+
+
 def test_quality_rules_of_odd_rows(documents):
     rows = [(1, None), (2, ""), (None, "the a b c d e f g h i j"), (3, "the cat sat on a mat " * 20),
             (4, "x# " * 12), (5, "the one\nthe one\n\nof two words and so on with more")]
@@ -207,7 +255,7 @@ def test_language_model_scores(documents):
 def test_every_node_is_a_distribution(documents):
     """With all words frequent, each context's probabilities add up to those of the root."""
     rows = [(i, t) for i, t in phrases(4, 400)]
-    tree, _ = lm.train(documents(rows), 4)
+    tree, _ = suffix_tree.train(documents(rows), 4)
     kept = [int(level.kept.sum()) for level in tree.levels]
     assert kept[0] > 10 and kept[1] > 3
     root = 10 ** tree.log_root(tree.counts)
@@ -221,7 +269,7 @@ def test_every_node_is_a_distribution(documents):
         words = [gram]
         if level == 1:
             pair = int(tree.levels[0].grams[gram])
-            words = [pair // int(lm._SHIFT), pair % int(lm._SHIFT)]
+            words = [pair // int(suffix_tree._SHIFT), pair % int(suffix_tree._SHIFT)]
         n = len(words) + 1
         texts = np.concatenate([[*words, w] for w in everything])
         limits = np.arange(0, len(texts) + 1, n)
@@ -242,7 +290,7 @@ def test_dealt_scores_are_those_of_the_whole_tree(documents, monkeypatch, hot_sh
     monkeypatch.setattr(lm, "HOT_SHARE", hot_share)
     rows = phrases(5, 500)
     docs = documents(rows)
-    tree, _ = lm.train(docs.filter("pmod(crc32(cast(doc_id AS string)), 10) <> 0"), 4)
+    tree, _ = suffix_tree.train(docs.filter("pmod(crc32(cast(doc_id AS string)), 10) <> 0"), 4)
     assert tree.levels[1].kept.sum() > 3
     got = {r.doc_id: r.score - r.base_score for r in score_texts(docs).collect()}
     for doc_id, text in rows:
@@ -253,7 +301,7 @@ def test_dealt_scores_are_those_of_the_whole_tree(documents, monkeypatch, hot_sh
 def test_what_a_context_needs_does_not_grow_with_the_corpus(documents):
     rows = [(i, "left right centre") for i in range(4)]
     filler = [(1000, " ".join(map(str, range(8_000_000))))]
-    tree, _ = lm.train(documents(rows).union(documents(filler)), 4)
+    tree, _ = suffix_tree.train(documents(rows).union(documents(filler)), 4)
     assert tree.total > 8_000_000 and len(tree.words) == 4
 
 
@@ -290,6 +338,8 @@ def test_mix_meets_its_targets(documents):
     assert max(Counter((s.rank, s.block) for s in slots).values()) <= 2
     spans = first.spans().collect()
     assert sum(s.n_words for s in spans) == sum(r.taken for r in got)
+    named = mix_sources(documents(rows).withColumn("_row", F.lit("x"))).taken().collect()
+    assert sorted((r.taken for r in named)) == sorted(r.taken for r in got)
     assert mix_sources(documents([])).taken().count() == 0
     assert [r.taken for r in mix_sources(documents([(1, None, "a")])).taken().collect()] == [0]
     assert source
