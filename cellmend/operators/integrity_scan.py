@@ -33,7 +33,7 @@ def file_facts(lines: DataFrame) -> DataFrame:
     flags = lines.groupBy("file_path", "reader").agg(
         F.bool_and(~is_json | is_object_line(F.col("line"))).alias("by_line"),
         F.bool_or(text.isNotNull()).alias("filled"),
-        F.bool_or(~valid_json(text)).alias("bad"), F.max(nesting(text)).alias("depth"),
+        F.bool_or(text.isNotNull() & ~valid_json(text)).alias("bad"), F.max(nesting(text)).alias("depth"),
         *[F.bool_or(~is_json & ends_open(F.col("line"), sep)).alias(f"broken_{i}")
           for i, sep in enumerate(fv.SEPARATORS)])
     # The test looks at a file's beginning only, hence at its first split.

@@ -190,7 +190,7 @@ def test_json_is_strict(spark):
 
 
 def test_a_bad_json_file_is_an_error_row(spark, folder):
-    (folder("good.json", '{"a":1e10}\n{"a":2.0}\n'), folder("bad.json", '{"a":1}\n{"a":2} junk\n'),
+    (folder("good.json", '{"a":1e10}\n\n  {"a":2.0}\n \n'), folder("bad.json", '{"a":1}\n{"a":2} junk\n'),
      folder("twice.json", '{"a":1,"a":2}\n'), folder("texts.json", '["{oops","{x"]'), folder("none.json", "[]"))
     inventory = scan_inventory(spark, folder.root).select(
         "filename", F.lit("json").alias("file_type"), F.col("path").alias("file_path"))
