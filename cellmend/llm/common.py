@@ -14,9 +14,16 @@ from cellmend.operators.sizing import settled
 __all__ = ["settled", "importable", "buckets", "map_arrow", "pack", "unpack", "by_bucket", "components", "crc_of_id"]
 
 
+#: Bytes of a batch of rows on its way to a Python worker and back. Spark's own
+#: bound, 64 MB, is held several times over by an executor's tasks and workers.
+BATCH_BYTES = 4 << 20
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it; on a
-    cluster it is installed, and the entry does nothing."""
+    """Let Python workers import this package from where the driver has it (on a
+    cluster it is installed, and the entry does nothing), and bound the bytes of
+    what is sent to them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
@@ -46,6 +53,8 @@ def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterable
             yield pa.RecordBatch.from_arrays(
                 [x if isinstance(x, pa.Array) else pa.array(x) for x in (out[n] for n in names)],
                 names=names)
+        # A worker lives on for later tasks: what they do not need goes back.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -109,9 +109,11 @@ class _Root:
         once_order, once_at = by_bucket(tokens[once], self.n_buckets)
         id_order, id_at = by_bucket(ta.mix(ids.view(np.uint64)), self.n_buckets)
         t, o, s = tokens[single][single_order], ids[owners[single]][single_order], tokens[once][once_order]
-        cut = lambda values, limits: [pack(values[i:j]) for i, j in zip(limits[:-1], limits[1:])]
+        # Only buckets that anything falls into: a small run does not make a row for each.
+        full = np.flatnonzero(np.diff(single_at) + np.diff(once_at) + np.diff(id_at))
+        cut = lambda values, limits: [pack(values[limits[b]:limits[b + 1]]) for b in full]
         self.reset()
-        return {"bucket": np.arange(self.n_buckets, dtype=np.int32),
+        return {"bucket": full.astype(np.int32),
                 "tokens": cut(t, single_at), "owners": cut(o, single_at), "common": cut(s, once_at),
                 "ids": cut(ids[id_order], id_at), "sizes": cut(sizes[id_order].astype(np.int64), id_at),
                 "signs": cut(signs[id_order], id_at), "met": cut(met[id_order].astype(np.int64), id_at)}
