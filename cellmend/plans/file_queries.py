@@ -412,10 +412,11 @@ def json_array_file(spark, sf_dir):
         "concat(',', to_json(named_struct('id', event_id, 't', event_type, 'p', from_json(props, 'k BIGINT'), "
         "'s', concat('a \"b, [', char(92), '] ', event_type)))) AS line")
     # The array opens and closes on lines of their own.
-    ends = events.agg(F.min("line_no").alias("least"), F.max("block").alias("most")).select(F.inline(F.array(
-        F.struct(F.lit("events").alias("file_path"), (F.col("least") - 512).alias("block"),
-                 F.lit(0).cast("bigint").alias("line_no"), F.lit('[{"id": -1}').alias("line")),
-        F.struct(F.lit("events"), F.col("most") + 512, F.lit(0).cast("bigint"), F.lit("]")))))
+    end = lambda block, line: F.struct(
+        F.lit("events").alias("file_path"), block.alias("block"),
+        F.lit(0).cast("bigint").alias("line_no"), F.lit(line).alias("line"))
+    ends = events.agg(F.min("block").alias("least"), F.max("block").alias("most")).select(F.inline(F.array(
+        end(F.col("least") - 512, '[{"id": -1}'), end(F.col("most") + 512, "]"))))
     found = J.document_records(events.unionByName(ends))
     record = F.from_json("record", "id BIGINT, t STRING, p STRUCT<k: BIGINT>, s STRING")
     return found.select(record.alias("r"), "error").filter("r.id <> -1 OR error IS NOT NULL").select(

@@ -219,7 +219,7 @@ _HALF = "p_partkey % 100 < 50 AND p_size % 5 <> 0"
 @query("change_ledger", f"""
     WITH old AS (SELECT p_size, p_partkey FROM part WHERE {_HALF}),
     first AS (SELECT p_size, min(p_partkey) AS k FROM part GROUP BY p_size),
-    state AS (SELECT p_size, CASE WHEN p_size % 5 = 0 THEN 'new'
+    state AS (SELECT p_size, CASE WHEN p_size NOT IN (SELECT p_size FROM old) THEN 'new'
         WHEN p_size % 7 = 0 AND first.k IN (SELECT p_partkey FROM old) THEN 'rewritten' ELSE 'grown' END AS state FROM first)
     SELECT p_size AS file_path, state, count(*)::BIGINT AS n_lines, sum(p_partkey)::BIGINT AS keys
     FROM part JOIN state USING (p_size)
