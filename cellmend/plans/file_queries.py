@@ -404,7 +404,7 @@ def json_documents(spark, sf_dir):
 
 @query("json_array_file", """
     SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-           concat('a "b, [', chr(92), '] ', event_type) AS s, NULL AS error FROM events""")
+           concat('a "b, [', chr(92), '] ', event_type) AS s, CAST(NULL AS VARCHAR) AS error FROM events""")
 def json_array_file(spark, sf_dir):
     """All events as the elements of one array, which many tasks cut."""
     events = table(spark, sf_dir, "events").selectExpr(
