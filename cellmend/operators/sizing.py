@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cellmend.functions.normalize import quoted
-from cellmend.operators.ordering import shared_dir
+from cellmend.operators.ordering import scratch_path, shared_dir
 
 # What every executor can hold beside its work: about a million file paths with
 # what is known of each file.
@@ -20,6 +20,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled_by_column(df: DataFrame) -> DataFrame:
+    """A derived table of any size, computed once and kept in the shared folder
+    by column: what reads it later reads the columns it needs."""
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _bytes(field: T.StructField) -> Column:
     """About what a value takes in a row."""
     col = F.col(quoted(field.name))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cellmend.functions.normalize import quoted
-from cellmend.operators.sizing import broadcast_if_small, settled
+from cellmend.operators.sizing import broadcast_if_small, settled, settled_by_column
 from cellmend.sources.text import read_lines
 
 UNSUPPORTED = "Unsupported JSON root type"
@@ -53,85 +53,162 @@ def line_records(lines: DataFrame) -> DataFrame:
         F.when(~valid, MALFORMED).alias("error"))
 
 
-def _pieces(lines: DataFrame, joint: str) -> DataFrame:
-    """What lies between commas: ``comma`` tells whether one stands before."""
+_PIECES = 64  # pieces between commas that are looked through as one
+
+
+def _units(lines: DataFrame, joint: str) -> DataFrame:
+    """Lines, the long ones cut at every 64th comma: ``comma`` tells whether one
+    stands before."""
     place = ["file_path", "block", "line_no"]
     if joint == ",":
-        return lines.select(*place, F.lit(0).alias("piece_no"), F.lit(True).alias("comma"),
-                            F.col("line").alias("piece"))
-    return lines.select(*place, F.posexplode(F.split("line", ",", -1)).alias("piece_no", "piece")).withColumn(
-        "comma", F.col("piece_no") > 0)
+        return lines.select(*place, F.lit(0).alias("part_no"), F.lit(True).alias("comma"), F.col("line").alias("part"))
+    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
+    cut = F.expr(f"transform(array(split(line, ',', -1)), p -> transform(sequence(0, (size(p) - 1) div {_PIECES}), "
+                 f"i -> array_join(slice(p, i * {_PIECES} + 1, {_PIECES}), ',')))[0]")
+    return lines.select(*place, F.posexplode(F.when(commas < _PIECES, F.array("line")).otherwise(cut)).alias(
+        "part_no", "part")).withColumn("comma", F.col("part_no") > 0)
+
+
+def _bare(text: Column) -> Column:
+    """A text without escapes and what they escape."""
+    return F.when(text.contains("\\"), F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
+
+
+def _quotes(bare: Column) -> Column:
+    return (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).cast("bigint")
+
+
+def _rise(bare: Column) -> Column:
+    """Opened minus closed brackets outside strings."""
+    outside = F.regexp_replace(bare, r'"[^"]*+(?:"|\z)', "")
+    rise = F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
+    return F.when(bare.rlike(r"[\[\]{}]"), rise).otherwise(0).cast("bigint")
+
+
+def _heads(pieces: Column) -> Column:
+    """Numbers of the pieces that begin an element, of at most ``_PIECES``: a
+    comma outside strings at depth 1 stands before them."""
+    def step(acc, piece):
+        is_head = ((acc["no"] > 0) | F.col("comma")) & ~acc["inside"] & (acc["depth"] == 1)
+        rise = _rise(F.when(acc["inside"], F.concat(F.lit('"'), piece)).otherwise(piece))
+        return F.struct(
+            (acc["no"] + 1).alias("no"), (acc["depth"] + rise).alias("depth"),
+            (acc["inside"] != (_quotes(piece) % 2 == 1)).alias("inside"),
+            F.when(is_head, F.concat(acc["heads"], F.array(acc["no"]))).otherwise(acc["heads"]).alias("heads"))
+
+    start = F.struct(F.lit(0).alias("no"), F.col("depth_before").alias("depth"), F.col("inside").alias("inside"),
+                     F.array().cast("array<int>").alias("heads"))
+    none = F.array().cast("array<int>")
+    walked = F.aggregate(F.transform(pieces, _bare), start, step, lambda acc: acc["heads"])
+    # One or two pieces, as most lines are, need no walk.
+    inside, first = F.col("inside"), _bare(F.get(pieces, F.lit(0)))
+    rise = _rise(F.when(inside, F.concat(F.lit('"'), first)).otherwise(first))
+    second = (F.size(pieces) == 2) & (inside == (_quotes(first) % 2 == 1)) & (F.col("depth_before") + rise == 1)
+    few = F.concat(F.when(F.col("comma") & ~inside & (F.col("depth_before") == 1), F.array(F.lit(0))).otherwise(none),
+                   F.when(second, F.array(F.lit(1))).otherwise(none))
+    return F.when(F.col("root") == "[", F.when(F.size(pieces) > 2, walked).otherwise(few)).otherwise(none)
 
 
-def _rise(outside: Column) -> Column:
-    """Opened minus closed brackets of a text without strings."""
-    return (F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))).cast("bigint")
+def _joined(order: Column, text: str) -> Column:
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order.alias("at"), F.col(text).alias("text")))),
+                                    lambda p: p["text"]), "")
 
 
-def _elements(pieces: DataFrame, joint: str) -> DataFrame:
-    """``(file_path, is_first, is_last, root, ends_well, text)``: the elements of
-    array roots, other roots as one element.
+def _elements(lines: DataFrame, joint: str) -> DataFrame:
+    """``(file_path, is_first, is_last, root, ends_well, text, valid)``: the
+    elements of array roots, other roots as one element.
 
-    A piece maps (inside a string, depth) at its start to the same at its end:
+    A line maps (inside a string, depth) at its start to the same at its end:
     the quotes in it flip the first, and the second rises by one of two amounts,
-    as the piece starts outside or inside a string. Both compose, so a window
-    per split settles the pieces of a split for either start, one row per split
-    carries the state across splits, and what lies between two commas at depth 1
-    comes together by its first piece, however many tasks read the file.
+    as the line starts outside or inside a string. Both compose, so a window
+    per split over these numbers settles a split for either start, and one row
+    per split carries the state across splits. With that known the lines are
+    shuffled once, by split, and cut into elements there; what runs on over the
+    end of a split, at most two rows a split, comes together afterwards, however
+    many tasks read the file.
     """
-    bare = F.regexp_replace("piece", r"(?s)\\.", "")  # an escape and what it escapes
-    out = lambda text: F.regexp_replace(text, r'"[^"]*+(?:"|\z)', "")
-    order = F.struct("line_no", "piece_no")
     split = ["file_path", "block"]
-    place = Window.partitionBy(*split).orderBy("line_no", "piece_no")
+    place = Window.partitionBy(*split).orderBy("line_no", "part_no")
     so_far = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    char = F.substring(F.ltrim("piece", F.lit(" \t\r\n")), 1, 1)
-    traced = (
-        pieces.withColumn("bare", bare)
-        .withColumns({"quotes": (F.length("bare") - F.length(F.replace("bare", F.lit('"'), F.lit("")))).cast("bigint"),
-                      "plain": _rise(out(F.col("bare"))),
-                      "quoted": _rise(out(F.concat(F.lit('"'), F.col("bare"))))})
-        .drop("bare")
-        .withColumn("flips", F.sum("quotes").over(so_far))
-        .withColumn("odd", (F.col("flips") - F.col("quotes")) % 2 == 1)
-        .withColumns({"own_0": F.when(F.col("odd"), F.col("quoted")).otherwise(F.col("plain")),
-                      "own_1": F.when(F.col("odd"), F.col("plain")).otherwise(F.col("quoted"))})
-        .withColumns({f"rise_{k}": F.sum(f"own_{k}").over(so_far) for k in (0, 1)}))
+    earlier = place.rowsBetween(Window.unboundedPreceding, -1)
+    bare = F.col("bare")
+    counted = _units(lines, joint).withColumn("bare", _bare(F.col("part"))).withColumns({
+        "quotes": _quotes(bare), "plain": _rise(bare), "quoted": _rise(F.concat(F.lit('"'), bare))}).drop("bare")
+    before = lambda start: (start + F.coalesce(F.sum("quotes").over(earlier), F.lit(0))) % 2 == 1
+    own = lambda inside: F.when(inside, F.col("quoted")).otherwise(F.col("plain"))
+    char = F.substring(F.ltrim("part", F.lit(" \t\r\n")), 1, 1)
     # One row per split: bounded by file size / split size.
-    splits = traced.groupBy(*split).agg(
-        F.sum("quotes").alias("q"), F.sum("own_0").alias("r0"), F.sum("own_1").alias("r1"),
-        F.min_by(F.when(char != "", char), F.when(char != "", order)).alias("char"))
+    splits = (
+        counted.withColumn("char", char).drop("part", "comma").withColumn("odd", before(F.lit(0)))
+        .groupBy(*split).agg(
+            F.sum("quotes").alias("q"), F.sum(own(F.col("odd"))).alias("r0"), F.sum(own(~F.col("odd"))).alias("r1"),
+            F.min_by(F.when(F.col("char") != "", F.col("char")),
+                     F.when(F.col("char") != "", F.struct("line_no", "part_no"))).alias("char")))
     by_split = Window.partitionBy("file_path").orderBy("block")
-    before = by_split.rowsBetween(Window.unboundedPreceding, -1)
+    until = by_split.rowsBetween(Window.unboundedPreceding, -1)
     file = Window.partitionBy("file_path")
-    start = F.coalesce(F.sum("q").over(before), F.lit(0)) % 2
-    starts = (
+    start = F.coalesce(F.sum("q").over(until), F.lit(0)) % 2
+    starts = settled(
         splits.withColumn("start", start)
         .withColumn("rise", F.when(F.col("start") == 1, F.col("r1")).otherwise(F.col("r0")))
-        .select(*split, "start", F.coalesce(F.sum("rise").over(before), F.lit(0)).alias("depth"),
+        .select(*split, "start", F.coalesce(F.sum("rise").over(until), F.lit(0)).alias("depth"),
                 F.first("char", ignorenulls=True).over(
                     by_split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("root"),
                 ((F.sum("q").over(file) % 2 == 0) & (F.sum("rise").over(file) == 0)).alias("ends_well")))
-    inside = (F.col("start") + F.col("odd").cast("int")) % 2 == 1
-    risen = lambda with_own: F.col("depth") + F.when(
-        F.col("start") == 1, F.col("rise_1") - (0 if with_own else F.col("own_1"))
-    ).otherwise(F.col("rise_0") - (0 if with_own else F.col("own_0")))
-    is_head = (F.col("root") == "[") & F.col("comma") & ~inside & (risen(False) == 1)
-    known = traced.join(starts, split).withColumn("depth_after", risen(True)).withColumn(
-        "head", F.last(F.when(is_head, F.struct("block", "line_no", "piece_no")), ignorenulls=True).over(so_far))
+
+    pieces = F.col("pieces")
+    known = (
+        counted.join(broadcast_if_small(starts), split)
+        .withColumn("inside", before(F.col("start"))).withColumn("own", own(F.col("inside")))
+        .withColumn("depth_after", F.col("depth") + F.sum("own").over(so_far))
+        .withColumn("depth_before", F.col("depth_after") - F.col("own"))
+        .withColumn("pieces", F.split("part", ",", -1)).withColumn("heads", _heads(pieces)).drop("part")
+        # Elements are numbered within a split; 0 is what runs on from earlier ones.
+        .withColumn("running", F.coalesce(F.sum(F.size("heads").cast("bigint")).over(earlier), F.lit(0).cast("bigint"))))
+    joined = lambda lo, hi: F.array_join(F.slice(pieces, lo + 1, hi - lo), ",")
+    text = lambda sep, lo, hi: F.concat(F.when(sep, ",").otherwise("\n"), joined(lo, hi))
+    any_head, first = F.size("heads") > 0, F.get("heads", F.lit(0))
+    segment = lambda element, text, depth: F.struct(
+        element.alias("element"), text.alias("text"), depth.cast("bigint").alias("depth_after"))
+    whole = segment(F.col("running"), F.concat(F.when(F.col("comma"), ",").otherwise("\n"), F.array_join(pieces, ",")), F.col("depth_after"))
+    lead = segment(F.col("running"), text(F.col("comma"), F.lit(0), first), F.lit(1))
+    # Blanks that end an element are trimmed anyway.
+    no_lead = (first == 0) | (~F.col("comma") & (F.trim(joined(F.lit(0), first), F.lit(" \t\r")) == ""))
+    following = F.transform("heads", lambda head, i: segment(
+        F.col("running") + i + 1, text(F.lit(True), head, F.coalesce(F.get("heads", i + 1), F.size(pieces))),
+        F.when(i + 1 < F.size("heads"), 1).otherwise(F.col("depth_after"))))
+    segments = (F.when(~any_head, F.array(whole)).when(no_lead, following).otherwise(F.concat(F.array(lead), following)))
+    order = F.struct("line_no", "part_no")
+    cut = (
+        known.select(*split, "line_no", "part_no", "root", "ends_well", F.inline(segments))
+        .groupBy(*split, "element").agg(
+            _joined(order, "text").alias("text"), F.first("root").alias("root"), F.first("ends_well").alias("ends_well"),
+            F.max_by("depth_after", order).alias("depth_after")))
+    # Each element is cut and parsed once; what follows reads this.
+    space = F.lit(" \t\r\n")
+    bare_text = lambda: F.substring("text", 2, 2_147_483_647)
+    cut = settled_by_column(cut.withColumn("valid", F.when(F.col("element") > 0, is_json(F.trim(bare_text(), space)))))
+
     # An element that runs on from earlier splits: the last head before them.
-    carried = known.groupBy(*split).agg(F.max("head").alias("last_head")).select(
-        *split, F.last("last_head", ignorenulls=True).over(before).alias("carried"))
-    sep = F.when(F.col("comma"), ",").otherwise("\n" if joint == "\n" else joint)
-    parts = F.sort_array(F.collect_list(F.struct("block", "line_no", "piece_no", "sep", "piece")))
-    whole = F.array_join(F.transform(parts, lambda p: F.concat(p["sep"], p["piece"])), "")
-    return (
-        known.join(carried, split).withColumns({"element": F.coalesce("head", "carried"), "sep": sep})
-        .groupBy("file_path", "element")
-        .agg(F.substring(whole, 2, 2_147_483_647).alias("text"), F.first("root").alias("root"),
-             F.first("ends_well").alias("ends_well"),
-             (F.max_by("depth_after", F.struct("block", "line_no", "piece_no")) <= 0).alias("is_last"))
-        .select("file_path", F.col("element").isNull().alias("is_first"), "is_last", "root", "ends_well", "text"))
+    last = cut.groupBy(*split).agg(F.max("element").alias("last"))
+    carried = F.last(F.when(F.col("last") > 0, F.struct("block", "last")), ignorenulls=True).over(until)
+    ends = broadcast_if_small(settled(last.withColumn("carried", carried)))
+    placed = cut.join(ends, split)
+    open_ended = (F.col("element") == 0) | (F.col("element") == F.col("last"))
+    key = F.when(F.col("element") == 0, F.col("carried")).otherwise(F.struct("block", F.col("element").alias("last")))
+    tied = (
+        placed.filter(open_ended).withColumn("key", key).groupBy("file_path", "key").agg(
+            _joined(F.col("block"), "text").alias("text"), F.first("root").alias("root"),
+            F.first("ends_well").alias("ends_well"), (F.max_by("depth_after", "block") <= 0).alias("is_last"))
+        .select("file_path", F.col("key").isNull().alias("is_first"), "is_last", "root", "ends_well", bare_text().alias("text")))
+    text, is_array = F.trim("text", space), F.col("root") == "["
+    text = F.when(is_array & F.col("is_first"), F.substring(text, 2, 2_147_483_647)).otherwise(text)
+    closed = F.when(text.endswith("]"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise("]")
+    tied = tied.withColumn("text", F.trim(F.when(is_array & F.col("is_last"), closed).otherwise(text), space))
+    tied = settled_by_column(tied.withColumn("valid", is_json(F.col("text"))))
+    return placed.filter(~open_ended).select(
+        "file_path", F.lit(False).alias("is_first"), F.lit(False).alias("is_last"), "root", "ends_well",
+        F.trim(bare_text(), space).alias("text"), "valid").unionByName(tied)
 
 
 def document_records(lines: DataFrame, joint: str = "\n") -> DataFrame:
@@ -146,15 +223,8 @@ def document_records(lines: DataFrame, joint: str = "\n") -> DataFrame:
     (``joint`` a line end) or, of files that have few of those, what lies
     between commas (``read_lines`` with ``line_sep=","`` and ``joint=","``).
     """
-    space = F.lit(" \t\r\n")
     is_array = F.col("root") == "["
-    text = F.trim("text", space)
-    text = F.when(is_array & F.col("is_first"), F.substring(text, 2, 2_147_483_647)).otherwise(text)
-    closed = F.when(text.endswith("]"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise("]")
-    text = F.trim(F.when(is_array & F.col("is_last"), closed).otherwise(text), space)
-    # Each element is cut and parsed once; what follows reads this.
-    found = settled(_elements(_pieces(lines, joint), joint).withColumn("text", text).withColumn(
-        "valid", is_json(F.col("text"))))
+    found = _elements(lines, joint)
     kinds = found.filter(is_array & (F.col("text") != "")).groupBy("file_path").agg(
         F.bool_and(F.col("text").startswith("{")).alias("all_objects"))
     found = found.join(broadcast_if_small(settled(kinds)), "file_path", "left")
@@ -177,7 +247,11 @@ def json_records(lines: DataFrame) -> DataFrame:
     whether it is line-delimited or a document."""
     kinds = lines.groupBy("file_path").agg(
         F.bool_and(is_object_line(F.col("line"))).alias("by_line"))
-    known = lines.join(broadcast_if_small(settled(kinds)), "file_path")
+    kinds = settled(kinds)
+    found = {r[0] for r in kinds.select("by_line").distinct().collect()}  # two at most
+    if len(found) < 2:  # files of one kind need not be told apart
+        return document_records(lines) if found == {False} else line_records(lines)
+    known = lines.join(broadcast_if_small(kinds), "file_path")
     return line_records(known.filter("by_line")).unionByName(
         document_records(known.filter("NOT by_line")))
 

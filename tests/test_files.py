@@ -411,3 +411,38 @@ def test_a_stray_quote_does_not_stop_a_scan(spark, folder):
     assert {r.file_path.split("/")[-1] for r in rows.collect()} == {"good.csv"}
     schemas = {r.filename: r.schema for r in scan_schemas(spark, inventory, root).collect()}
     assert json.loads(schemas["open.csv"]) == [{"error": "Unclosed quote from line 3"}]
+
+
+@pytest.mark.parametrize("line_sep", [None, ","])
+def test_long_lines_and_splits_give_the_same_elements(spark, folder, line_sep):
+    rnd = random.Random(4)
+    want = []
+    for i in range(1500):
+        want.append({"id": i, "s": rnd.choice(["x, ]", '"', "\\", "{,", ""]) * (i % 3), "t": [[], [1, {"u": 2}], i][i % 3]})
+    text = json.dumps(want)
+    for i in range(20):  # line ends between tokens, some right behind a comma
+        at = text.index(', {"id": %d,' % rnd.randrange(1500)) + rnd.choice([0, 1])
+        text = text[:at] + "\n  \n" + text[at:]
+    folder("one.json", text)
+    folder("none.json", "[]")
+    for size in ("1000", "9000", "10000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = J.document_records(read_lines(spark, folder.root, line_sep=line_sep), line_sep or "\n").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert not [r for r in found if r.error]
+        assert sorted((json.loads(r.record) for r in found if r.record), key=lambda r: r["id"]) == want
+        assert [r.file_path.split("/")[-1] for r in found if r.record is None] == ["none.json"]
+
+
+def test_lines_of_a_document_are_shuffled_once(spark):
+    lines = spark.range(3000).selectExpr("'f' AS file_path", "id div 100 AS block", "id AS line_no",
+                                         "concat(if(id = 0, '[', ','), '{\"a\":', id, if(id = 2999, '}]', '}')) AS line")
+    reads = spark.sparkContext.accumulator(0)
+    counted = spark.createDataFrame(lines.rdd.map(lambda r: (reads.add(1), tuple(r))[1]), lines.schema)
+    found = J.json_records(counted)
+    assert found.filter("error IS NOT NULL").count() == 0
+    assert sorted(json.loads(r.record)["a"] for r in found.collect()) == list(range(3000))
+    # Which files are documents, the states of splits, the elements; not once more per action.
+    assert reads.value == 3 * 3000
