@@ -102,9 +102,8 @@ def scan_schemas(spark: SparkSession, inventory: DataFrame, root: str) -> DataFr
         *[F.coalesce(c, F.lit("[]")).alias(c) for c in ("schema", "generated_headers")])
 
 
-def _cleaned(name: Column, value: Column) -> Column:
-    """A value cleaned by what its column's name says it is."""
-    kind = semantic_type(name)
+def _cleaned(kind: Column, value: Column) -> Column:
+    """A value cleaned by the semantic type of its column's name."""
     out = value
     for known, cleaner in CLEANERS.items():
         out = F.when(kind == known, cleaner(value).cast("string")).otherwise(out)
@@ -133,30 +132,36 @@ def clean_files(spark: SparkSession, inventory: DataFrame, root: str) -> tuple[D
                  if "generated_headers" in inventory.columns else F.lit(None).cast("array<string>"))
         known = opened.routed.select(F.trim("file_path").alias("file_path"), "headed", given.alias("given")
                                      ).dropDuplicates(["file_path"])
+        # What a name says is settled once a file, not once a cell.
         names = settled(named.join(known, "file_path").select(
             "file_path", F.col("headed").alias("_headed"),
             F.coalesce(F.when(F.col("headed"), F.col("first")), "given",
-                       F.array().cast("array<string>")).alias("_names")))
+                       F.array().cast("array<string>")).alias("_names"))
+            .withColumn("_kinds", F.transform("_names", lambda name: semantic_type(name))))
         headed = heads.join(names.filter("_headed").select("file_path"), "file_path", "left_semi")
         rows = _without_first(found, headed).drop("headed").join(broadcast_if_small(names), "file_path")
-        padded = F.transform("fields", lambda v, i: F.coalesce(
-            F.get("_names", i), F.concat(F.lit("column_"), i.cast("string"))))
+        numbered = lambda i: F.concat(F.lit("column_"), i.cast("string"))
+        padded = F.transform("fields", lambda v, i: F.coalesce(F.get("_names", i), numbered(i)))
+        kinds = F.transform("fields", lambda v, i: F.when(F.get("_names", i).isNull(), semantic_type(numbered(i)))
+                            .otherwise(F.get("_kinds", i)))
         # Blank lines are no records of a table.
-        parts.append(rows.filter("width > 0").withColumn("names", padded).select(
-            "file_path", F.struct("block", "line_no").alias("row"), "names",
-            F.transform("fields", lambda v, i: _cleaned(F.get("names", i), v)).alias("values")))
+        parts.append(rows.filter("width > 0").select(
+            "file_path", F.struct("block", "line_no").alias("row"), padded.alias("names"),
+            F.transform(F.arrays_zip("fields", kinds.alias("kinds")),
+                        lambda cell: _cleaned(cell["kinds"], cell["fields"])).alias("values")))
     found = opened.json_records()
     if found is not None:
         states = settled(found.groupBy("file_path").agg(F.max("error").alias("problem")))
         problems.append(states)
         fine = found.filter("record IS NOT NULL").join(
             broadcast_if_small(states.filter("problem IS NULL").select("file_path")), "file_path")
-        members = F.map_entries(F.from_json("record", "map<string,string>"))
+        members = F.transform(F.map_entries(F.from_json("record", "map<string,string>")), lambda e: F.struct(
+            e["key"].alias("key"), e["value"].alias("value"), semantic_type(e["key"]).alias("kind")))
         parts.append(fine.select("file_path", members.alias("m")).select(
             "file_path", F.struct(F.lit(0).cast("long").alias("block"),
                                   F.monotonically_increasing_id().alias("line_no")).alias("row"),
             F.transform("m", lambda e: e["key"]).alias("names"),
-            F.transform("m", lambda e: _cleaned(e["key"], e["value"])).alias("values")))
+            F.transform("m", lambda e: _cleaned(e["kind"], e["value"])).alias("values")))
     routed = opened.routed.withColumn("_path", F.trim("file_path"))
     if problems:
         found = reduce(DataFrame.unionByName, problems)

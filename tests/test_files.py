@@ -446,3 +446,42 @@ def test_lines_of_a_document_are_shuffled_once(spark):
     assert sorted(json.loads(r.record)["a"] for r in found.collect()) == list(range(3000))
     # Which files are documents, the states of splits, the elements; not once more per action.
     assert reads.value == 3 * 3000
+
+
+def test_names_are_read_once_a_file_or_member(spark, folder, monkeypatch):
+    from cellmend.operators import file_stages
+    root = folder("a.csv", "id,Phone,price\n1,(212) 555-0001,$5\n2,123,\"(7)\",x@y.zz\n")
+    folder("b.json", '{"phone":"2125550001","k":"v","Price":"$5"}\n')
+    inventory = scan_inventory(spark, root).select(
+        "filename", "ext", F.col("ext").alias("file_type"), F.col("path").alias("file_path"))
+    uses, real = [], file_stages.semantic_type
+    monkeypatch.setattr(file_stages, "semantic_type", lambda name: (uses.append(1), real(name))[1])
+    rows, _ = clean_files(spark, inventory, root)
+    got = sorted((dict(zip(r["names"], r["values"])) for r in rows.collect()), key=str)
+    assert got == sorted([
+        {"id": "1", "Phone": "212-555-0001", "price": "5.0"},
+        {"id": "2", "Phone": None, "price": "-7.0", "column_3": "x@y.zz"},
+        {"phone": "212-555-0001", "k": "v", "Price": "5.0"}], key=str)
+    # The names of a file, names by number, members: none of them inside the choice of a cleaner.
+    assert len(uses) == 3
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("currency") <= 6
+
+
+def test_nesting_with_and_without_a_walk(spark):
+    texts = {'{"a":1}': 1, '{"a":{"b":1},"c":{}}': 2, '{"a":[{"b":{"c":"{{{"}}]}': 3,
+             '{"a":{"b":{"c":{"d":1}}},"e":{}}': 4, "{}": 1}
+    rows = spark.createDataFrame([(t, d) for t, d in texts.items()], "t string, d int")
+    assert [r for r in rows.select("t", "d", J.nesting(F.col("t")).alias("n")).collect() if r.d != r.n] == []
+
+
+def test_a_line_of_json_is_parsed_once_for_its_facts(spark, folder):
+    from cellmend.operators.integrity_scan import file_facts
+    folder("good.json", '\n {"a":1}\n{"a":{"b":2}}\r\n')
+    folder("twice.json", '{"a":1}\n{"a":1,"a":2}\n')
+    folder("junk.json", '{"a":1} x\n')
+    folder("array.json", '[{"a":1}]\n')
+    lines = read_lines(spark, folder.root).withColumn("reader", F.lit("json"))
+    got = {r.file_path.split("/")[-1]: (r.by_line, r.filled, r.bad, r.depth) for r in file_facts(lines).collect()}
+    assert got == {"good.json": (True, True, False, 2), "twice.json": (True, True, True, 1),
+                   "junk.json": (True, True, True, 1), "array.json": (False, False, False, None)}
