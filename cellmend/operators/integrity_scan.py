@@ -29,11 +29,15 @@ def file_facts(lines: DataFrame) -> DataFrame:
     The rows are checkpointed: they are few, and every later branch needs them.
     """
     is_json = F.col("reader") == "json"
-    text = F.when(is_json & json_text(F.col("line")).startswith("{"), json_text(F.col("line")))
-    flags = lines.groupBy("file_path", "reader").agg(
-        F.bool_and(~is_json | is_object_line(F.col("line"))).alias("by_line"),
-        F.bool_or(text.isNotNull()).alias("filled"),
-        F.bool_or(text.isNotNull() & ~valid_json(text)).alias("bad"), F.max(nesting(text)).alias("depth"),
+    text = F.col("text")
+    # Each JSON line is parsed once: a valid one needs no second look.
+    read = lines.withColumn("text", F.when(is_json, json_text(F.col("line")))).withColumn(
+        "valid", F.when(text.startswith("{"), valid_json(text)))
+    started = F.when(F.col("valid").isNotNull(), text)
+    flags = read.groupBy("file_path", "reader").agg(
+        F.bool_and(~is_json | F.coalesce("valid", F.lit(False)) | is_object_line(text)).alias("by_line"),
+        F.bool_or(started.isNotNull()).alias("filled"),
+        F.bool_or(F.coalesce(~F.col("valid"), F.lit(False))).alias("bad"), F.max(nesting(started)).alias("depth"),
         *[F.bool_or(~is_json & ends_open(F.col("line"), sep)).alias(f"broken_{i}")
           for i, sep in enumerate(fv.SEPARATORS)])
     # The test looks at a file's beginning only, hence at its first split.

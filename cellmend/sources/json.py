@@ -261,13 +261,17 @@ def nesting(record: Column) -> Column:
     arrays count too. Texts are taken out first, without backtracking."""
     plain = F.replace(F.replace(record, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
     braces = F.regexp_replace(F.regexp_replace(plain, '"[^"]*+"', ""), "[^{}]++", "")
-    walked = F.aggregate(
+    walked = lambda braces: F.aggregate(
         F.split(braces, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
         lambda acc, c: F.struct(
             (acc["now"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("now"),
             F.greatest(acc["most"], acc["now"] + F.when(c == "{", 1).otherwise(0)).alias("most")),
         lambda acc: acc["most"])
-    return F.when(F.length(braces) <= 2, F.lit(1)).otherwise(walked)
+    # One or two levels, as most objects have, need no walk.
+    inner = lambda b: F.replace(b, F.lit("{}"), F.lit(""))
+    deep = F.transform(F.array(braces), lambda b: F.when(F.length(b) <= 2, F.lit(1)).when(
+        inner(b) == "{}", 2).when(inner(inner(b)) == "{}", 3).otherwise(walked(b)))
+    return F.when(record.isNotNull(), F.get(deep, F.lit(0)))
 
 
 def flatten_cells(records: DataFrame, key: str = "file_path", depth: int | None = None) -> DataFrame:
